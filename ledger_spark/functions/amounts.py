@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledger_spark.schemas import MONEY
 
 # Fixed pattern: digits and separators, ending in a separator and two decimals.
-AMOUNT_PATTERN = r"^(-?[0-9][0-9.,]*)[.,]([0-9]{2})$"
+AMOUNT_PATTERN = r"^-?[0-9][0-9.,]*[.,][0-9]{2}$"
 
 
 def parse_amount(text: Column) -> Column:
@@ -14,11 +14,13 @@ def parse_amount(text: Column) -> Column:
 
     The last separator is the decimal mark and is followed by two digits;
     every earlier separator groups digits. ``22,648.59``, ``33.706,04`` and
-    ``127,080,00`` all read. Text of another shape gives NULL, never an error.
+    ``127,080,00`` all read: without separators the digits are the cents. Text
+    of another shape gives NULL, never an error.
     """
-    whole = F.regexp_replace(F.regexp_extract(F.trim(text), AMOUNT_PATTERN, 1), "[.,]", "")
-    cents = F.regexp_extract(F.trim(text), AMOUNT_PATTERN, 2)
-    return F.concat(whole, F.lit("."), cents).try_cast(MONEY)
+    trimmed = F.trim(text)
+    cents = F.translate(trimmed, ".,", "").try_cast("decimal(18,0)")
+    amount = (cents * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+    return F.when(trimmed.rlike(AMOUNT_PATTERN), amount)
 
 
 def or_zero(value: Column) -> Column:

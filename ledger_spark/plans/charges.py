@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledger_spark.functions.amounts import or_zero, percent_of
 from ledger_spark.functions.categories import EXTRAORDINARY
+from ledger_spark.operators.spread import spread
 from ledger_spark.plans.payers import account_units, paid_by_account
 from ledger_spark.schemas import MONEY
 
@@ -22,18 +23,33 @@ def charge_rollup(
     )
 
 
-def unit_charges(units: DataFrame, charges: DataFrame, include_extra: bool = True) -> DataFrame:
-    """Each unit's share of its building's total, per month, rounded to cents."""
+def _monthly_totals(charges: DataFrame, include_extra: bool) -> DataFrame:
     amount = or_zero(F.col("total_ordinarios"))
     if include_extra:
         amount = amount + or_zero(F.col("total_extraordinarios"))
-    totals = charges.select("id_consorcio", "mes", amount.alias("total"))
-    share = percent_of(F.col("total"), or_zero(F.col("porcentaje_de_prorrateo")))
-    return units.join(totals, "id_consorcio").select(
-        "id_uf", "id_consorcio", "mes", share.cast(MONEY).alias("cargo")
+    return charges.groupBy("id_consorcio", "mes").agg(F.sum(amount).cast(MONEY).alias("total"))
+
+
+def _share(total) -> Column:
+    return percent_of(total, or_zero(F.col("porcentaje_de_prorrateo"))).cast(MONEY)
+
+
+def unit_charges(units: DataFrame, charges: DataFrame, include_extra: bool = True) -> DataFrame:
+    """Each unit's share of its building's total, per month, rounded to cents."""
+    totals = _monthly_totals(charges, include_extra)
+    return (
+        spread(units, "id_uf")
+        .join(totals, "id_consorcio")
+        .select("id_uf", "id_consorcio", "mes", _share(F.col("total")).alias("cargo"))
     )
 
 
+def _by_month(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
+    """One row per key with a map from month to value: an entry per calendar month."""
+    entries = F.collect_list(F.struct("mes", value))
+    return rows.groupBy(key).agg(F.map_from_entries(entries).alias(alias))
+
+
 def unit_statement(
     units: DataFrame,
     charges: DataFrame,
@@ -45,27 +61,36 @@ def unit_statement(
     """Opening balance, charge, payments and closing balance per unit and month.
 
     A payment is credited to the payer's first unit in the month it was made.
-    Payments are summed per account and month before they are joined, so a
-    unit's rows are bounded by the calendar whatever the number of payments.
-    Charges and payments are stacked instead of outer joined: one exchange on
-    the unit then serves both the monthly sum and the running window.
+
+    The result has a row per unit and month, many times the rows of its inputs,
+    so those rows are made last. Until then a unit is one row, with its monthly
+    payments and its building's monthly totals as maps bounded by the calendar.
+    Where the charges are small enough to broadcast (the stored charge table
+    is), the units stay partitioned by id, and neither the month rows nor the
+    running window over them are shuffled.
     """
-    zero = F.lit(0).cast(MONEY)
-    charged = unit_charges(units, charges, include_extra).select(
-        "id_uf", "mes", "cargo", zero.alias("pagado")
-    )
+    dates = F.array().cast("array<date>")
     paid = (
         paid_by_account(payments, F.trunc("fecha_de_pago", "month").alias("mes"))
-        .join(account_units(accounts, unit_people, units), "id_persona_cuenta")
+        .join(account_units(accounts, unit_people), "id_persona_cuenta")
         .groupBy("id_uf", "mes")
         .agg(F.sum("importe").cast(MONEY).alias("pagado"))
-        .select("id_uf", "mes", zero.alias("cargo"), "pagado")
+    )
+    totals = _monthly_totals(charges, include_extra)
+    months = F.array_union(
+        F.coalesce(F.map_keys("totales"), dates), F.coalesce(F.map_keys("pagos"), dates)
     )
     by_month = (
-        charged.unionByName(paid)
-        .repartition("id_uf")
-        .groupBy("id_uf", "mes")
-        .agg(F.sum("cargo").cast(MONEY).alias("cargo"), F.sum("pagado").cast(MONEY).alias("pagado"))
+        spread(units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo"), "id_uf")
+        .join(_by_month(paid, "id_uf", "pagado", "pagos"), "id_uf", "left")
+        .join(_by_month(totals, "id_consorcio", "total", "totales"), "id_consorcio", "left")
+        .select("*", F.explode(months).alias("mes"))
+        .select(
+            "id_uf",
+            "mes",
+            or_zero(_share(F.try_element_at("totales", F.col("mes")))).cast(MONEY).alias("cargo"),
+            or_zero(F.try_element_at("pagos", F.col("mes"))).cast(MONEY).alias("pagado"),
+        )
     )
     history = Window.partitionBy("id_uf").orderBy("mes").rowsBetween(Window.unboundedPreceding, 0)
     change = F.col("cargo") - F.col("pagado")

@@ -25,7 +25,7 @@ def payment_days(tables: LedgerTables) -> DataFrame:
         .groupBy("id_persona_cuenta", F.col("fecha_de_pago").cast("date").alias("fecha"))
         .agg(F.count(F.lit(1)).alias("pagos"))
     )
-    credited = account_units(tables.accounts, tables.unit_people, tables.units)
+    credited = account_units(tables.accounts, tables.unit_people)
     days = (
         counted.join(credited, "id_persona_cuenta")
         .groupBy("id_uf", "fecha")

@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def payer_units(unit_people: DataFrame, units: DataFrame) -> DataFrame:
-    """The first unit (lowest id) of each person, with building and department."""
-    first = unit_people.groupBy("id_persona").agg(F.min("id_uf").alias("id_uf"))
-    wanted = [c for c in ("id_uf", "id_consorcio", "departamento") if c in units.columns]
-    return first.join(units.select(*wanted), "id_uf")
+def payer_units(unit_people: DataFrame) -> DataFrame:
+    """The first unit (lowest id) of each person."""
+    return unit_people.groupBy("id_persona").agg(F.min("id_uf").alias("id_uf"))
 
 
-def account_units(accounts: DataFrame, unit_people: DataFrame, units: DataFrame) -> DataFrame:
-    """One row per account: the unit its payments are credited to."""
+def account_units(
+    accounts: DataFrame, unit_people: DataFrame, units: DataFrame | None = None
+) -> DataFrame:
+    """One row per account: the unit its payments are credited to.
+
+    With ``units`` it also carries the unit's building and department.
+    """
+    first = payer_units(unit_people)
+    if units is not None:
+        wanted = [c for c in ("id_uf", "id_consorcio", "departamento") if c in units.columns]
+        first = first.join(units.select(*wanted), "id_uf")
     return (
-        accounts.select("id_persona_cuenta", "id_persona")
-        .join(payer_units(unit_people, units), "id_persona")
-        .drop("id_persona")
+        accounts.select("id_persona_cuenta", "id_persona").join(first, "id_persona").drop("id_persona")
     )
 
 

@@ -129,7 +129,8 @@ MONTHLY_EXPENSES_NAMES = {"Nombre del consorcio": "consorcio", "Mes": "periodo"}
 # Bank export: amounts and dates arrive as text.
 PAYMENT_FILE = _struct(id_pago=_LONG, fecha=_STR, cbu_origen=_STR, importe=_STR)
 
-BUILDING_FILE = _struct(nombre=_STR)
+# Units with their share of the expenses, as text in any amount style.
+UNIT_FILE = _struct(consorcio=_STR, numero=_INT, piso=_STR, departamento=_STR, porcentaje=_STR)
 
 PERSON_FILE = _struct(
     nombre=_STR, apellido=_STR, dni=_STR, email=_STR, telefono=_STR, cbu=_STR, es_inquilino=_STR

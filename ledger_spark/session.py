@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ledger_spark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,37 +50,57 @@ class LedgerStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, name: str, df: DataFrame, mode: str = "append") -> None:
-        """Add rows to (or, with ``overwrite``, replace) a curated table.
+    def _curated(self, name: str, df: DataFrame) -> DataFrame:
+        """The table's columns and types, sorted within files.
 
         The rebalance hint gathers each partition value into few files, and
         lets AQE split a value that holds most of the rows.
         """
         layout = LAYOUTS[name]
-        rows = df
         if name == "pago":
-            rows = rows.withColumn(PAYMENT_MONTH, F.trunc("fecha_de_pago", "month"))
-        wanted = [f.name for f in layout.schema]
-        rows = rows.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema],
-            *[c for c in layout.partition if c not in wanted],
+            df = df.withColumn(PAYMENT_MONTH, F.trunc("fecha_de_pago", "month"))
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema]
+        extra = [c for c in layout.partition if c not in layout.schema.fieldNames()]
+        rows = df.select(*columns, *extra).hint("rebalance", *layout.partition)
+        return rows.sortWithinPartitions(*layout.partition, *layout.sort)
+
+    def write(self, name: str, df: DataFrame, mode: str = "append") -> None:
+        """Add rows to (or, with ``overwrite``, replace) a table."""
+        writer = self._curated(name, df).write.mode(mode)
+        writer.partitionBy(*LAYOUTS[name].partition).parquet(self.path(name))
+
+    def replace_partitions(self, name: str, df: DataFrame) -> None:
+        """Replace exactly the partitions (months) that occur in ``df``.
+
+        ``df`` may be computed from the table itself, so it is written next to
+        the table first. A run that stops half-way can simply be repeated.
+        """
+        staged = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        self._curated(name, df).write.parquet(staged)
+        (
+            self.spark.read.parquet(staged)
+            .hint("rebalance", *LAYOUTS[name].partition)
+            .sortWithinPartitions(*LAYOUTS[name].partition, *LAYOUTS[name].sort)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*LAYOUTS[name].partition)
+            .parquet(self.path(name))
         )
-        rows = rows.hint("rebalance", *layout.partition) if layout.partition else rows.hint("rebalance")
-        writer = rows.sortWithinPartitions(*layout.partition, *layout.sort).write.mode(mode)
-        if layout.partition:
-            writer = writer.partitionBy(*layout.partition)
-        writer.parquet(self.path(name))
+
+    def write_rejected(self, name: str, df: DataFrame) -> None:
+        df.write.mode("append").parquet(f"{self.root}/_rechazos/{name}-{uuid.uuid4().hex}")
 
     def read(self, name: str) -> DataFrame:
+        """The table; without rows while nothing has been loaded."""
         layout = LAYOUTS[name]
-        extra = [
-            T.StructField(c, T.DateType())
-            for c in layout.partition
-            if c not in layout.schema.fieldNames()
-        ]
-        return self.spark.read.schema(T.StructType(layout.schema.fields + extra)).parquet(
-            self.path(name)
-        )
+        extra = [c for c in layout.partition if c not in layout.schema.fieldNames()]
+        schema = T.StructType(layout.schema.fields + [T.StructField(c, T.DateType()) for c in extra])
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def payments(
         self, since: datetime.date | None = None, until: datetime.date | None = None

@@ -50,7 +50,7 @@ def portable(df: DataFrame) -> DataFrame:
         if isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             return F.col(field.name).cast("bigint")
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(field.name, "yyyy-MM-dd")
+            return F.col(field.name).cast("date").cast("string")
         return F.col(field.name)
 
     return df.select(*[cast(f).alias(f.name) for f in df.schema])
@@ -112,7 +112,10 @@ def listed_charges(spark, sf_dir):
 
 def _styles(amount):
     """The same amount as text in the four separator styles of the files."""
-    english = F.format_number(amount, 2)
+    return _restyled(F.format_number(amount, 2))
+
+
+def _restyled(english):
     return {
         "coma_punto": english,
         "punto_coma": F.translate(english, ",.", ".,"),
@@ -123,11 +126,11 @@ def _styles(amount):
 
 @query
 def expense_amount_parse(spark, sf_dir):
-    texts = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        *[t.alias(name) for name, t in _styles(F.col("l_extendedprice").cast(MONEY)).items()],
+    english = F.format_number(F.col("l_extendedprice").cast(MONEY), 2)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", english.alias("english")
     )
+    texts = lines.withColumns(_restyled(F.col("english"))).drop("english")
     return texts.withColumns(
         {name: parse_amount(F.col(name)) for name in texts.columns if name[:2] != "l_"}
     )
