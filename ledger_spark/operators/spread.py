@@ -1,8 +1,9 @@
-"""Spreading rows ahead of a step that multiplies them."""
+"""Keeping tasks even: rows about to multiply, and joins on uneven keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -14,3 +15,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *keys)
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows, whose keys may be very uneven, to one lookup row per key.
+
+    Adaptive execution splits the rows of a hot key over many tasks, but only
+    where both sides come straight out of an exchange. A lookup that was just
+    grouped by the key does not: it is already partitioned by it. With a digest
+    as second join key it is exchanged once more, and the hot key can be split.
+    A lookup that is small enough is broadcast all the same.
+    """
+    digest = F.xxhash64(key)
+    return (
+        rows.withColumn("_digest", digest)
+        .join(lookup.withColumn("_digest", digest), [key, "_digest"], how)
+        .drop("_digest")
+    )

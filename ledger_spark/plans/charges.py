@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledger_spark.functions.amounts import or_zero, percent_of
 from ledger_spark.functions.categories import EXTRAORDINARY
-from ledger_spark.operators.spread import spread
+from ledger_spark.operators.spread import lookup_join, spread
 from ledger_spark.plans.payers import account_units, paid_by_account
 from ledger_spark.schemas import MONEY
 
@@ -34,22 +34,23 @@ def _share(total) -> Column:
     return percent_of(total, or_zero(F.col("porcentaje_de_prorrateo"))).cast(MONEY)
 
 
+def _by_month(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
+    """One row per key with a map from month to value: an entry per calendar month."""
+    entries = F.collect_list(F.struct("mes", value))
+    return rows.groupBy(key).agg(F.map_from_entries(entries).alias(alias))
+
+
 def unit_charges(units: DataFrame, charges: DataFrame, include_extra: bool = True) -> DataFrame:
     """Each unit's share of its building's total, per month, rounded to cents."""
     totals = _monthly_totals(charges, include_extra)
+    by_building = _by_month(totals, "id_consorcio", "total", "totales")
     return (
-        spread(units, "id_uf")
-        .join(totals, "id_consorcio")
+        lookup_join(spread(units, "id_uf"), by_building, "id_consorcio")
+        .select("*", F.explode("totales").alias("mes", "total"))
         .select("id_uf", "id_consorcio", "mes", _share(F.col("total")).alias("cargo"))
     )
 
 
-def _by_month(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """One row per key with a map from month to value: an entry per calendar month."""
-    entries = F.collect_list(F.struct("mes", value))
-    return rows.groupBy(key).agg(F.map_from_entries(entries).alias(alias))
-
-
 def unit_statement(
     units: DataFrame,
     charges: DataFrame,
@@ -80,10 +81,12 @@ def unit_statement(
     months = F.array_union(
         F.coalesce(F.map_keys("totales"), dates), F.coalesce(F.map_keys("pagos"), dates)
     )
+    rows = spread(units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo"), "id_uf").join(
+        _by_month(paid, "id_uf", "pagado", "pagos"), "id_uf", "left"
+    )
+    by_building = _by_month(totals, "id_consorcio", "total", "totales")
     by_month = (
-        spread(units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo"), "id_uf")
-        .join(_by_month(paid, "id_uf", "pagado", "pagos"), "id_uf", "left")
-        .join(_by_month(totals, "id_consorcio", "total", "totales"), "id_consorcio", "left")
+        lookup_join(rows, by_building, "id_consorcio", "left")
         .select("*", F.explode(months).alias("mes"))
         .select(
             "id_uf",

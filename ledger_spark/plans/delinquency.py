@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledger_spark.functions.amounts import at_least_zero, or_zero, percent_of
 from ledger_spark.functions.text import short_text
 from ledger_spark.operators.periods import charges_in_periods
+from ledger_spark.operators.spread import lookup_join
 from ledger_spark.schemas import MONEY
 from ledger_spark.tables import LedgerTables
 
@@ -81,19 +82,19 @@ def delinquency(
         )
     )
 
-    owners = tables.people.where(F.col("es_inquilino") == 0).select(
-        "id_persona", "apellido", "nombre", "dni", "email", "telefono"
-    )
     paid = paid_by_person(tables.payments, tables.accounts, cutoff)
+    owners = (
+        tables.people.where(F.col("es_inquilino") == 0)
+        .select("id_persona", "apellido", "nombre", "dni", "email", "telefono")
+        .join(paid, "id_persona", "left")
+    )
     times = F.lit(1) if dedup else F.col("unidades")
     debt = percent_of(F.col("total"), F.col("porcentaje")).cast("decimal(38,6)")
     credit = or_zero(F.col("importe") * times).cast("decimal(38,2)")
 
+    held = lookup_join(holdings(units, tables.unit_people), owners, "id_persona")
     return (
-        holdings(units, tables.unit_people)
-        .join(owners, "id_persona")
-        .join(paid, "id_persona", "left")
-        .join(building_totals, "id_consorcio")
+        lookup_join(held, building_totals, "id_consorcio")
         .select(
             "id_persona",
             "id_consorcio",

@@ -14,6 +14,7 @@ from ledger_spark.functions.categories import category_detail, category_name, ex
 from ledger_spark.functions.text import blank_to_null, month_name, month_start, normalise
 from ledger_spark.operators.quality import Split, split_rejects
 from ledger_spark.operators.reshape import wide_to_long
+from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup
 from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY, PERCENT
@@ -120,9 +121,8 @@ def import_unit_people(
         blank_to_null(F.col("cbu")).alias("cbu"), unit_id(building, F.col("numero")).alias("id_uf")
     )
     known_units = units.select("id_uf", F.lit(True).alias("unit_known"))
-    resolved = rows.join(one_account_per_number(accounts), "cbu", "left").join(
-        known_units, "id_uf", "left"
-    )
+    with_person = lookup_join(rows, one_account_per_number(accounts), "cbu", "left")
+    resolved = lookup_join(with_person, known_units, "id_uf", "left")
     rules = {"unidad desconocida": F.col("unit_known"), "cuenta desconocida": _present("id_persona")}
     accepted, rejected = split_rejects(resolved, rules)
     links = accepted.select("id_uf", "id_persona")
@@ -206,19 +206,16 @@ def one_account_per_number(accounts: DataFrame) -> DataFrame:
 def match_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     """Set the account and state of payments by their account number.
 
-    The left join keeps every payment. Nothing is aggregated on the account
-    number afterwards, so AQE may split a number with very many payments.
+    The left join keeps every payment. An account number, or the absence of
+    one, may stand in any share of the payments.
     """
     known = one_account_per_number(accounts).select(
         F.col("cbu").alias("cbu_origen"), "id_persona_cuenta"
     )
     state = F.when(F.col("id_persona_cuenta").isNotNull(), MATCHED).otherwise(UNMATCHED)
     others = [c for c in payments.columns if c not in ("id_persona_cuenta", "estado")]
-    return (
-        payments.select(*others)
-        .join(known, "cbu_origen", "left")
-        .select(*others, "id_persona_cuenta", state.alias("estado"))
-    )
+    joined = lookup_join(payments.select(*others), known, "cbu_origen", "left")
+    return joined.select(*others, "id_persona_cuenta", state.alias("estado"))
 
 
 def import_payments(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledger_spark.operators.spread import lookup_join
+
 
 def payer_units(unit_people: DataFrame) -> DataFrame:
     """The first unit (lowest id) of each person."""
@@ -22,9 +24,8 @@ def account_units(
     if units is not None:
         wanted = [c for c in ("id_uf", "id_consorcio", "departamento") if c in units.columns]
         first = first.join(units.select(*wanted), "id_uf")
-    return (
-        accounts.select("id_persona_cuenta", "id_persona").join(first, "id_persona").drop("id_persona")
-    )
+    owned = accounts.select("id_persona_cuenta", "id_persona")
+    return lookup_join(owned, first, "id_persona").drop("id_persona")
 
 
 def paid_by_account(payments: DataFrame, *periods) -> DataFrame:
