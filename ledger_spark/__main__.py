@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledger_spark.operators.protect import protected_owners
 from ledger_spark.plans import monthly
 from ledger_spark.plans.cash_flow import weekly_cash_flow
 from ledger_spark.plans.charges import unit_statement
@@ -25,6 +27,7 @@ LOADS = {
     "load-suppliers": lambda store, a: monthly.load_suppliers(store, a.file),
     "load-services": lambda store, a: monthly.load_services(store, a.file, a.year, a.json_lines),
     "load-payments": lambda store, a: monthly.load_payments(store, a.file),
+    "load-quotes": lambda store, a: monthly.load_quotes(store, a.file, a.sequence),
     "rematch-payments": lambda store, a: monthly.rematch_payments(store),
     "generate-charges": lambda store, a: monthly.generate_charges(store),
 }
@@ -40,6 +43,9 @@ REPORTS = {
     "collections-type-period": lambda t, a: collections_type_period(t),
     "top5-expense-income": lambda t, a: top5_expense_income(t.expense_lines, t.payments, a.top or 5),
     "payment-intervals": lambda t, a: payment_intervals(t),
+    "protected-owners": lambda t, a: protected_owners(
+        t.people, a.audience, a.clear.split(","), Path(a.pepper_file).read_text().strip()
+    ),
     "unit-statement": lambda t, a: unit_statement(
         t.units, t.charges, t.payments, t.accounts, t.unit_people
     ),
@@ -65,6 +71,10 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--extra", action="store_true", help="include extraordinary expenses")
     parser.add_argument("--dedup", action="store_true")
     parser.add_argument("--top", type=int)
+    parser.add_argument("--sequence", type=int, help="load number, for load-quotes")
+    parser.add_argument("--audience", default="", help="who will read protected-owners")
+    parser.add_argument("--clear", default="", help="audiences that may read personal data")
+    parser.add_argument("--pepper-file", help="file with the secret of the digests")
     for date in ("--cutoff", "--since", "--until"):
         parser.add_argument(date, type=datetime.date.fromisoformat)
     return parser

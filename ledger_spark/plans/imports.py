@@ -17,7 +17,7 @@ from ledger_spark.operators.reshape import wide_to_long
 from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup
-from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY, PERCENT
+from ledger_spark.schemas import CORRUPT, EXPENSE_CATEGORIES, MONEY, PERCENT
 
 MATCHED = "asociado"
 UNMATCHED = "no asociado"
@@ -42,18 +42,30 @@ def _one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return keep_latest(df, keys, *others) if others else df.distinct()
 
 
+def _typed(raw: DataFrame, *columns: Column | str) -> DataFrame:
+    """The typed columns, and the text of unreadable lines where the source keeps it."""
+    return raw.select(*columns, *[c for c in (CORRUPT,) if c in raw.columns])
+
+
+def _split(typed: DataFrame, rules: dict[str, Column]) -> Split:
+    if CORRUPT in typed.columns:
+        rules = {"linea ilegible": F.col(CORRUPT).isNull()} | rules
+    accepted, rejected = split_rejects(typed, rules)
+    return Split(accepted.drop(CORRUPT), rejected)
+
+
 def _load(
     typed: DataFrame, rules: dict[str, Column], keys: list[str], existing: DataFrame | None
 ) -> Split:
-    accepted, rejected = split_rejects(typed, rules)
+    accepted, rejected = _split(typed, rules)
     rows = _one_per_key(accepted, keys)
     return Split(rows if existing is None else new_rows(existing, rows, keys), rejected)
 
 
 def import_buildings(raw: DataFrame, existing: DataFrame | None = None) -> Split:
     """From any rows with the building name in ``nombre``."""
-    typed = raw.select(
-        building_id(F.col("nombre")).alias("id_consorcio"), F.trim("nombre").alias("nombre")
+    typed = _typed(
+        raw, building_id(F.col("nombre")).alias("id_consorcio"), F.trim("nombre").alias("nombre")
     )
     return _load(typed, {"sin nombre": _present("id_consorcio")}, ["id_consorcio"], existing)
 
@@ -66,7 +78,8 @@ def import_units(raw: DataFrame, existing: DataFrame | None = None) -> Split:
         else F.lit(None).cast(PERCENT)
     )
     building = building_id(F.col("consorcio"))
-    typed = raw.select(
+    typed = _typed(
+        raw,
         unit_id(building, F.col("numero")).alias("id_uf"),
         building.alias("id_consorcio"),
         F.col("numero").cast("int").alias("numero"),
@@ -81,7 +94,8 @@ def import_units(raw: DataFrame, existing: DataFrame | None = None) -> Split:
 def typed_people(raw: DataFrame) -> DataFrame:
     """People with trimmed names, lower-case e-mail and bare document numbers."""
     document = F.nullif(F.regexp_replace("dni", "[^0-9]", ""), F.lit(""))
-    return raw.select(
+    return _typed(
+        raw,
         document.alias("id_persona"),
         F.initcap(blank_to_null(F.col("nombre"))).alias("nombre"),
         F.initcap(blank_to_null(F.col("apellido"))).alias("apellido"),
@@ -103,7 +117,8 @@ def import_people(raw: DataFrame, existing: DataFrame | None = None) -> Split:
 def import_accounts(raw_people: DataFrame, existing: DataFrame | None = None) -> Split:
     """Each person's account number, from the people file."""
     cbu = blank_to_null(F.col("cbu"))
-    typed = raw_people.select(
+    typed = _typed(
+        raw_people,
         cbu.alias("id_persona_cuenta"),
         F.nullif(F.regexp_replace("dni", "[^0-9]", ""), F.lit("")).alias("id_persona"),
         cbu.alias("cbu"),
@@ -117,14 +132,16 @@ def import_unit_people(
 ) -> Split:
     """Who lives in or owns which unit: the roster's account names the person."""
     building = building_id(F.col("consorcio"))
-    rows = roster.select(
-        blank_to_null(F.col("cbu")).alias("cbu"), unit_id(building, F.col("numero")).alias("id_uf")
+    rows = _typed(
+        roster,
+        blank_to_null(F.col("cbu")).alias("cbu"),
+        unit_id(building, F.col("numero")).alias("id_uf"),
     )
     known_units = units.select("id_uf", F.lit(True).alias("unit_known"))
     with_person = lookup_join(rows, one_account_per_number(accounts), "cbu", "left")
     resolved = lookup_join(with_person, known_units, "id_uf", "left")
     rules = {"unidad desconocida": F.col("unit_known"), "cuenta desconocida": _present("id_persona")}
-    accepted, rejected = split_rejects(resolved, rules)
+    accepted, rejected = _split(resolved, rules)
     links = accepted.select("id_uf", "id_persona")
     keys = ["id_uf", "id_persona"]
     fresh = links.distinct() if existing is None else new_rows(existing, links.distinct(), keys)
@@ -132,7 +149,8 @@ def import_unit_people(
 
 
 def import_suppliers(raw: DataFrame, existing: DataFrame | None = None) -> Split:
-    typed = raw.select(
+    typed = _typed(
+        raw,
         F.upper(blank_to_null(F.col("nombre"))).alias("nombre"),
         blank_to_null(F.col("rubro")).alias("rubro"),
         building_id(F.col("consorcio")).alias("consorcio"),
@@ -154,7 +172,7 @@ def import_services(
     keyed = records.withColumn("id_consorcio", building_id(F.col("consorcio"))).withColumn(
         "mes", month_start(year_value, F.col("periodo"))
     )
-    complete, incomplete = split_rejects(
+    complete, incomplete = _split(
         keyed, {"sin consorcio": _present("id_consorcio"), "sin mes": _present("mes")}
     )
     latest = keep_latest(complete, ["id_consorcio", "mes"], "posicion")
@@ -225,7 +243,8 @@ def import_payments(
     date_format: str = "dd/MM/yyyy",
 ) -> Split:
     """Bank payments; those of an unknown account are kept as unmatched."""
-    typed = raw.select(
+    typed = _typed(
+        raw,
         "id_pago",
         F.try_to_timestamp(F.trim("fecha"), F.lit(date_format)).cast("date").alias("fecha_de_pago"),
         blank_to_null(F.col("cbu_origen")).alias("cbu_origen"),
@@ -247,6 +266,25 @@ def rematch_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     return matched.unionByName(match_payments(pending, accounts).select(*payments.columns))
 
 
+def import_quotes(raw: DataFrame, sequence: int, date_format: str = "dd/MM/yyyy") -> Split:
+    """Dollar quotes of one load. All are appended: ``sequence`` numbers the
+    loads, and reports read the last one."""
+    typed = _typed(
+        raw,
+        F.upper(blank_to_null(F.col("moneda"))).alias("moneda"),
+        F.try_to_timestamp(F.trim("fecha"), F.lit(date_format)).cast("date").alias("fecha"),
+        parse_amount(F.col("compra")).alias("compra"),
+        parse_amount(F.col("venta")).alias("venta"),
+        F.lit(sequence).cast("bigint").alias("secuencia"),
+    )
+    rules = {
+        "sin moneda": _present("moneda"),
+        "fecha ilegible": _present("fecha"),
+        "importe ilegible": _present("venta"),
+    }
+    return _split(typed, rules)
+
+
 def quotes_latest(quotes: DataFrame) -> DataFrame:
     """The last quote loaded per currency and day."""
     return keep_latest(quotes, ["moneda", "fecha"], "secuencia")

@@ -5,7 +5,6 @@ Every step can be repeated: rows stored already are not added again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledger_spark import schemas
@@ -70,9 +69,9 @@ def load_payments(store: LedgerStore, path) -> None:
     )
 
 
-def load_quotes(store: LedgerStore, quotes: DataFrame) -> None:
-    """Append quotes; reports read the last one per currency and day."""
-    store.write("cotizacion", quotes)
+def load_quotes(store: LedgerStore, path, sequence: int) -> None:
+    raw = read_delimited(store.spark, path, schemas.QUOTE_FILE)
+    _save(store, "cotizacion", imports.import_quotes(raw, sequence))
 
 
 def rematch_payments(store: LedgerStore) -> None:

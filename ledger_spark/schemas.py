@@ -132,6 +132,8 @@ PAYMENT_FILE = _struct(id_pago=_LONG, fecha=_STR, cbu_origen=_STR, importe=_STR)
 # Units with their share of the expenses, as text in any amount style.
 UNIT_FILE = _struct(consorcio=_STR, numero=_INT, piso=_STR, departamento=_STR, porcentaje=_STR)
 
+QUOTE_FILE = _struct(moneda=_STR, fecha=_STR, compra=_STR, venta=_STR)
+
 PERSON_FILE = _struct(
     nombre=_STR, apellido=_STR, dni=_STR, email=_STR, telefono=_STR, cbu=_STR, es_inquilino=_STR
 )

@@ -19,11 +19,12 @@ def read_delimited(
     spark: SparkSession, path, schema: T.StructType, sep: str = "|", **options
 ) -> DataFrame:
     """Delimited text with a header. A row that does not fit the schema keeps
-    its text in ``_corrupt_record``, for the import to reject."""
+    its text in ``_corrupt_record``, for the import to reject. Every field is
+    parsed whatever the query selects, so that a short row is always noticed."""
     return (
         spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
         .options(sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .options(**options)
+        .options(columnPruning=False, **options)
         .csv(path)
     )
 

@@ -16,11 +16,11 @@ persona AS (
   SELECT c_custkey AS id_persona, c_mktsegment AS nombre, c_name AS apellido,
     CAST(c_custkey AS VARCHAR) AS dni, lower(c_name) || '@example.org' AS email,
     CAST(c_nationkey AS VARCHAR) AS telefono,
-    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS es_inquilino
+    CAST(c_mktsegment = 'HOUSEHOLD' AS BIGINT) AS es_inquilino
   FROM customer
 ),
 unidad AS (
-  SELECT o_orderkey AS id_uf, c_nationkey AS id_consorcio,
+  SELECT o_orderkey AS id_uf, CAST(c_nationkey AS BIGINT) AS id_consorcio,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'A' WHEN '2-HIGH' THEN 'B' WHEN '3-MEDIUM' THEN 'C'
       WHEN '4-NOT SPECIFIED' THEN 'D' WHEN '5-LOW' THEN 'E' END AS departamento,
     CASE WHEN o_orderstatus <> 'P' THEN
@@ -30,7 +30,7 @@ unidad AS (
 ),
 uf_persona AS (SELECT o_orderkey AS id_uf, o_custkey AS id_persona FROM orders),
 gasto AS (
-  SELECT c_nationkey AS id_consorcio, CAST(date_trunc('month', o_orderdate) AS DATE) AS mes,
+  SELECT CAST(c_nationkey AS BIGINT) AS id_consorcio, CAST(date_trunc('month', o_orderdate) AS DATE) AS mes,
     mes_nombre AS periodo, o_orderstatus = 'P' AS extra,
     CAST(o_totalprice AS DECIMAL(18,2)) AS importe
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN meses ON nro = month(o_orderdate)
@@ -221,12 +221,13 @@ FROM expensa WHERE periodo IN ('enero', 'marzo')
 """
     ),
     "expense_amount_parse": """
-SELECT l_orderkey, l_linenumber, l_extendedprice AS coma_punto, l_extendedprice AS punto_coma,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  l_extendedprice AS coma_punto, l_extendedprice AS punto_coma,
   l_extendedprice AS coma_coma, l_extendedprice AS solo_coma FROM lineitem
 """,
     "month_normalise": _with_views(
         """
-SELECT o_orderkey, mes_nombre AS periodo, nro AS nro_mes,
+SELECT o_orderkey, mes_nombre AS periodo, CAST(nro AS BIGINT) AS nro_mes,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS mes
 FROM orders JOIN meses ON nro = month(o_orderdate)
 """
@@ -258,7 +259,7 @@ SELECT 'sin consorcio', NULL, NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM _mes
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 """,
     "expense_unpivot": f"""
-SELECT c_nationkey AS id_consorcio,
+SELECT CAST(c_nationkey AS BIGINT) AS id_consorcio,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS mes, rotulo,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS valor
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN {_WIDE_NAMES} ON prioridad = o_orderpriority
@@ -296,11 +297,12 @@ SELECT consorcio, COUNT(DISTINCT (cbu, numero)), 'cuenta' FROM roster GROUP BY c
         "SELECT cbu, COUNT(*) AS filas FROM roster GROUP BY cbu HAVING COUNT(*) > 1"
     ),
     "duplicate_keys": """
-SELECT l_orderkey, l_linenumber, COUNT(*) AS filas FROM lineitem
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, COUNT(*) AS filas FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
 """,
     "keep_latest": """
-SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_partkey,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_partkey,
   l_suppkey, l_extendedprice
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1
@@ -331,7 +333,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS id_persona,
   upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS nombre,
   upper(c_name[1]) || lower(c_name[2:]) AS apellido, CAST(c_custkey AS VARCHAR) AS dni,
   lower(c_name) || '@example.org' AS email, CAST(NULL AS VARCHAR) AS telefono,
-  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS es_inquilino,
+  CAST(c_mktsegment = 'HOUSEHOLD' AS BIGINT) AS es_inquilino,
   CAST(NULL AS VARCHAR) AS motivo, CAST(NULL AS BIGINT) AS filas
 FROM filas WHERE c_acctbal >= 0
 UNION ALL

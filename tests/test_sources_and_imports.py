@@ -182,14 +182,15 @@ def test_people(spark):
 def test_unit_links(spark, roster_path):
     roster = files.read_roster(spark, roster_path)
     units, bad_units = imports.import_units(roster)
-    assert rows(bad_units, "motivo") == [("sin numero",)]
+    line = "4444444444444444444444|Los Tilos|x|1|B"
+    assert rows(bad_units, "motivo", schemas.CORRUPT) == [("linea ilegible", line)]
     accounts = imports.import_accounts(spark.createDataFrame(PEOPLE, schemas.PERSON_FILE)).accepted
     links, rejected = imports.import_unit_people(roster, accounts, units)
     assert rows(links) == [("los tilos|1", "22222222"), ("rivera|1", "11111111")]
     assert rows(rejected, "motivo") == [
         ("cuenta desconocida",),
         ("cuenta desconocida",),
-        ("unidad desconocida",),
+        ("linea ilegible",),
     ]
 
 
@@ -249,3 +250,23 @@ def test_quotes_latest(spark):
         schemas.QUOTE,
     )
     assert rows(imports.quotes_latest(quotes), "moneda", "secuencia") == [("EUR", 2), ("USD", 4)]
+
+
+def test_quotes_of_two_loads(spark):
+    first = spark.createDataFrame(
+        [("usd", "01/05/2025", "1.150,00", "1.170,50"), ("usd", "mal", None, "1,00")], schemas.QUOTE_FILE
+    )
+    second = spark.createDataFrame([("USD", "01/05/2025", None, "1.180,00")], schemas.QUOTE_FILE)
+    loads = [imports.import_quotes(raw, i) for i, raw in enumerate((first, second))]
+    assert rows(loads[0].rejected, "motivo") == [("fecha ilegible",)]
+    both = loads[0].accepted.unionByName(loads[1].accepted)
+    assert rows(imports.quotes_latest(both), "moneda", "venta") == [("USD", Decimal("1180.00"))]
+
+
+def test_a_short_line_is_rejected_with_its_text(spark, tmp_path):
+    path = tmp_path / "people.csv"
+    path.write_text("nombre|apellido|dni|email|telefono|cbu|es_inquilino\nana|perez|11|||1|0\nleo|gomez\n")
+    raw = files.read_delimited(spark, str(path), schemas.PERSON_FILE)
+    accepted, rejected = imports.import_people(raw)
+    assert rows(accepted, "dni") == [("11",)]
+    assert rows(rejected, "motivo", schemas.CORRUPT) == [("linea ilegible", "leo|gomez")]
