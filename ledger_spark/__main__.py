@@ -53,7 +53,11 @@ REPORTS = {
 
 
 def _tables(store: LedgerStore, args: argparse.Namespace) -> LedgerTables:
-    return store.tables(since=args.since, until=args.until or args.cutoff)
+    """The tables, with the payments of the months the report covers."""
+    since, until = args.since, args.until or args.cutoff
+    if args.year:
+        since, until = datetime.date(args.year, 1, 1), datetime.date(args.year, 12, 31)
+    return store.tables(since, until)
 
 
 def _parser() -> argparse.ArgumentParser:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +20,21 @@ def keep_latest(df: DataFrame, keys: list[str], *order: str | Column) -> DataFra
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows whose key is not yet present (null-safe on the keys)."""
-    present = existing.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
-    return incoming.join(present, condition, "left_anti")
+    """Incoming rows whose key is not yet present (null-safe on the keys).
+
+    A load is small next to the table it goes into. So the stored keys are
+    first reduced to those of the load: where the load can be broadcast, the
+    table is only scanned, and what is shuffled never exceeds the load.
+    """
+    loaded = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    stored = existing.select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+
+    def same(left: str, right: str) -> Column:
+        pairs = [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
+        return reduce(Column.__and__, pairs)
+
+    present = stored.join(loaded, same("_old_", "_new_"), "left_semi")
+    return incoming.join(present, same("", "_old_"), "left_anti")
 
 
 def idempotent_upsert(

@@ -46,22 +46,16 @@ def paid_by_person(payments: DataFrame, accounts: DataFrame, cutoff: datetime.da
     )
 
 
-def delinquency(
+def _balances(
     tables: LedgerTables,
     cutoff: datetime.date,
-    building=None,
-    include_extra: bool = False,
-    periods: str | None = None,
-    dedup: bool = False,
+    building,
+    include_extra: bool,
+    periods: str | None,
+    dedup: bool,
+    shown: list[str],
 ) -> DataFrame:
-    """Expected debt, payments and balance of every owner and building.
-
-    Every unit of an owner is charged every selected period, and every payment
-    counts once per owned unit. Both are products of sums, so the units, the
-    charges and the payments are each aggregated first and only one row per
-    (owner, building) is ever joined: the unit × period and payment × unit rows
-    do not exist. ``dedup`` counts a payment once per building instead.
-    """
+    """Debt, payments and balance per (owner, building), with ``shown`` columns of the owner."""
     if cutoff is None:
         raise ValueError("a cut-off date is required")
 
@@ -81,12 +75,10 @@ def delinquency(
             "id_consorcio",
         )
     )
-
-    paid = paid_by_person(tables.payments, tables.accounts, cutoff)
     owners = (
         tables.people.where(F.col("es_inquilino") == 0)
-        .select("id_persona", "apellido", "nombre", "dni", "email", "telefono")
-        .join(paid, "id_persona", "left")
+        .select("id_persona", *shown)
+        .join(paid_by_person(tables.payments, tables.accounts, cutoff), "id_persona", "left")
     )
     times = F.lit(1) if dedup else F.col("unidades")
     debt = percent_of(F.col("total"), F.col("porcentaje")).cast("decimal(38,6)")
@@ -99,21 +91,52 @@ def delinquency(
             "id_persona",
             "id_consorcio",
             "Consorcio",
-            "apellido",
-            "nombre",
-            short_text(F.col("dni")).alias("dni"),
-            "email",
-            short_text(F.col("telefono")).alias("telefono"),
+            *shown,
             debt.alias("DeudaEsperada"),
             credit.alias("Pagos"),
         )
         .withColumn(
-            "Morosidad",
-            at_least_zero((F.col("DeudaEsperada") - F.col("Pagos")).cast(MONEY)),
+            "Morosidad", at_least_zero((F.col("DeudaEsperada") - F.col("Pagos")).cast(MONEY))
         )
     )
 
 
+def _report_columns() -> list:
+    return [
+        "Consorcio",
+        "apellido",
+        "nombre",
+        short_text(F.col("dni")).alias("dni"),
+        "email",
+        short_text(F.col("telefono")).alias("telefono"),
+        "DeudaEsperada",
+        "Pagos",
+        "Morosidad",
+    ]
+
+
+def delinquency(
+    tables: LedgerTables,
+    cutoff: datetime.date,
+    building=None,
+    include_extra: bool = False,
+    periods: str | None = None,
+    dedup: bool = False,
+) -> DataFrame:
+    """Expected debt, payments and balance of every owner and building.
+
+    Every unit of an owner is charged every selected period, and every payment
+    counts once per owned unit. Both are products of sums, so the units, the
+    charges and the payments are each aggregated first and only one row per
+    (owner, building) is ever joined: the unit × period and payment × unit rows
+    do not exist. ``dedup`` counts a payment once per building instead.
+    """
+    shown = ["apellido", "nombre", "dni", "email", "telefono"]
+    return _balances(tables, cutoff, building, include_extra, periods, dedup, shown).select(
+        "id_persona", "id_consorcio", *_report_columns()
+    )
+
+
 def top_delinquent_owners(
     tables: LedgerTables,
     cutoff: datetime.date,
@@ -123,10 +146,20 @@ def top_delinquent_owners(
     n: int = 3,
     dedup: bool = False,
 ) -> DataFrame:
-    """The ``n`` largest balances; ties by surname, name, then ids."""
+    """The ``n`` largest balances; ties by surname, name, then ids.
+
+    Only the columns the order needs travel through the joins. The others are
+    looked up for the ``n`` rows, a side whose size Spark knows from the limit.
+    """
+    order = [F.desc("Morosidad"), "apellido", "nombre", "id_persona", "id_consorcio"]
+    shown = ["apellido", "nombre"]
+    balances = _balances(tables, cutoff, building, include_extra, periods, dedup, shown)
+    contact = tables.people.select("id_persona", "dni", "email", "telefono")
     return (
-        delinquency(tables, cutoff, building, include_extra, periods, dedup)
-        .orderBy(F.desc("Morosidad"), "apellido", "nombre", "id_persona", "id_consorcio")
+        balances.orderBy(*order)
+        .limit(n)
+        .join(contact, "id_persona")
+        .orderBy(*order)
         .limit(n)
-        .drop("id_persona", "id_consorcio")
+        .select(*_report_columns())
     )
