@@ -30,7 +30,7 @@ def weekly_cash_flow(
     if until is not None:
         payments = payments.where(F.col("fecha_de_pago") <= F.lit(until))
 
-    week = F.date_trunc("week", "fecha_de_pago").cast("date").alias("semana")
+    week = F.trunc("fecha_de_pago", "week").alias("semana")
     if building is None:
         weeks = payments.groupBy(week).agg(F.sum("importe").alias("importe"))
     else:

@@ -246,7 +246,7 @@ def import_payments(
     typed = _typed(
         raw,
         "id_pago",
-        F.try_to_timestamp(F.trim("fecha"), F.lit(date_format)).cast("date").alias("fecha_de_pago"),
+        F.try_to_date(F.trim("fecha"), date_format).alias("fecha_de_pago"),
         blank_to_null(F.col("cbu_origen")).alias("cbu_origen"),
         parse_amount(F.col("importe")).alias("importe"),
     )
@@ -272,7 +272,7 @@ def import_quotes(raw: DataFrame, sequence: int, date_format: str = "dd/MM/yyyy"
     typed = _typed(
         raw,
         F.upper(blank_to_null(F.col("moneda"))).alias("moneda"),
-        F.try_to_timestamp(F.trim("fecha"), F.lit(date_format)).cast("date").alias("fecha"),
+        F.try_to_date(F.trim("fecha"), date_format).alias("fecha"),
         parse_amount(F.col("compra")).alias("compra"),
         parse_amount(F.col("venta")).alias("venta"),
         F.lit(sequence).cast("bigint").alias("secuencia"),

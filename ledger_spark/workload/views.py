@@ -7,8 +7,11 @@ line item a payment. Every table is read whole.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledger_spark.functions.categories import EXTRAORDINARY, ORDINARY
 from ledger_spark.functions.text import month_name
@@ -18,8 +21,15 @@ from ledger_spark.tables import LedgerTables
 DEPARTMENTS = ["A", "B", "C", "D", "E"]
 
 
+@functools.cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read from the file footers, once per session rather than once per read."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
