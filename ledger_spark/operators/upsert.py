@@ -19,6 +19,15 @@ def keep_latest(df: DataFrame, keys: list[str], *order: str | Column) -> DataFra
     return df.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    pairs = [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
+    return reduce(Column.__and__, pairs)
+
+
+def _keys(df: DataFrame, prefix: str, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys])
+
+
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not yet present (null-safe on the keys).
 
@@ -26,15 +35,15 @@ def new_rows(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataF
     first reduced to those of the load: where the load can be broadcast, the
     table is only scanned, and what is shuffled never exceeds the load.
     """
-    loaded = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    stored = existing.select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+    loaded, stored = _keys(incoming, "_new_", keys), _keys(existing, "_old_", keys)
+    present = stored.join(loaded, _same("_old_", "_new_", keys), "left_semi")
+    return incoming.join(present, _same("", "_old_", keys), "left_anti")
 
-    def same(left: str, right: str) -> Column:
-        pairs = [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
-        return reduce(Column.__and__, pairs)
 
-    present = stored.join(loaded, same("_old_", "_new_"), "left_semi")
-    return incoming.join(present, same("", "_old_"), "left_anti")
+def replace_rows(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """The table with the incoming rows in place of stored ones of equal key."""
+    loaded = _keys(incoming, "_new_", keys)
+    return existing.join(loaded, _same("", "_new_", keys), "left_anti").unionByName(incoming)
 
 
 def idempotent_upsert(

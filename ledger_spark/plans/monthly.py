@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledger_spark import schemas
 from ledger_spark.operators.quality import Split
+from ledger_spark.operators.upsert import replace_rows
 from ledger_spark.plans import imports
 from ledger_spark.sources.files import read_delimited, read_monthly_expenses, read_roster
 from ledger_spark.sources.store import PAYMENT_MONTH, LedgerStore
@@ -20,28 +21,31 @@ def _save(store: LedgerStore, name: str, result: Split) -> None:
 
 
 def load_roster(store: LedgerStore, path) -> None:
-    """Buildings and units of the unit roster."""
-    roster = read_roster(store.spark, path)
+    """Buildings of the unit roster, and its units where they are not known yet."""
+    roster = store.staged("roster", read_roster(store.spark, path))
     names = roster.select(F.col("consorcio").alias("nombre"))
     _save(store, "consorcio", imports.import_buildings(names, store.read("consorcio")))
     _save(store, "unidad_funcional", imports.import_units(roster, store.read("unidad_funcional")))
 
 
 def load_units(store: LedgerStore, path) -> None:
-    """Units with their percentages, from a delimited export."""
-    raw = read_delimited(store.spark, path, schemas.UNIT_FILE)
+    """Units with their percentages, from a delimited export; known units are updated."""
+    raw = store.staged("units", read_delimited(store.spark, path, schemas.UNIT_FILE))
     names = raw.select(F.col("consorcio").alias("nombre"))
     _save(store, "consorcio", imports.import_buildings(names, store.read("consorcio")))
-    _save(store, "unidad_funcional", imports.import_units(raw, store.read("unidad_funcional")))
+    accepted, rejected = imports.import_units(raw)
+    units = replace_rows(store.read("unidad_funcional"), accepted, ["id_uf"])
+    store.replace("unidad_funcional", units)
+    store.write_rejected("unidad_funcional", rejected)
 
 
 def load_people(store: LedgerStore, people_path, roster_path) -> None:
     """People, their accounts, and which unit each account stands for."""
-    raw = read_delimited(store.spark, people_path, schemas.PERSON_FILE)
+    raw = store.staged("people", read_delimited(store.spark, people_path, schemas.PERSON_FILE))
     _save(store, "persona", imports.import_people(raw, store.read("persona")))
     _save(store, "persona_cuenta", imports.import_accounts(raw, store.read("persona_cuenta")))
     links = imports.import_unit_people(
-        read_roster(store.spark, roster_path),
+        store.staged("roster", read_roster(store.spark, roster_path)),
         store.read("persona_cuenta"),
         store.read("unidad_funcional"),
         store.read("uf_persona"),
@@ -50,18 +54,18 @@ def load_people(store: LedgerStore, people_path, roster_path) -> None:
 
 
 def load_suppliers(store: LedgerStore, path) -> None:
-    raw = read_delimited(store.spark, path, schemas.SUPPLIER)
+    raw = store.staged("suppliers", read_delimited(store.spark, path, schemas.SUPPLIER))
     _save(store, "proveedor", imports.import_suppliers(raw, store.read("proveedor")))
 
 
 def load_services(store: LedgerStore, path, year: int, json_lines: bool = False) -> None:
     """Monthly expense records of one year."""
-    records = read_monthly_expenses(store.spark, path, json_lines)
+    records = store.staged("services", read_monthly_expenses(store.spark, path, json_lines))
     _save(store, "gasto", imports.import_services(records, year, store.read("gasto")))
 
 
 def load_payments(store: LedgerStore, path) -> None:
-    raw = read_delimited(store.spark, path, schemas.PAYMENT_FILE)
+    raw = store.staged("payments", read_delimited(store.spark, path, schemas.PAYMENT_FILE))
     _save(
         store,
         "pago",
@@ -70,7 +74,7 @@ def load_payments(store: LedgerStore, path) -> None:
 
 
 def load_quotes(store: LedgerStore, path, sequence: int) -> None:
-    raw = read_delimited(store.spark, path, schemas.QUOTE_FILE)
+    raw = store.staged("quotes", read_delimited(store.spark, path, schemas.QUOTE_FILE))
     _save(store, "cotizacion", imports.import_quotes(raw, sequence))
 
 
@@ -80,7 +84,7 @@ def rematch_payments(store: LedgerStore) -> None:
     pending = payments.where(F.col("id_persona_cuenta").isNull())
     found = imports.match_payments(pending, accounts).where(F.col("id_persona_cuenta").isNotNull())
     changed = payments.join(found.select(PAYMENT_MONTH).distinct(), PAYMENT_MONTH, "left_semi")
-    store.replace_partitions("pago", imports.rematch_payments(changed, accounts))
+    store.replace("pago", imports.rematch_payments(changed, accounts))
 
 
 def generate_charges(store: LedgerStore) -> None:

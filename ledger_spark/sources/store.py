@@ -69,21 +69,38 @@ class LedgerStore:
         writer = self._curated(name, df).write.mode(mode)
         writer.partitionBy(*LAYOUTS[name].partition).parquet(self.path(name))
 
-    def replace_partitions(self, name: str, df: DataFrame) -> None:
-        """Replace exactly the partitions (months) that occur in ``df``.
+    def staged(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows written next to the tables once and read back.
 
-        ``df`` may be computed from the table itself, so it is written next to
-        the table first. A run that stops half-way can simply be repeated.
+        A load uses its input several times. Staged, the files are parsed once
+        and every use sees the same rows, even after an executor is lost. The
+        next load of the table overwrites the staged rows.
         """
-        staged = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
-        self._curated(name, df).write.parquet(staged)
+        path = f"{self.root}/_staging/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Replace the partitions (months) that occur in ``df``, or all of a
+        table without partitions. ``df`` may be computed from the table itself.
+        """
+        self.staged(name, self._curated(name, df))
+        self.publish(name)
+
+    def publish(self, name: str) -> None:
+        """The last step of ``replace``: put the staged rows in place.
+
+        Where a run was cut off in this step, call it again before anything
+        else is loaded: the staged rows are complete, the table may not be.
+        """
+        layout = LAYOUTS[name]
         (
-            self.spark.read.parquet(staged)
-            .hint("rebalance", *LAYOUTS[name].partition)
-            .sortWithinPartitions(*LAYOUTS[name].partition, *LAYOUTS[name].sort)
+            self.spark.read.parquet(f"{self.root}/_staging/{name}")
+            .hint("rebalance", *layout.partition)
+            .sortWithinPartitions(*layout.partition, *layout.sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*LAYOUTS[name].partition)
+            .partitionBy(*layout.partition)
             .parquet(self.path(name))
         )
 

@@ -129,6 +129,34 @@ def test_only_changed_months_are_rewritten(ledger):
     assert before and files() == before
 
 
+def test_loaded_units_are_updated(ledger):
+    load(ledger)
+    changed = UNITS.replace("5.50", "6,25").replace("Los Tilos|1", "Los Tilos|2")
+    ledger("load-units", "--file", ledger.file("changed.csv", changed))
+    assert rows(ledger.store.read("unidad_funcional"), "id_uf", "porcentaje_de_prorrateo") == [
+        ("los tilos|1", Decimal("20.00")),
+        ("los tilos|2", Decimal("20.00")),
+        ("rivera|1", Decimal("10.00")),
+        ("rivera|2", Decimal("6.25")),
+    ]
+
+
+def test_quotes_and_protected_people(ledger, tmp_path):
+    load(ledger)
+    quotes = ledger.file("q.csv", "moneda|fecha|compra|venta\nusd|02/05/2025|1.100,00|1.150,00\n")
+    ledger("load-quotes", "--file", quotes, "--sequence", "1")
+    assert rows(ledger.store.read("cotizacion"), "moneda", "venta") == [("USD", Decimal("1150.00"))]
+    pepper = ledger.file("pepper", "secret")
+    seen = {
+        audience: ledger(
+            "protected-owners", "--audience", audience, "--clear", "general", "--pepper-file", pepper
+        )
+        for audience in ("general", "reportes")
+    }
+    assert rows(seen["general"], "dni") == [("11",), ("22",)]
+    assert all(len(dni) == 64 for (dni,) in rows(seen["reportes"], "dni"))
+
+
 def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_folder(spark)
