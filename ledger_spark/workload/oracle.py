@@ -65,47 +65,37 @@ def _with_views(body: str) -> str:
 
 
 def _delinquency(
-    building: int | None, extra: bool, periods: list[str] | None, paid_times: str = "each unit"
+    building: int | None, extra: bool, periods: list[str] | None, each_unit: bool = True
 ) -> str:
-    amount = "COALESCE(e.total_ordinarios, 0)"
+    """Charges and payments of every owned unit as one list of movements, then its sums."""
+    amount = "COALESCE(total_ordinarios, 0)"
     if extra:
-        amount += " + COALESCE(e.total_extraordinarios, 0)"
-    in_building = f"AND u.id_consorcio = {building}" if building is not None else ""
-    in_periods = (
-        "AND e.periodo IN (" + ", ".join(f"'{p}'" for p in periods) + ")" if periods else ""
-    )
-    links = (
-        "(SELECT DISTINCT up.id_persona, u.id_consorcio FROM uf_persona up JOIN unidad u USING (id_uf))"
-        if paid_times == "once"
-        else "(SELECT up.id_persona, u.id_consorcio FROM uf_persona up JOIN unidad u USING (id_uf))"
-    )
+        amount += " + COALESCE(total_extraordinarios, 0)"
+    scope = f"id_consorcio = {building}" if building is not None else "TRUE"
+    months = f"periodo IN {tuple(periods)}" if periods else "TRUE"
+    paying = "_tenencia" if each_unit else "(SELECT DISTINCT id_persona, id_consorcio FROM _tenencia)"
     return f"""
-_deuda AS (
-  SELECT p.id_persona, u.id_consorcio,
-    SUM(CAST({amount} AS DECIMAL(18,2))
-      * (COALESCE(u.pct, 0) * CAST(0.01 AS DECIMAL(3,2)))) AS deuda
-  FROM uf_persona up JOIN persona p USING (id_persona) JOIN unidad u USING (id_uf)
-  JOIN expensa e ON e.id_consorcio = u.id_consorcio
-  WHERE p.es_inquilino = 0 {in_building} {in_periods}
-  GROUP BY p.id_persona, u.id_consorcio
+_tenencia AS (
+  SELECT id_persona, id_consorcio, COALESCE(pct, 0) * CAST(0.01 AS DECIMAL(3,2)) AS parte
+  FROM unidad JOIN uf_persona USING (id_uf)
+  WHERE {scope} AND id_persona IN (SELECT id_persona FROM persona WHERE es_inquilino = 0)
 ),
-_pagos AS (
-  SELECT pg.id_persona, v.id_consorcio, SUM(pg.importe) AS pagos
-  FROM pago pg JOIN {links} v USING (id_persona)
-  WHERE pg.fecha <= DATE '1996-12-31'
-  GROUP BY pg.id_persona, v.id_consorcio
+_movimiento AS (
+  SELECT id_persona, id_consorcio, CAST({amount} AS DECIMAL(18,2)) * parte AS cargo, NULL AS abono
+  FROM _tenencia JOIN expensa USING (id_consorcio) WHERE {months}
+  UNION ALL
+  SELECT id_persona, id_consorcio, NULL, importe
+  FROM {paying} JOIN pago USING (id_persona) WHERE fecha <= DATE '1996-12-31'
+),
+_saldo AS (
+  SELECT id_persona, id_consorcio, SUM(cargo) AS debe, COALESCE(SUM(abono), 0) AS haber
+  FROM _movimiento GROUP BY ALL HAVING COUNT(cargo) > 0
 ),
-_morosidad AS (
-  SELECT d.id_persona, d.id_consorcio, n_name AS "Consorcio", per.apellido, per.nombre, per.dni,
-    per.email, per.telefono, CAST(d.deuda AS DOUBLE) AS "DeudaEsperada",
-    CAST(COALESCE(pg.pagos, 0) AS DOUBLE) AS "Pagos",
-    CAST(CASE WHEN d.deuda - COALESCE(pg.pagos, 0) > 0
-      THEN CAST(d.deuda - COALESCE(pg.pagos, 0) AS DECIMAL(18,2)) ELSE 0 END AS DOUBLE)
-      AS "Morosidad"
-  FROM _deuda d LEFT JOIN _pagos pg
-    ON pg.id_persona = d.id_persona AND pg.id_consorcio = d.id_consorcio
-  JOIN persona per ON per.id_persona = d.id_persona
-  JOIN nation ON n_nationkey = d.id_consorcio
+_informe AS (
+  SELECT id_persona, id_consorcio, n_name AS "Consorcio", apellido, nombre, dni, email, telefono,
+    CAST(debe AS DOUBLE) AS "DeudaEsperada", CAST(haber AS DOUBLE) AS "Pagos",
+    CAST(CAST(greatest(debe - haber, 0) AS DECIMAL(18,2)) AS DOUBLE) AS "Morosidad"
+  FROM _saldo JOIN persona USING (id_persona) JOIN nation ON n_nationkey = id_consorcio
 )
 """
 
@@ -113,8 +103,7 @@ _morosidad AS (
 def _top(n: int, *args) -> str:
     return _with_views(
         _delinquency(*args)
-        + f"""SELECT "Consorcio", apellido, nombre, dni, email, telefono, "DeudaEsperada", "Pagos",
-  "Morosidad" FROM _morosidad
+        + f"""SELECT * EXCLUDE (id_persona, id_consorcio) FROM _informe
 ORDER BY "Morosidad" DESC, apellido, nombre, id_persona, id_consorcio LIMIT {n}"""
     )
 
@@ -201,9 +190,9 @@ ORACLE: dict[str, str] = {
     "top_delinquent_owners_all": _top(10, None, True, None),
     "top_delinquent_owners_listed": _top(3, None, False, ["enero", "febrero"]),
     "top_delinquent_owners_building": _top(5, 7, True, ["marzo", "abril", "mayo"]),
-    "top_delinquent_owners_dedup": _top(10, None, True, None, "once"),
+    "top_delinquent_owners_dedup": _top(10, None, True, None, False),
     "owner_delinquency": _with_views(
-        _delinquency(None, True, None) + "SELECT * FROM _morosidad"
+        _delinquency(None, True, None) + "SELECT * FROM _informe"
     ),
     "period_sets": _with_views(
         """
