@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ledger_spark.functions.amounts import parse_amount
 from ledger_spark.functions.categories import category_detail, category_name, expense_class
 from ledger_spark.functions.text import blank_to_null, month_name, month_start, normalise
-from ledger_spark.operators.quality import Split, split_rejects
+from ledger_spark.operators.membership import missing_from
+from ledger_spark.operators.quality import Split, duplicate_keys, split_rejects
 from ledger_spark.operators.reshape import wide_to_long
 from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
@@ -159,15 +160,22 @@ def import_suppliers(raw: DataFrame, existing: DataFrame | None = None) -> Split
 
 
 def import_services(
-    records: DataFrame, year: int | str, existing: DataFrame | None = None
+    records: DataFrame,
+    year: int | str,
+    existing: DataFrame | None = None,
+    repeated: str = "keep_last",
 ) -> Split:
     """Expense lines from monthly expense records.
 
     ``year`` is a number, or the name of a column that holds it. Of several
     records of one building and month the last one of the source (by
-    ``posicion``) counts. Rejected are records without building or month, and
-    single lines without a readable amount.
+    ``posicion``) counts; with ``repeated="reject"`` none does. Rejected are
+    also records without building or month, and single lines without a
+    readable amount.
     """
+    if repeated not in ("keep_last", "reject"):
+        raise ValueError(f"unknown policy {repeated!r}")
+    month = ["id_consorcio", "mes"]
     year_value = F.col(year) if isinstance(year, str) else F.lit(year)
     keyed = records.withColumn("id_consorcio", building_id(F.col("consorcio"))).withColumn(
         "mes", month_start(year_value, F.col("periodo"))
@@ -175,8 +183,15 @@ def import_services(
     complete, incomplete = _split(
         keyed, {"sin consorcio": _present("id_consorcio"), "sin mes": _present("mes")}
     )
-    latest = keep_latest(complete, ["id_consorcio", "mes"], "posicion")
-    lines = wide_to_long(latest, ["id_consorcio", "mes"], EXPENSE_CATEGORIES)
+    if repeated == "reject":
+        twice = duplicate_keys(complete, month).withColumn("motivo", F.lit("registro repetido"))
+        incomplete = incomplete.unionByName(
+            complete.join(twice.drop("filas"), month), allowMissingColumns=True
+        )
+        complete = missing_from(complete, twice, month)
+    else:
+        complete = keep_latest(complete, month, "posicion")
+    lines = wide_to_long(complete, month, EXPENSE_CATEGORIES)
     rotulo = F.col("rotulo")
     typed = lines.select(
         F.concat_ws("|", "id_consorcio", F.date_format("mes", "yyyy-MM")).alias(

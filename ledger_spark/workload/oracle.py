@@ -187,14 +187,14 @@ FROM _semana
 
 
 ORACLE: dict[str, str] = {
-    "top_delinquent_owners_all": _top(10, None, True, None),
+    "top_delinquent_owners": _top(10, None, True, None),
     "top_delinquent_owners_listed": _top(3, None, False, ["enero", "febrero"]),
     "top_delinquent_owners_building": _top(5, 7, True, ["marzo", "abril", "mayo"]),
     "top_delinquent_owners_dedup": _top(10, None, True, None, False),
     "owner_delinquency": _with_views(
         _delinquency(None, True, None) + "SELECT * FROM _informe"
     ),
-    "period_sets": _with_views(
+    "period_set": _with_views(
         """
 SELECT DISTINCT 'default' AS origen, lower(trim(periodo)) AS periodo FROM expensa
 UNION ALL
@@ -254,7 +254,7 @@ SELECT CAST(c_nationkey AS BIGINT) AS id_consorcio,
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN {_WIDE_NAMES} ON prioridad = o_orderpriority
 GROUP BY ALL
 """,
-    "expense_classes": f"""
+    "expense_class": f"""
 SELECT categoria, detalle,
   CASE WHEN categoria = 'EXTRAORDINARIO' THEN 'extraordinario' ELSE 'ordinario' END AS clase,
   COUNT(DISTINCT (c_nationkey, date_trunc('month', o_orderdate))) AS lineas,
@@ -344,11 +344,11 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
     "import_payments": _BANK.format(known="c_acctbal >= 0"),
     "unmatched_payments": _BANK.format(known="c_acctbal >= 0") + "WHERE c_acctbal < 0",
     "rematch_payments": _BANK.format(known="TRUE"),
-    "upsert_keep_existing": f"""{_LOTS}
+    "idempotent_upsert": f"""{_LOTS}
 SELECT {_LOT_COLUMNS} FROM guardado UNION ALL
 SELECT {_LOT_COLUMNS} FROM nuevo WHERE o_custkey NOT IN (SELECT o_custkey FROM guardado)
 """,
-    "upsert_newest_wins": f"""{_LOTS}
+    "idempotent_upsert_newest": f"""{_LOTS}
 SELECT {_LOT_COLUMNS} FROM (SELECT * FROM guardado UNION ALL SELECT * FROM nuevo)
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
 """,
@@ -417,14 +417,14 @@ SELECT id_uf, strftime(mes, '%Y-%m-%d') AS mes,
 FROM _corrido
 """
     ),
-    "weekly_cash_flow_all": _with_views(_weekly("pago")),
+    "weekly_cash_flow": _with_views(_weekly("pago")),
     "weekly_cash_flow_building": _with_views(
         _weekly(
             """(SELECT * FROM pago JOIN unidad_pagadora USING (id_persona) WHERE id_consorcio = 3
     AND fecha BETWEEN DATE '1996-01-01' AND DATE '1999-06-30')"""
         )
     ),
-    "collections_by_month_dept": _with_views(
+    "collections_month_dept": _with_views(
         "SELECT month(fecha) AS mes, "
         + ", ".join(
             f"CAST(SUM(CASE WHEN departamento = '{d}' THEN importe END) AS DOUBLE) AS \"{d}\""
@@ -433,19 +433,19 @@ FROM _corrido
         + """
 FROM pago JOIN unidad_pagadora USING (id_persona) WHERE year(fecha) = 1997 GROUP BY 1"""
     ),
-    "collections_by_type_period": _with_views(
+    "collections_type_period": _with_views(
         _SPLIT.format(
             join="""JOIN meses m ON m.nro = p.nro
   LEFT JOIN expensa e ON e.id_consorcio = p.id_consorcio AND e.periodo = m.mes_nombre"""
         )
     ),
-    "collections_by_type_month": _with_views(
+    "collections_type_month": _with_views(
         _SPLIT.format(
             join="""LEFT JOIN expensa_mes e ON e.id_consorcio = p.id_consorcio
   AND e.mes = make_date(anio, p.nro, 1)"""
         )
     ),
-    "top5_expense_and_income": _with_views(
+    "top5_expense_income": _with_views(
         """
 (SELECT 'gasto' AS tipo, strftime(mes, '%Y-%m-%d') AS mes, CAST(SUM(importe) AS DOUBLE) AS importe
   FROM gasto GROUP BY gasto.mes ORDER BY SUM(importe) DESC, gasto.mes LIMIT 5)
@@ -455,7 +455,7 @@ UNION ALL
   ORDER BY SUM(importe) DESC, date_trunc('month', fecha) LIMIT 5)
 """
     ),
-    "payment_interval_rows": _with_views(
+    "payment_intervals": _with_views(
         """
 _fechas AS (
   SELECT id_uf, fecha, LAG(fecha) OVER (PARTITION BY id_uf ORDER BY fecha) AS anterior
@@ -466,7 +466,7 @@ SELECT id_uf, strftime(fecha, '%Y-%m-%d') AS fecha,
 FROM _fechas
 """
     ),
-    "payment_interval_days": _with_views(
+    "payment_days": _with_views(
         _DAYS
         + """
 SELECT id_uf, strftime(fecha, '%Y-%m-%d') AS fecha, pagos,

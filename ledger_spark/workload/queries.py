@@ -15,17 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledger_spark.functions.amounts import parse_amount
-from ledger_spark.functions.categories import category_detail, category_name, expense_class
+from ledger_spark.functions import categories
 from ledger_spark.functions.text import month_name, month_number, month_start, normalise
 from ledger_spark.operators import membership, protect, quality, reshape, upsert
-from ledger_spark.operators.periods import charges_in_periods, period_set
+from ledger_spark.operators import periods as period_sets
+from ledger_spark.plans import cash_flow, collections, imports, intervals, rankings
 from ledger_spark.plans import charges as charging
-from ledger_spark.plans import imports
-from ledger_spark.plans.cash_flow import weekly_cash_flow
-from ledger_spark.plans.collections import collections_month_dept, collections_type_period
-from ledger_spark.plans.delinquency import delinquency, top_delinquent_owners
-from ledger_spark.plans.intervals import payment_days, payment_intervals
-from ledger_spark.plans.rankings import top5_expense_income
+from ledger_spark.plans import delinquency as debts
 from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY
 from ledger_spark.session import shared_folder
 from ledger_spark.sources import files
@@ -65,38 +61,38 @@ def query(function: Query) -> Query:
 
 
 @query
-def top_delinquent_owners_all(spark, sf_dir):
-    return top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, include_extra=True, n=10)
+def top_delinquent_owners(spark, sf_dir):
+    return debts.top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, include_extra=True, n=10)
 
 
 @query
 def top_delinquent_owners_listed(spark, sf_dir):
-    return top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, periods=" Enero ,FEBRERO")
+    return debts.top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, periods=" Enero ,FEBRERO")
 
 
 @query
 def top_delinquent_owners_building(spark, sf_dir):
-    return top_delinquent_owners(
+    return debts.top_delinquent_owners(
         ledger(spark, sf_dir), CUTOFF, building=7, include_extra=True, periods="marzo,abril , mayo", n=5
     )
 
 
 @query
 def top_delinquent_owners_dedup(spark, sf_dir):
-    return top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, include_extra=True, n=10, dedup=True)
+    return debts.top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, include_extra=True, n=10, dedup=True)
 
 
 @query
 def owner_delinquency(spark, sf_dir):
     """The report before its top-n: every owner and building."""
-    return delinquency(ledger(spark, sf_dir), CUTOFF, include_extra=True)
+    return debts.delinquency(ledger(spark, sf_dir), CUTOFF, include_extra=True)
 
 
 @query
-def period_sets(spark, sf_dir):
+def period_set(spark, sf_dir):
     charges = views.charges(spark, sf_dir)
-    default = period_set(charges).select(F.lit("default").alias("origen"), "periodo")
-    listed = period_set(charges, " Enero,enero ,MARZO,otro").select(
+    default = period_sets.period_set(charges).select(F.lit("default").alias("origen"), "periodo")
+    listed = period_sets.period_set(charges, " Enero,enero ,MARZO,otro").select(
         F.lit("lista").alias("origen"), "periodo"
     )
     return default.unionByName(listed)
@@ -104,7 +100,7 @@ def period_sets(spark, sf_dir):
 
 @query
 def listed_charges(spark, sf_dir):
-    return charges_in_periods(views.charges(spark, sf_dir), " Enero,MARZO ,otro")
+    return period_sets.charges_in_periods(views.charges(spark, sf_dir), " Enero,MARZO ,otro")
 
 
 # ---- cleaning ----------------------------------------------------------
@@ -248,15 +244,15 @@ def expense_unpivot(spark, sf_dir):
 
 
 @query
-def expense_classes(spark, sf_dir):
+def expense_class(spark, sf_dir):
     lines = reshape.wide_to_long(
         _wide_expenses(spark, sf_dir), ["id_consorcio", "mes"], EXPENSE_CATEGORIES
     )
     label = F.col("rotulo")
     return lines.groupBy(
-        category_name(label).alias("categoria"),
-        category_detail(label).alias("detalle"),
-        expense_class(label).alias("clase"),
+        categories.category_name(label).alias("categoria"),
+        categories.category_detail(label).alias("detalle"),
+        categories.expense_class(label).alias("clase"),
     ).agg(F.count(F.lit(1)).alias("lineas"), F.sum(parse_amount(F.col("valor"))).alias("importe"))
 
 
@@ -506,14 +502,14 @@ def _lots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 @query
-def upsert_keep_existing(spark, sf_dir):
+def idempotent_upsert(spark, sf_dir):
     stored, incoming = _lots(spark, sf_dir)
     once = upsert.idempotent_upsert(stored, incoming, ["o_custkey"])
     return upsert.idempotent_upsert(once, incoming, ["o_custkey"])
 
 
 @query
-def upsert_newest_wins(spark, sf_dir):
+def idempotent_upsert_newest(spark, sf_dir):
     stored, incoming = _lots(spark, sf_dir)
     once = upsert.idempotent_upsert(stored, incoming, ["o_custkey"], "newest_wins", "o_orderkey")
     return upsert.idempotent_upsert(once, incoming, ["o_custkey"], "newest_wins", "o_orderkey")
@@ -579,49 +575,49 @@ def unit_statement(spark, sf_dir):
 
 
 @query
-def weekly_cash_flow_all(spark, sf_dir):
-    return weekly_cash_flow(ledger(spark, sf_dir))
+def weekly_cash_flow(spark, sf_dir):
+    return cash_flow.weekly_cash_flow(ledger(spark, sf_dir))
 
 
 @query
 def weekly_cash_flow_building(spark, sf_dir):
-    return weekly_cash_flow(
+    return cash_flow.weekly_cash_flow(
         ledger(spark, sf_dir), datetime.date(1996, 1, 1), datetime.date(1999, 6, 30), building=3
     )
 
 
 @query
-def collections_by_month_dept(spark, sf_dir):
-    return collections_month_dept(ledger(spark, sf_dir), 1997, DEPARTMENTS)
+def collections_month_dept(spark, sf_dir):
+    return collections.collections_month_dept(ledger(spark, sf_dir), 1997, DEPARTMENTS)
 
 
 @query
-def collections_by_type_period(spark, sf_dir):
+def collections_type_period(spark, sf_dir):
     """Split by the charges of the month name, years pooled."""
-    return collections_type_period(ledger(spark, sf_dir))
+    return collections.collections_type_period(ledger(spark, sf_dir))
 
 
 @query
-def collections_by_type_month(spark, sf_dir):
+def collections_type_month(spark, sf_dir):
     """Split by the charges of the very month."""
     tables = ledger(spark, sf_dir)
-    return collections_type_period(tables, charging.charge_rollup(tables.expense_lines))
+    return collections.collections_type_period(tables, charging.charge_rollup(tables.expense_lines))
 
 
 @query
-def top5_expense_and_income(spark, sf_dir):
+def top5_expense_income(spark, sf_dir):
     tables = ledger(spark, sf_dir)
-    return top5_expense_income(tables.expense_lines, tables.payments)
+    return rankings.top5_expense_income(tables.expense_lines, tables.payments)
 
 
 @query
-def payment_interval_rows(spark, sf_dir):
-    return payment_intervals(ledger(spark, sf_dir))
+def payment_intervals(spark, sf_dir):
+    return intervals.payment_intervals(ledger(spark, sf_dir))
 
 
 @query
-def payment_interval_days(spark, sf_dir):
-    return payment_days(ledger(spark, sf_dir))
+def payment_days(spark, sf_dir):
+    return intervals.payment_days(ledger(spark, sf_dir))
 
 
 # ---- protection and audits ---------------------------------------------

@@ -109,6 +109,19 @@ def test_services_keep_the_last_record_and_report_the_rest(spark, records_path):
     assert again.accepted.count() == 0
 
 
+def test_services_may_reject_repeated_months(spark, records_path):
+    records = files.read_monthly_expenses(spark, records_path)
+    accepted, rejected = imports.import_services(records, 2025, repeated="reject")
+    assert rows(accepted, "categoria") == [("EXTRAORDINARIO",), ("LIMPIEZA",)]
+    assert rows(rejected.groupBy("motivo").count()) == [
+        ("importe ilegible", 1),
+        ("registro repetido", 2),
+        ("sin consorcio", 1),
+    ]
+    with pytest.raises(ValueError):
+        imports.import_services(records, 2025, repeated="other")
+
+
 def test_duplicate_records_are_reported(spark, records_path):
     records = files.read_monthly_expenses(spark, records_path)
     keyed = records.withColumn("periodo", F.lower(F.trim("periodo")))
