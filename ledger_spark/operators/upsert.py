@@ -15,7 +15,8 @@ def keep_latest(df: DataFrame, keys: list[str], *order: str | Column) -> DataFra
     task before the exchange, so a key with very many rows is no hot group.
     ``order`` must tell the rows of a key apart, else the choice is arbitrary.
     """
-    latest = Window.partitionBy(*keys).orderBy(*[F.desc(c) if isinstance(c, str) else c.desc() for c in order])
+    descending = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
+    latest = Window.partitionBy(*keys).orderBy(*descending)
     return df.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledger_spark.plans.payers import account_units, paid_by_account
-from ledger_spark.schemas import MONEY
+from ledger_spark.schemas import TOTAL
 from ledger_spark.tables import LedgerTables
 
 
@@ -46,9 +46,9 @@ def weekly_cash_flow(
     overall = Window.partitionBy()
     return weeks.where(F.col("semana").isNotNull()).select(
         "semana",
-        F.col("importe").cast(MONEY).alias("total"),
-        F.sum("importe").over(so_far).cast(MONEY).alias("acumulado"),
+        F.col("importe").cast(TOTAL).alias("total"),
+        F.sum("importe").over(so_far).cast(TOTAL).alias("acumulado"),
         (F.sum("importe").over(overall) / F.count(F.lit(1)).over(overall))
-        .cast(MONEY)
+        .cast(TOTAL)
         .alias("promedio_semanal"),
     )

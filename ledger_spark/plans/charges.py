@@ -9,7 +9,7 @@ from ledger_spark.functions.amounts import or_zero, percent_of
 from ledger_spark.functions.categories import EXTRAORDINARY
 from ledger_spark.operators.spread import lookup_join, spread
 from ledger_spark.plans.payers import account_units, paid_by_account
-from ledger_spark.schemas import MONEY
+from ledger_spark.schemas import MONEY, TOTAL
 
 
 def charge_rollup(
@@ -97,10 +97,10 @@ def unit_statement(
     )
     history = Window.partitionBy("id_uf").orderBy("mes").rowsBetween(Window.unboundedPreceding, 0)
     change = F.col("cargo") - F.col("pagado")
-    return by_month.withColumn("saldo_final", F.sum(change).over(history).cast(MONEY)).select(
+    return by_month.withColumn("saldo_final", F.sum(change).over(history).cast(TOTAL)).select(
         "id_uf",
         "mes",
-        (F.col("saldo_final") - change).cast(MONEY).alias("saldo_anterior"),
+        (F.col("saldo_final") - change).cast(TOTAL).alias("saldo_anterior"),
         "cargo",
         "pagado",
         "saldo_final",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledger_spark.functions.amounts import or_zero
 from ledger_spark.functions.text import month_number
 from ledger_spark.plans.payers import account_units, paid_by_account
-from ledger_spark.schemas import MONEY
+from ledger_spark.schemas import TOTAL
 from ledger_spark.tables import LedgerTables
 
 
@@ -34,7 +34,7 @@ def collections_month_dept(
         credited, "id_persona_cuenta"
     )
     months = cells.groupBy("mes").pivot("departamento", departments).agg(F.sum("importe"))
-    return months.select("mes", *[F.col(d).cast(MONEY).alias(d) for d in departments])
+    return months.select("mes", *[F.col(d).cast(TOTAL).alias(d) for d in departments])
 
 
 def collections_type_period(tables: LedgerTables, charges: DataFrame | None = None) -> DataFrame:
@@ -68,10 +68,10 @@ def collections_type_period(tables: LedgerTables, charges: DataFrame | None = No
         )
         .join(credited, "id_persona_cuenta")
         .groupBy("id_consorcio", "anio", "nro_mes")
-        .agg(F.sum("importe").cast(MONEY).alias("pagado"))
+        .agg(F.sum("importe").cast(TOTAL).alias("pagado"))
     )
     ratio = F.try_divide(F.col("ordinary").cast("double"), F.col("total").cast("double"))
-    part = F.round(F.col("pagado").cast("double") * ratio, 2).cast(MONEY)
+    part = F.round(F.col("pagado").cast("double") * ratio, 2).cast(TOTAL)
     return (
         paid.join(shares, keys, "left")
         .withColumn("pagado_ordinario", part)
@@ -81,6 +81,6 @@ def collections_type_period(tables: LedgerTables, charges: DataFrame | None = No
             F.col("nro_mes").alias("mes"),
             "pagado",
             "pagado_ordinario",
-            (F.col("pagado") - F.col("pagado_ordinario")).cast(MONEY).alias("pagado_extraordinario"),
+            (F.col("pagado") - F.col("pagado_ordinario")).cast(TOTAL).alias("pagado_extraordinario"),
         )
     )

@@ -18,7 +18,7 @@ from ledger_spark.operators.reshape import wide_to_long
 from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup
-from ledger_spark.schemas import CORRUPT, EXPENSE_CATEGORIES, MONEY, PERCENT
+from ledger_spark.schemas import CORRUPT, EXPENSE_CATEGORIES, PERCENT
 
 MATCHED = "asociado"
 UNMATCHED = "no asociado"
@@ -73,23 +73,26 @@ def import_buildings(raw: DataFrame, existing: DataFrame | None = None) -> Split
 
 def import_units(raw: DataFrame, existing: DataFrame | None = None) -> Split:
     """From roster rows; ``porcentaje`` is an amount as text where the file has one."""
-    share = (
-        parse_amount(F.col("porcentaje")).cast(PERCENT)
-        if "porcentaje" in raw.columns
-        else F.lit(None).cast(PERCENT)
-    )
+    text = blank_to_null(F.col("porcentaje")) if "porcentaje" in raw.columns else F.lit(None)
+    share = parse_amount(text.cast("string")).try_cast(PERCENT)
     building = building_id(F.col("consorcio"))
     typed = _typed(
         raw,
         unit_id(building, F.col("numero")).alias("id_uf"),
         building.alias("id_consorcio"),
-        F.col("numero").cast("int").alias("numero"),
+        F.col("numero").cast("bigint").alias("numero"),
         blank_to_null(F.col("piso")).alias("piso"),
         F.upper(blank_to_null(F.col("departamento"))).alias("departamento"),
         share.alias("porcentaje_de_prorrateo"),
+        (text.isNull() | share.isNotNull()).alias("porcentaje_legible"),
     )
-    rules = {"sin consorcio": _present("id_consorcio"), "sin numero": _present("numero")}
-    return _load(typed, rules, ["id_uf"], existing)
+    rules = {
+        "sin consorcio": _present("id_consorcio"),
+        "sin numero": _present("numero"),
+        "porcentaje ilegible": F.col("porcentaje_legible"),
+    }
+    accepted, rejected = _load(typed, rules, ["id_uf"], existing)
+    return Split(accepted.drop("porcentaje_legible"), rejected)
 
 
 def typed_people(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledger_spark.schemas import MONEY
+from ledger_spark.schemas import TOTAL
 
 
 def top5_expense_income(expense_lines: DataFrame, payments: DataFrame, n: int = 5) -> DataFrame:
@@ -14,7 +14,7 @@ def top5_expense_income(expense_lines: DataFrame, payments: DataFrame, n: int =
     def highest(rows: DataFrame, month, kind: str) -> DataFrame:
         return (
             rows.groupBy(month.alias("mes"))
-            .agg(F.sum("importe").cast(MONEY).alias("importe"))
+            .agg(F.sum("importe").cast(TOTAL).alias("importe"))
             .orderBy(F.desc("importe"), "mes")
             .limit(n)
             .select(F.lit(kind).alias("tipo"), "mes", "importe")

@@ -7,6 +7,8 @@ Nothing is inferred: inference costs a pass over the data, and it would turn
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# Sums over all payments outgrow 18 digits.
+TOTAL = T.DecimalType(28, 2)
 PERCENT = T.DecimalType(5, 2)
 
 
@@ -58,7 +60,7 @@ PERSON = _struct(
 UNIT = _struct(
     id_uf=_ID,
     id_consorcio=_ID,
-    numero=_INT,
+    numero=_LONG,
     piso=_STR,
     departamento=_STR,
     porcentaje_de_prorrateo=PERCENT,
@@ -90,7 +92,7 @@ ROSTER_FILE = T.StructType(
     [
         T.StructField("CVU/CBU", _STR),
         T.StructField("Nombre del consorcio", _STR),
-        T.StructField("nroUnidadFuncional", _INT),
+        T.StructField("nroUnidadFuncional", _LONG),
         T.StructField("piso", _STR),
         T.StructField("departamento", _STR),
     ]
@@ -130,7 +132,7 @@ MONTHLY_EXPENSES_NAMES = {"Nombre del consorcio": "consorcio", "Mes": "periodo"}
 PAYMENT_FILE = _struct(id_pago=_LONG, fecha=_STR, cbu_origen=_STR, importe=_STR)
 
 # Units with their share of the expenses, as text in any amount style.
-UNIT_FILE = _struct(consorcio=_STR, numero=_INT, piso=_STR, departamento=_STR, porcentaje=_STR)
+UNIT_FILE = _struct(consorcio=_STR, numero=_LONG, piso=_STR, departamento=_STR, porcentaje=_STR)
 
 QUOTE_FILE = _struct(moneda=_STR, fecha=_STR, compra=_STR, venta=_STR)
 

@@ -209,9 +209,19 @@ def test_unit_links(spark, roster_path):
 
 def test_unit_percentages_and_suppliers(spark):
     raw = spark.createDataFrame(
-        [("Rivera", 1, "PB", "a", "3,25"), ("Rivera", 2, " ", "b", None)], schemas.UNIT_FILE
+        [
+            ("Rivera", 1, "PB", "a", "3,25"),
+            ("Rivera", 2, " ", "b", None),
+            ("Rivera", 3, "1", "c", "mucho"),
+            ("Rivera", 4, "1", "d", "5.000,00"),
+        ],
+        schemas.UNIT_FILE,
     )
-    units = imports.import_units(raw).accepted
+    units, unreadable = imports.import_units(raw)
+    assert rows(unreadable, "numero", "motivo") == [
+        (3, "porcentaje ilegible"),
+        (4, "porcentaje ilegible"),
+    ]
     assert rows(units, "id_uf", "piso", "departamento", "porcentaje_de_prorrateo") == [
         ("rivera|1", "PB", "A", Decimal("3.25")),
         ("rivera|2", None, "B", None),
