@@ -25,7 +25,12 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     grouped by the key does not: it is already partitioned by it. With a digest
     as second join key it is exchanged once more, and the hot key can be split.
     A lookup that is small enough is broadcast all the same.
+
+    Keys of different types (int and bigint) compare equal but digest unequal,
+    so those are joined on the key alone.
     """
+    if rows.schema[key].dataType != lookup.schema[key].dataType:
+        return rows.join(lookup, key, how)
     digest = F.xxhash64(key)
     return (
         rows.withColumn("_digest", digest)

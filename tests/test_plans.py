@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from ledger_spark.operators.upsert import keep_latest
+from ledger_spark.operators.spread import lookup_join
+from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup, unit_charges, unit_statement
 from ledger_spark.plans.delinquency import delinquency
 from ledger_spark.plans.imports import match_payments
@@ -75,6 +76,24 @@ def test_statement_months_are_not_shuffled(spark, tmp_path):
     assert below and "Exchange" not in above
 
 
+def test_stored_rows_are_only_scanned_past_a_small_load(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    spark.createDataFrame([(5,), (2000,)], "id bigint").write.parquet(str(tmp_path / "load"))
+    load = spark.read.parquet(str(tmp_path / "load"))
+    fresh = new_rows(stored, load, ["id"])
+    assert rows(fresh) == [(2000,)]
+    assert "hashpartitioning" not in final_plan(fresh)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "decimal(20,0)"])
+def test_lookup_join_matches_keys_of_other_types(spark, kind):
+    left = spark.range(5).withColumnRenamed("id", "k")
+    lookup = spark.range(3).select(F.col("id").cast(kind).alias("k"), F.lit("x").alias("v"))
+    assert lookup_join(left, lookup, "k").count() == 3
+    assert lookup_join(left, lookup, "k", "left").where("v is null").count() == 2
+
+
 @pytest.fixture
 def small_skew_limits(spark):
     """Adaptive execution as on a cluster, with limits that suit a small fixture."""
