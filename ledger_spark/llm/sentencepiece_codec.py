@@ -20,8 +20,10 @@ from ledger_spark.llm.tables import pieces
 SPACE = "▁"
 CHUNK_BYTES = 2_000_000
 
-# The library decodes each byte that belongs to no character to a U+FFFD of its own.
-codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
+    """The library decodes each byte that belongs to no character to a U+FFFD of its own."""
+    return "\ufffd" * (error.end - error.start), error.end
 
 
 class PieceModel:
@@ -110,6 +112,7 @@ class PieceModel:
 
     def decode(self, ids) -> str:
         """Text of the ids: the dummy space of the first piece goes, stray bytes become U+FFFD."""
+        codecs.register_error("each_byte", _each_byte)
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "each_byte")
         return text[1:] if text.startswith(" ") and ids[0] != self.byte_ids[32] else text
 
