@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledger_spark.llm.merges import PairTable, WordCache, merge_words
-from ledger_spark.llm.tables import pieces
+from ledger_spark.llm.tables import pieces, share, shared
 
 SPACE = "▁"
 CHUNK_BYTES = 2_000_000
@@ -126,10 +126,10 @@ def encode_decode(
     NULL counts as the empty text, which has no ids and decodes to the empty text. Repeated rows
     and NULL ids are kept as they are; an empty table gives an empty table.
     """
-    model = df.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))  # vocabulary only
+    model = share(df.sparkSession, PieceModel.load(model_path))  # vocabulary only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = model.value
+        codec = shared(model)
         cache = WordCache(codec.encode_words)
         for batch in pieces(batches, 1, CHUNK_BYTES):
             words, bounds = [], [0]

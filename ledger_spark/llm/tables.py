@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ledger_spark.session import shared_folder
@@ -25,6 +27,15 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, model) -> Broadcast:
+    """A model of bounded size for all tasks, pickled with its classes; see ``shared``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shared(broadcast: Broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The rows in slices whose texts hold about ``limit`` bytes, at least one row each."""
     for batch in batches:

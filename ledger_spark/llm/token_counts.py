@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from ledger_spark.llm.merges import PairTable, WordCache, merge_words
-from ledger_spark.llm.tables import pieces
+from ledger_spark.llm.tables import pieces, share, shared
 
 CHUNK_BYTES = 2_000_000
 
@@ -105,10 +105,10 @@ def count_tokens(
     empty table gives an empty table. No shuffle; memory is bounded by slices of the texts and a
     word cache of fixed size.
     """
-    model = df.sparkSession.sparkContext.broadcast(WordModel(model_path))  # vocabulary only
+    model = share(df.sparkSession, WordModel(model_path))  # vocabulary only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = model.value
+        counter = shared(model)
         cache = WordCache(counter.counts)
         for batch in pieces(batches, 1, CHUNK_BYTES):
             words, bounds, specials = [], [0], []
