@@ -7,10 +7,11 @@ out the words that have no pair left. Only pairs next to a merge are looked up a
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from functools import cached_property
 from heapq import heapify, heappop, heappush
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 
@@ -129,13 +130,12 @@ def merge_words(
         keep[at + 1] = False
         sym, word, pair = sym[keep], word[keep], pair[keep]
         at = at - np.arange(len(at))
-        touched = np.unique(np.concatenate([at, at[at > 0] - 1]))
-        last = touched == len(sym) - 1
-        pair[touched[last]] = none
-        touched = touched[~last]
-        pair[touched] = np.where(
-            word[touched] == word[touched + 1], table.find(sym[touched], sym[touched + 1]), none
-        )
+        near = np.zeros(len(sym) + 1, dtype=bool)
+        near[at] = True
+        near[at - 1] = True  # -1 marks the place after the last symbol
+        pair[near[:-1]] = none
+        inner = np.flatnonzero(near[:-2] & (word[1:] == word[:-1]))
+        pair[inner] = table.find(sym[inner], sym[inner + 1])
     if not done_word:
         return np.empty(0, np.int32), np.zeros(len(lengths), np.int64)
     words, flat = np.concatenate(done_word), np.concatenate(done_sym)
@@ -149,13 +149,13 @@ class WordCache:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 200_000,
+        limit: int = 400_000,
     ):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = defaultdict(count().__next__)
         self.flat = np.empty(0, np.int32)
         self.counts = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
@@ -165,7 +165,7 @@ class WordCache:
         if len(self.index) > self.limit:
             self._clear()
         index, known = self.index, len(self.index)
-        codes = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
+        codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
         if len(index) > known:
             flat, counts = self.encode(list(islice(index, known, None)))
             starts = len(self.flat) + np.cumsum(counts) - counts

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger_spark.llm.sentencepiece_codec import encode_decode
+from ledger_spark.llm.simhash import near_duplicates
 from ledger_spark.llm.tables import table
 from ledger_spark.llm.token_counts import count_tokens
 
@@ -28,7 +29,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op10_simhash": op10_simhash,
 }

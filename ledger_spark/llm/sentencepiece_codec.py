@@ -35,20 +35,21 @@ class PieceModel:
             plain.pop(vocabulary[i][0], None)
         scores = sorted({s for p, s in vocabulary if p in plain}, reverse=True)
         rank_of = {s: r for r, s in enumerate(scores)}
-        # Symbols: piece ids, then one symbol for each character that is not a piece.
+        # Symbols: piece ids, then code points of characters that are no piece.
         self.pieces = len(vocabulary)
         self.byte_ids = np.array(byte_ids, dtype=np.int32)
-        self.chars = {p: i for p, i in plain.items() if len(p) == 1}
-        self.char_names: dict[int, str] = {}
-        parts = {p[:k] for p in plain for k in range(1, len(p))}
-        parts |= {p[k:] for p in plain for k in range(1, len(p))}
-        singles = sorted(p for p in parts if len(p) == 1 and p not in plain)
-        self.extra = {c: self.pieces + i for i, c in enumerate(singles)}
+        self.symbol_of = np.arange(0x110000, dtype=np.int32) + self.pieces
+        for piece, i in plain.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = i
         left, right, rank, merged = [], [], [], []
-        known = plain | self.extra
+
+        def symbol(part: str) -> int | None:
+            return int(self.symbol_of[ord(part)]) if len(part) == 1 else plain.get(part)
+
         for piece, i in plain.items():
             for k in range(1, len(piece)):
-                a, b = known.get(piece[:k]), known.get(piece[k:])
+                a, b = symbol(piece[:k]), symbol(piece[k:])
                 if a is not None and b is not None:
                     left.append(a)
                     right.append(b)
@@ -84,23 +85,15 @@ class PieceModel:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and the number of each."""
-        chars, extra, names = self.chars, self.extra, {}
-        base = self.pieces + len(extra)
-        flat: list[int] = []
-        for c in "".join(words):
-            i = chars.get(c)
-            if i is None:
-                i = extra.get(c)
-            if i is None:
-                i = names.setdefault(c, base + len(names))
-            flat.append(i)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ids, counts = merge_words(np.array(flat, dtype=np.int64), lengths, self.table)
+        ids, counts = merge_words(self.symbol_of[points], lengths, self.table)
         unknown = np.flatnonzero(ids >= self.pieces)
         if not len(unknown):
             return ids, counts
-        character = {i: c for c, i in (extra | names).items()}
-        spelled = [self.byte_ids[list(character[i].encode())] for i in ids[unknown].tolist()]
+        spelled = [
+            self.byte_ids[list(chr(i - self.pieces).encode())] for i in ids[unknown].tolist()
+        ]
         sizes = np.ones(len(ids), dtype=np.int64)
         sizes[unknown] = [len(x) for x in spelled]
         out = np.repeat(ids, sizes)
