@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledger_spark.llm.decontamination import verdicts
+from ledger_spark.llm.pii import BASE, count_of, listed, personal_data
 from ledger_spark.llm.sentencepiece_codec import encode_decode
 from ledger_spark.llm.simhash import near_duplicates
 from ledger_spark.llm.tables import table
@@ -29,6 +31,32 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data(docs).select("doc_id", "pii_spans")
+    counts = [count_of(F.col("pii_spans"), kind).alias(f"n_{kind}") for kind in BASE]
+    base = F.filter("pii_spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii_spans")).alias("spans"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = verdicts(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -41,5 +69,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op5_pii": op5_pii,
+    "op8_decontamination": op8_decontamination,
     "op10_simhash": op10_simhash,
 }
