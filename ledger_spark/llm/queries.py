@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledger_spark.llm import language_id, secret_scan
 from ledger_spark.llm.decontamination import verdicts
 from ledger_spark.llm.pii import BASE, count_of, listed, personal_data
 from ledger_spark.llm.sentencepiece_codec import encode_decode
@@ -44,6 +45,20 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    spans = F.col("secret_spans")
+    counts = [count_of(spans, kind).alias(f"n_{kind}") for kind in secret_scan.BASE]
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = verdicts(docs, table(spark, sf_dir, "benchmark"))
@@ -57,6 +72,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.where(~kept))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", kept.alias("held_out"), "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -70,6 +93,8 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
     "op5_pii": op5_pii,
+    "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }

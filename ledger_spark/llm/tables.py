@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pickle
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ledger_spark.session import shared_folder
 
@@ -48,3 +50,32 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterat
             size += length
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def from_text(
+    df: DataFrame,
+    text_column: str,
+    added: str,
+    start: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
+    limit: int = 4_000_000,
+) -> DataFrame:
+    """``df`` with columns computed from a text column, all rows and other columns as they are.
+
+    ``added`` is their schema as DDL, ``start`` is called once a task and gives the function from
+    texts to arrays. Columns of these names are replaced. No shuffle; texts come in slices.
+    """
+    new = StructType.fromDDL(added)
+    rows = df.drop(*new.fieldNames())
+    kinds = to_arrow_schema(new)
+    at = rows.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for batch in pieces(batches, at, limit):
+            made = compute(batch.column(at).to_pylist())
+            names = batch.schema.names + kinds.names
+            yield pa.RecordBatch.from_arrays(
+                batch.columns + [a.cast(k) for a, k in zip(made, kinds.types, strict=True)], names
+            )
+
+    return rows.mapInArrow(run, StructType(rows.schema.fields + new.fields))
