@@ -1,3 +1,86 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express, written from the definitions."""
 
-ORACLE: dict[str, str] = {}
+CHAT = """
+WITH said AS (
+    SELECT DISTINCT conv_id, turn, role AS speaker, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL
+), parts AS (
+    SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'
+), headed AS (
+    SELECT *, CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
+        ELSE 'user name=' || speaker END AS header
+    FROM said JOIN parts USING (conv_id)
+), rendered AS (
+    SELECT *, '<|im_start|>' || header || chr(10) || text || '<|im_end|>' || chr(10) AS segment
+    FROM headed
+), placed AS (
+    SELECT *, sum(length(segment)) OVER (PARTITION BY conv_id, perspective
+        ORDER BY turn, speaker, text ROWS UNBOUNDED PRECEDING) AS stop FROM rendered
+)
+SELECT conv_id, perspective, turn, speaker, segment,
+    CAST(stop - length(segment) AS BIGINT) AS "begin", CAST(stop AS BIGINT) AS "end",
+    CAST(CASE WHEN speaker = perspective
+        THEN stop - length(segment) + 13 + length(header) END AS BIGINT) AS mask_begin,
+    CAST(CASE WHEN speaker = perspective THEN stop - 1 END AS BIGINT) AS mask_end
+FROM placed
+"""
+
+TOPK = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len(embedding) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+CONTAMINATION = """
+WITH items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), starts AS (
+    SELECT item_id, w, least(len(w), 13) AS k,
+        unnest(generate_series(1, len(w) - least(len(w), 13) + 1)) AS place
+    FROM items WHERE len(w) > 0
+), grams AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[place : place + k - 1], ' ') AS gram FROM starts
+), docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+    FROM documents
+), lengths AS (
+    SELECT DISTINCT k FROM grams
+), places AS (
+    SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS place
+    FROM docs JOIN lengths ON len(w) >= k
+), found AS (
+    SELECT doc_id, place, g.k, item_id
+    FROM places p JOIN grams g ON g.k = p.k AND array_to_string(w[place : place + p.k - 1], ' ') = gram
+), hits AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(place, place + k - 1)) AS word FROM found) GROUP BY ALL
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY ALL
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_chat_rotation": CHAT,
+    "op6_topk": TOPK,
+    "op8_decontamination": CONTAMINATION,
+}

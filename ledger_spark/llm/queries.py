@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger_spark.llm import language_id, secret_scan
+from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.decontamination import verdicts
 from ledger_spark.llm.pii import BASE, count_of, listed, personal_data
 from ledger_spark.llm.sentencepiece_codec import encode_decode
 from ledger_spark.llm.simhash import near_duplicates
 from ledger_spark.llm.tables import table
+from ledger_spark.llm.threshold_search import integer_vector, search, usable
 from ledger_spark.llm.token_counts import count_tokens
 
 
@@ -32,6 +34,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(spark, sf_dir, "conversations"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data(docs).select("doc_id", "pii_spans")
@@ -45,6 +51,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = (
+        table(spark, sf_dir, "embeddings")
+        .where(usable(F.col("embedding")))
+        .select("vec_id", integer_vector(F.col("embedding")).alias("v"))
+    )
+    return search(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.train(docs))
@@ -92,7 +107,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op3_chat_rotation": op3_chat_rotation,
     "op5_pii": op5_pii,
+    "op6_topk": op6_topk,
     "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
