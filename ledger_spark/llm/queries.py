@@ -12,6 +12,7 @@ from ledger_spark.llm.decontamination import verdicts
 from ledger_spark.llm.pii import BASE, count_of, listed, personal_data
 from ledger_spark.llm.sentencepiece_codec import encode_decode
 from ledger_spark.llm.simhash import near_duplicates
+from ledger_spark.llm.suffix_dedup import remove_repeats
 from ledger_spark.llm.tables import table
 from ledger_spark.llm.threshold_search import integer_vector, search, usable
 from ledger_spark.llm.token_counts import count_tokens
@@ -38,6 +39,17 @@ def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data(docs).select("doc_id", "pii_spans")
@@ -108,6 +120,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
     "op3_chat_rotation": op3_chat_rotation,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pii": op5_pii,
     "op6_topk": op6_topk,
     "op7_secrets": op7_secrets,
