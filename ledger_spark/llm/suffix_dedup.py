@@ -249,8 +249,13 @@ def _refined(members: DataFrame, width: int) -> DataFrame:
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """(doc, mark, start, end) of byte runs that are covered by strings that also start earlier."""
     several = _anchor_rows(rows, False).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    several = several.where("n > 1").select("h").hint("shuffle_hash")
-    members = scratch(_anchor_rows(rows, True).join(several, "h", "left_semi"), "anchors")
+    # With a second key both sides come straight out of an exchange, so adaptive execution can split
+    # the anchors of a very common q-gram over many tasks.
+    parity = F.col("h").bitwiseAND(F.lit(1)).alias("parity")
+    several = several.where("n > 1").select("h", parity).hint("shuffle_hash")
+    anchored = _anchor_rows(rows, True).select("*", parity)
+    members = anchored.join(several, ["h", "parity"], "left_semi").drop("parity")
+    members = scratch(members, "anchors")
     found, open_ = _settled(members)
     parts = [scratch(found, "repeats")]
     members = _with_bytes(open_, rows)
