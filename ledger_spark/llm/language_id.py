@@ -108,6 +108,30 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
+def _sample(rows: DataFrame) -> DataFrame:
+    """(lang, rank, text): of each language the distinct texts of smallest hash, up to the bound.
+
+    Only hashes below a share that leaves about four times the bound are ranked, so what meets in the
+    task of a language does not grow with the table; copies of a text count once.
+    """
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))  # per language
+    share_kept = F.least(F.lit(1.0), 4.0 * MAX_ROWS_PER_LANGUAGE / F.col("n"))
+    place = F.shiftrightunsigned("hash", 11) / F.lit(float(1 << 53))
+    keys = (
+        hashed.select("lang", "hash")
+        .join(F.broadcast(counts), "lang")
+        .where(place <= share_kept)
+        .select("lang", "hash")
+        .distinct()
+    )
+    first = Window.partitionBy("lang").orderBy("hash")
+    keys = keys.withColumn("rank", F.row_number().over(first))
+    keys = keys.where(F.col("rank") <= MAX_ROWS_PER_LANGUAGE)
+    found = hashed.join(F.broadcast(keys), ["lang", "hash"])
+    return found.groupBy("lang", "rank").agg(F.min("text").alias("text"))
+
+
 def train(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang") -> LanguageModel:
     """The model of the rows that have a language; no other column is looked at.
 
@@ -134,14 +158,8 @@ def train(labelled: DataFrame, text_column: str = "text", lang_column: str = "la
     for bucket, n in counted.groupBy("bucket").agg(F.sum("n")).collect():
         df[bucket] = n
     idf = np.log((1.0 + df[BUCKETS]) / (1.0 + df[:BUCKETS])) + 1.0
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        rows.withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= MAX_ROWS_PER_LANGUAGE)
-        .orderBy("_rank", "lang")
-        .select("lang", "text")
-        .collect()
-    )
+    sample = _sample(rows).collect()
+    sample.sort(key=lambda r: (r["rank"], r["lang"]))
     languages = sorted({r["lang"] for r in sample})
     model = LanguageModel(languages, idf.astype(np.float64))
     place = {lang: i for i, lang in enumerate(languages)}
