@@ -37,6 +37,8 @@ CODE[list(ALPHABET.encode())] = np.arange(1, SYMBOLS)
 IS_HEX = np.zeros(256, dtype=bool)
 IS_HEX[list(b"0123456789abcdef")] = True
 
+# Weight, in pairs, of the frequencies of single characters.
+BACKOFF = 5.0
 MIN_TOKEN = 20
 MIN_RATIO_PER_CHARACTER = 0.7
 CHUNK_BYTES = 4_000_000
@@ -132,8 +134,12 @@ def train(df: DataFrame, text_column: str = "text") -> np.ndarray:
     logs = np.zeros((2, SYMBOLS * SYMBOLS))
     for label, pair, n in counted.groupBy("label", "pair").agg(F.sum("n")).collect():
         logs[label, pair] = max(n, 0)
-    logs = logs.reshape(2, SYMBOLS, SYMBOLS) + 0.5
-    logs = np.log(logs / logs.sum(axis=2, keepdims=True))
+    logs = logs.reshape(2, SYMBOLS, SYMBOLS)
+    # Rare pairs lean on how often the character occurs at all in its class.
+    single = logs.sum(axis=1, keepdims=True) + 0.5
+    single /= single.sum(axis=2, keepdims=True)
+    logs = (logs + BACKOFF * single) / (logs.sum(axis=2, keepdims=True) + BACKOFF)
+    logs = np.log(logs)
     return logs[1] - logs[0]
 
 
