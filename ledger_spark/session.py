@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -33,11 +30,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names, else (only in
-    local mode) a temporary one."""
+    """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir; where that
+    is unset, as in tests, one beside the tables of the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(tempfile.gettempdir(), f"ledger-spark-{spark.sparkContext.applicationId}")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledger-spark-scratch"

@@ -7,6 +7,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import difference, register
+from ledger_spark.workload.oracle import ORACLE
+from ledger_spark.workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,11 +26,11 @@ def test_entry(spark):
     assert entry(spark).count() == 10
 
 
-def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_ledger_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, connection, name):
     got = queries()[name](spark, SF).toPandas()
     want = connection.sql(oracle_sql()[name]).df()
