@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import sys
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledger_spark.operators.protect import protected_owners
 from ledger_spark.plans import monthly
 from ledger_spark.plans.cash_flow import weekly_cash_flow
-from ledger_spark.plans.charges import unit_statement
+from ledger_spark.plans.charges import undated, unit_statement
 from ledger_spark.plans.collections import collections_month_dept, collections_type_period
 from ledger_spark.plans.delinquency import top_delinquent_owners
+from ledger_spark.plans.imports import charge_reconciliation
 from ledger_spark.plans.intervals import payment_intervals
 from ledger_spark.plans.rankings import top5_expense_income
 from ledger_spark.session import SETTINGS
@@ -25,7 +27,9 @@ LOADS = {
     "load-units": lambda store, a: monthly.load_units(store, a.file),
     "load-people": lambda store, a: monthly.load_people(store, a.file, a.roster),
     "load-suppliers": lambda store, a: monthly.load_suppliers(store, a.file),
-    "load-services": lambda store, a: monthly.load_services(store, a.file, a.year, a.json_lines),
+    "load-services": lambda store, a: monthly.load_services(
+        store, a.file, a.year, a.json_lines, a.repeated
+    ),
     "load-payments": lambda store, a: monthly.load_payments(store, a.file),
     "load-quotes": lambda store, a: monthly.load_quotes(store, a.file, a.sequence),
     "rematch-payments": lambda store, a: monthly.rematch_payments(store),
@@ -48,15 +52,39 @@ REPORTS = {
         t.people, a.audience, a.clear.split(","), Path(a.pepper_file).read_text().strip()
     ),
     "unit-statement": lambda t, a: unit_statement(
-        t.units, t.charges, t.payments, t.accounts, t.unit_people
+        t.units, t.charges, t.payments, t.accounts, t.unit_people, since=a.since, until=a.until
     ),
+    "charge-reconciliation": lambda t, a: charge_reconciliation(t.expense_lines, t.charges),
+    "undated": lambda t, a: undated(t.charges, t.payments),
+}
+
+# Options of each step besides --root; reports also take --out.
+OPTIONS = {
+    "load-roster": ["file"],
+    "load-units": ["file"],
+    "load-people": ["file", "roster"],
+    "load-suppliers": ["file"],
+    "load-services": ["file", "year", "json_lines", "repeated"],
+    "load-payments": ["file"],
+    "load-quotes": ["file", "sequence"],
+    "publish": ["table"],
+    "top-delinquent-owners": ["cutoff", "building", "extra", "periods", "top", "dedup"],
+    "weekly-cash-flow": ["since", "until", "building"],
+    "collections-month-dept": ["year", "departments", "building"],
+    "top5-expense-income": ["top"],
+    "protected-owners": ["audience", "clear", "pepper_file"],
+    "unit-statement": ["since", "until"],
 }
 
 
 def _tables(store: LedgerStore, args: argparse.Namespace) -> LedgerTables:
-    """The tables, with the payments of the months the report covers."""
-    since, until = args.since, args.until or args.cutoff
-    if args.year:
+    """The tables, with the payments that the report counts; a statement counts all."""
+    since = until = None
+    if args.step == "top-delinquent-owners":
+        until = args.cutoff
+    elif args.step == "weekly-cash-flow":
+        since, until = args.since, args.until
+    elif args.step == "collections-month-dept" and args.year:
         since, until = datetime.date(args.year, 1, 1), datetime.date(args.year, 12, 31)
     return store.tables(since, until)
 
@@ -68,6 +96,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--file", help="file, folder or glob to load")
     parser.add_argument("--roster", help="unit roster, for load-people")
     parser.add_argument("--json-lines", action="store_true")
+    parser.add_argument("--repeated", choices=["keep_last", "reject"], default="keep_last")
     parser.add_argument("--out", help="folder to write the report to; shown when absent")
     parser.add_argument("--year", type=int)
     parser.add_argument("--departments", default="A,B,C,D,E")
@@ -87,7 +116,12 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame | None:
-    args = _parser().parse_args(arguments)
+    parser = _parser()
+    args = parser.parse_args(arguments)
+    allowed = {"step", "root", *OPTIONS.get(args.step, []), *(["out"] if args.step in REPORTS else [])}
+    for name, value in vars(args).items():
+        if name not in allowed and value != parser.get_default(name):
+            parser.error(f"{args.step} has no --{name.replace('_', '-')}")
     store = LedgerStore(spark, args.root)
     if args.step in LOADS:
         LOADS[args.step](store, args)
@@ -104,8 +138,10 @@ def main() -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     report = run(spark)
-    if report is not None:
-        report.show(50, truncate=False)
+    if report is not None and "--out" not in sys.argv:
+        print("|".join(report.columns))
+        for row in report.toLocalIterator():  # every row; one partition at a time
+            print("|".join("" if value is None else str(value) for value in row))
 
 
 if __name__ == "__main__":

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ledger_spark.functions.text import normalise
 
-# A typed-in list is broadcast only up to this many characters.
-BROADCAST_LIST_CHARS = 1_000_000
-
 
 def split_list(spark: SparkSession, text: str) -> DataFrame:
     """One row ``periodo`` per distinct entry of a comma-separated list."""
@@ -36,6 +33,4 @@ def charges_in_periods(charges: DataFrame, periods: str | None = None, building=
     if periods is None:
         return scope.where(F.col("periodo").isNotNull())
     wanted = split_list(charges.sparkSession, periods).withColumnRenamed("periodo", "wanted")
-    if len(periods) <= BROADCAST_LIST_CHARS:
-        wanted = F.broadcast(wanted)
     return scope.join(wanted, normalise(F.col("periodo")) == F.col("wanted"), "left_semi")

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash the rows into as many partitions as the session shuffles into.
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Hash the rows into a number of partitions, by default as many as the session shuffles into.
 
     Adaptive execution sizes partitions by the bytes that enter a stage. Where
     a row leaves it as a hundred, that gives far too few tasks; a fixed number
     of partitions is not merged.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions or default, *keys)
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -26,12 +26,11 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     as second join key it is exchanged once more, and the hot key can be split.
     A lookup that is small enough is broadcast all the same.
 
-    Keys of different types (int and bigint) compare equal but digest unequal,
-    so those are joined on the key alone.
+    Keys of different types (int and bigint, int and text) compare equal but
+    digest unequal, so the digest is taken of their text.
     """
-    if rows.schema[key].dataType != lookup.schema[key].dataType:
-        return rows.join(lookup, key, how)
-    digest = F.xxhash64(key)
+    same = rows.schema[key].dataType == lookup.schema[key].dataType
+    digest = F.xxhash64(F.col(key) if same else F.col(key).cast("string"))
     return (
         rows.withColumn("_digest", digest)
         .join(lookup.withColumn("_digest", digest), [key, "_digest"], how)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,17 +37,36 @@ def _share(total) -> Column:
 
 
 def _by_month(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """One row per key with a map from month to value: an entry per calendar month."""
+    """One row per key with a map from month to value: an entry per calendar month. Rows without a
+    month are no part of any; ``undated`` reports them."""
     entries = F.collect_list(F.struct("mes", value))
-    return rows.groupBy(key).agg(F.map_from_entries(entries).alias(alias))
+    return rows.where(F.col("mes").isNotNull()).groupBy(key).agg(F.map_from_entries(entries).alias(alias))
+
+
+def undated(charges: DataFrame, payments: DataFrame) -> DataFrame:
+    """Charges without a month and payments without a day: their number and sum. They are in no
+    monthly result."""
+    amount = or_zero(F.col("total_ordinarios")) + or_zero(F.col("total_extraordinarios"))
+    parts = [
+        charges.where(F.col("mes").isNull()).select(F.lit("expensas").alias("tabla"), amount.alias("x")),
+        payments.where(F.col("fecha_de_pago").isNull()).select(
+            F.lit("pagos").alias("tabla"), or_zero(F.col("importe")).alias("x")
+        ),
+    ]
+    return parts[0].union(parts[1]).groupBy("tabla").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("x").cast(TOTAL).alias("importe")
+    )
 
 
-def unit_charges(units: DataFrame, charges: DataFrame, include_extra: bool = True) -> DataFrame:
-    """Each unit's share of its building's total, per month, rounded to cents."""
+def unit_charges(
+    units: DataFrame, charges: DataFrame, include_extra: bool = True, partitions: int | None = None
+) -> DataFrame:
+    """Each unit's share of its building's total, per month, rounded to cents. ``partitions`` is the
+    number of tasks that write the month rows."""
     totals = _monthly_totals(charges, include_extra)
     by_building = _by_month(totals, "id_consorcio", "total", "totales")
     return (
-        lookup_join(spread(units, "id_uf"), by_building, "id_consorcio")
+        spread(lookup_join(units, by_building, "id_consorcio"), "id_uf", partitions=partitions)
         .select("*", F.explode("totales").alias("mes", "total"))
         .select("id_uf", "id_consorcio", "mes", _share(F.col("total")).alias("cargo"))
     )
@@ -58,6 +79,9 @@ def unit_statement(
     accounts: DataFrame,
     unit_people: DataFrame,
     include_extra: bool = True,
+    since: datetime.date | None = None,
+    until: datetime.date | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Opening balance, charge, payments and closing balance per unit and month.
 
@@ -66,9 +90,11 @@ def unit_statement(
     The result has a row per unit and month, many times the rows of its inputs,
     so those rows are made last. Until then a unit is one row, with its monthly
     payments and its building's monthly totals as maps bounded by the calendar.
-    Where the charges are small enough to broadcast (the stored charge table
-    is), the units stay partitioned by id, and neither the month rows nor the
-    running window over them are shuffled.
+    Units are dealt out by id just before, so neither the month rows nor the
+    running window over them are shuffled, however the charges were joined.
+
+    ``since`` and ``until`` choose the months to show; balances always count
+    the whole history.
     """
     dates = F.array().cast("array<date>")
     paid = (
@@ -81,12 +107,14 @@ def unit_statement(
     months = F.array_union(
         F.coalesce(F.map_keys("totales"), dates), F.coalesce(F.map_keys("pagos"), dates)
     )
-    rows = spread(units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo"), "id_uf").join(
+    rows = units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo").join(
         _by_month(paid, "id_uf", "pagado", "pagos"), "id_uf", "left"
     )
     by_building = _by_month(totals, "id_consorcio", "total", "totales")
     by_month = (
-        lookup_join(rows, by_building, "id_consorcio", "left")
+        spread(
+            lookup_join(rows, by_building, "id_consorcio", "left"), "id_uf", partitions=partitions
+        )
         .select("*", F.explode(months).alias("mes"))
         .select(
             "id_uf",
@@ -97,7 +125,12 @@ def unit_statement(
     )
     history = Window.partitionBy("id_uf").orderBy("mes").rowsBetween(Window.unboundedPreceding, 0)
     change = F.col("cargo") - F.col("pagado")
-    return by_month.withColumn("saldo_final", F.sum(change).over(history).cast(TOTAL)).select(
+    balances = by_month.withColumn("saldo_final", F.sum(change).over(history).cast(TOTAL))
+    if since is not None:
+        balances = balances.where(F.col("mes") >= F.lit(since.replace(day=1)))
+    if until is not None:
+        balances = balances.where(F.col("mes") <= F.lit(until))
+    return balances.select(
         "id_uf",
         "mes",
         (F.col("saldo_final") - change).cast(TOTAL).alias("saldo_anterior"),

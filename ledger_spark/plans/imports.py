@@ -6,19 +6,20 @@ appends nothing) and the rejected rows with the reason in ``motivo``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledger_spark.functions.amounts import parse_amount
+from ledger_spark.functions.amounts import or_zero, parse_amount, parse_percent
 from ledger_spark.functions.categories import category_detail, category_name, expense_class
 from ledger_spark.functions.text import blank_to_null, month_name, month_start, normalise
 from ledger_spark.operators.membership import missing_from
 from ledger_spark.operators.quality import Split, duplicate_keys, split_rejects
-from ledger_spark.operators.reshape import wide_to_long
 from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup
-from ledger_spark.schemas import CORRUPT, EXPENSE_CATEGORIES, PERCENT
+from ledger_spark.schemas import CORRUPT, MONEY, TOTAL
 
 MATCHED = "asociado"
 UNMATCHED = "no asociado"
@@ -37,10 +38,45 @@ def _present(column: str) -> Column:
     return F.col(column).isNotNull()
 
 
-def _one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, chosen by the other columns so that a rerun chooses alike."""
-    others = [c for c in df.columns if c not in keys]
-    return keep_latest(df, keys, *others) if others else df.distinct()
+def _one_per_key(df: DataFrame, key: str) -> Split:
+    """One row per key, chosen by the other columns so that a rerun chooses alike; rows of the
+    same key and other content are rejected. Identical copies are one row.
+
+    The chosen row is a maximum, combined in the map tasks, and the rows of a key that occurs
+    very often are split over tasks when they are compared with it.
+    """
+    others = [c for c in df.columns if c != key]
+    rows = df.distinct()
+    if not others:
+        return Split(rows, rows.withColumn("motivo", F.lit("")).where(F.lit(False)))
+    content = F.struct(*others)
+    chosen = rows.groupBy(key).agg(F.max(content).alias("_elegida"))
+    repeated = (
+        lookup_join(rows, chosen, key)
+        .where(~content.eqNullSafe(F.col("_elegida")))
+        .select(*df.columns, F.lit("clave repetida").alias("motivo"))
+    )
+    return Split(chosen.select(key, "_elegida.*").select(*df.columns), repeated)
+
+
+def _changed(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is stored with other content. What a row leaves open is no change."""
+    compared = [c for c in rows.columns if c in existing.columns and c not in keys]
+    if not compared:
+        return rows.withColumn("motivo", F.lit("")).where(F.lit(False))
+    wanted = rows.select(*[F.col(k).alias(f"_n_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys]
+    stored = existing.join(wanted, reduce(Column.__and__, same), "left_semi").select(
+        *[F.col(c).alias(f"_s_{c}") for c in [*keys, *compared]]
+    )
+    at = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+    other = [F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in compared]
+    return (
+        rows.join(stored, reduce(Column.__and__, at))
+        .where(reduce(Column.__or__, other))
+        .select(*rows.columns, F.lit("clave ya cargada").alias("motivo"))
+        .distinct()
+    )
 
 
 def _typed(raw: DataFrame, *columns: Column | str) -> DataFrame:
@@ -56,11 +92,25 @@ def _split(typed: DataFrame, rules: dict[str, Column]) -> Split:
 
 
 def _load(
-    typed: DataFrame, rules: dict[str, Column], keys: list[str], existing: DataFrame | None
+    typed: DataFrame,
+    rules: dict[str, Column],
+    keys: list[str],
+    existing: DataFrame | None,
+    texts: list[str] = (),
 ) -> Split:
+    """Rows in = rows to append + rows stored already + identical copies + rejected rows.
+
+    ``texts`` are columns kept for the rejected rows only: the text that could not be read.
+    """
     accepted, rejected = _split(typed, rules)
-    rows = _one_per_key(accepted, keys)
-    return Split(rows if existing is None else new_rows(existing, rows, keys), rejected)
+    rows, repeated = _one_per_key(accepted.drop(*texts), keys[0])
+    rejected = rejected.unionByName(repeated, allowMissingColumns=True)
+    if existing is None:
+        return Split(rows, rejected)
+    changed = _changed(existing, rows, keys)
+    return Split(
+        new_rows(existing, rows, keys), rejected.unionByName(changed, allowMissingColumns=True)
+    )
 
 
 def import_buildings(raw: DataFrame, existing: DataFrame | None = None) -> Split:
@@ -72,9 +122,9 @@ def import_buildings(raw: DataFrame, existing: DataFrame | None = None) -> Split
 
 
 def import_units(raw: DataFrame, existing: DataFrame | None = None) -> Split:
-    """From roster rows; ``porcentaje`` is an amount as text where the file has one."""
+    """From roster rows; ``porcentaje`` is text where the file has one."""
     text = blank_to_null(F.col("porcentaje")) if "porcentaje" in raw.columns else F.lit(None)
-    share = parse_amount(text.cast("string")).try_cast(PERCENT)
+    share = parse_percent(text.cast("string"))
     building = building_id(F.col("consorcio"))
     typed = _typed(
         raw,
@@ -96,8 +146,8 @@ def import_units(raw: DataFrame, existing: DataFrame | None = None) -> Split:
 
 
 def typed_people(raw: DataFrame) -> DataFrame:
-    """People with trimmed names, lower-case e-mail and bare document numbers."""
-    document = F.nullif(F.regexp_replace("dni", "[^0-9]", ""), F.lit(""))
+    """People with trimmed names, lower-case e-mail and document numbers without separators."""
+    document = document_number(F.col("dni"))
     return _typed(
         raw,
         document.alias("id_persona"),
@@ -110,9 +160,21 @@ def typed_people(raw: DataFrame) -> DataFrame:
     )
 
 
+def document_number(text: Column) -> Column:
+    """Without the label DNI and separators; a leading letter is part of the number. NULL where
+    nothing is left."""
+    bare = F.regexp_replace(F.upper(text), r"[\s.,:\-]", "")
+    return F.nullif(F.regexp_replace(bare, "^DNI", ""), F.lit(""))
+
+
+def _readable(document: Column) -> Column:
+    return document.rlike("^[A-Z]?[0-9]+$")
+
+
 def import_people(raw: DataFrame, existing: DataFrame | None = None) -> Split:
     rules = {
         "sin documento": _present("dni"),
+        "documento ilegible": _readable(F.col("dni")),
         "tipo de persona": F.col("es_inquilino").isin(0, 1),
     }
     return _load(typed_people(raw), rules, ["id_persona"], existing)
@@ -124,10 +186,14 @@ def import_accounts(raw_people: DataFrame, existing: DataFrame | None = None) ->
     typed = _typed(
         raw_people,
         cbu.alias("id_persona_cuenta"),
-        F.nullif(F.regexp_replace("dni", "[^0-9]", ""), F.lit("")).alias("id_persona"),
+        document_number(F.col("dni")).alias("id_persona"),
         cbu.alias("cbu"),
     )
-    rules = {"sin cuenta": _present("cbu"), "sin documento": _present("id_persona")}
+    rules = {
+        "sin cuenta": _present("cbu"),
+        "sin documento": _present("id_persona"),
+        "documento ilegible": _readable(F.col("id_persona")),
+    }
     return _load(typed, rules, ["id_persona_cuenta"], existing)
 
 
@@ -149,7 +215,8 @@ def import_unit_people(
     links = accepted.select("id_uf", "id_persona")
     keys = ["id_uf", "id_persona"]
     fresh = links.distinct() if existing is None else new_rows(existing, links.distinct(), keys)
-    return Split(fresh, rejected.select("cbu", "id_uf", "motivo"))
+    line = [c for c in (CORRUPT,) if c in rejected.columns]
+    return Split(fresh, rejected.select("cbu", "id_uf", *line, "motivo"))
 
 
 def import_suppliers(raw: DataFrame, existing: DataFrame | None = None) -> Split:
@@ -172,9 +239,10 @@ def import_services(
 
     ``year`` is a number, or the name of a column that holds it. Of several
     records of one building and month the last one of the source (by
-    ``posicion``) counts; with ``repeated="reject"`` none does. Rejected are
-    also records without building or month, and single lines without a
-    readable amount.
+    ``posicion``) counts and the others are rejected as replaced; with
+    ``repeated="reject"`` none counts. Rejected are also records without
+    building or month, single lines without a readable amount, and lines
+    stored already with another amount.
     """
     if repeated not in ("keep_last", "reject"):
         raise ValueError(f"unknown policy {repeated!r}")
@@ -193,8 +261,18 @@ def import_services(
         )
         complete = missing_from(complete, twice, month)
     else:
-        complete = keep_latest(complete, month, "posicion")
-    lines = wide_to_long(complete, month, EXPENSE_CATEGORIES)
+        # A digest of the month as the only key: records of one month may be very many.
+        ranked = complete.withColumn("_mes", F.xxhash64(*month))
+        last = ranked.groupBy("_mes").agg(F.max("posicion").alias("_ultima"))
+        ranked = lookup_join(ranked, last, "_mes").drop("_mes")
+        replaced = ranked.where(F.col("posicion") != F.col("_ultima")).drop("_ultima")
+        complete = ranked.where(F.col("posicion") == F.col("_ultima")).drop("_ultima")
+        incomplete = incomplete.unionByName(
+            replaced.withColumn("motivo", F.lit("registro reemplazado")), allowMissingColumns=True
+        )
+    lines = complete.select(*month, F.explode("rubros").alias("rotulo", "valor")).where(
+        F.col("valor").isNotNull()
+    )
     rotulo = F.col("rotulo")
     typed = lines.select(
         F.concat_ws("|", "id_consorcio", F.date_format("mes", "yyyy-MM")).alias(
@@ -210,48 +288,104 @@ def import_services(
     )
     good, bad = split_rejects(typed, {"importe ilegible": _present("importe")})
     good = good.drop("valor")
-    rejected = incomplete.select("id_consorcio", "mes", "periodo", "motivo").unionByName(
+    told = [c for c in ("oid", CORRUPT) if c in incomplete.columns]
+    rejected = incomplete.select("id_consorcio", "mes", "periodo", *told, "motivo").unionByName(
         bad.select("id_consorcio", "mes", F.col("categoria"), "valor", "motivo"),
         allowMissingColumns=True,
     )
     keys = ["id_consorcio", "mes", "categoria", "detalle"]
-    return Split(good if existing is None else new_rows(existing, good, keys), rejected)
+    if existing is None:
+        return Split(good, rejected)
+    changed = _changed(existing, good, keys).drop("id_expensa_consorcio", "clase", "detalle")
+    changed = changed.withColumn("valor", F.col("importe").cast("string")).drop("importe")
+    return Split(
+        new_rows(existing, good, keys), rejected.unionByName(changed, allowMissingColumns=True)
+    )
 
 
 def generate_charges(expense_lines: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Charge rows per building and month; months already charged stay as they are."""
-    rows = charge_rollup(expense_lines, ["id_consorcio", "mes"]).select(
-        F.concat_ws("|", "id_consorcio", F.date_format("mes", "yyyy-MM")).alias(
-            "id_expensa_consorcio"
-        ),
+    """Charge rows per building and month. A month charged already stays as it is; lines that came
+    later are charged as one more row of that month, with what they add. Without new lines
+    nothing is added, so the totals of charges and lines always agree.
+    """
+    totals = ["total_ordinarios", "total_extraordinarios"]
+    rows = charge_rollup(expense_lines, ["id_consorcio", "mes"])
+    month = F.concat_ws("|", "id_consorcio", F.date_format("mes", "yyyy-MM"))
+    number = month
+    if existing is not None:
+        charged = existing.groupBy("id_consorcio", "mes").agg(
+            F.count(F.lit(1)).alias("_filas"),
+            *[F.sum(or_zero(F.col(c))).alias(f"_{c}") for c in totals],
+        )
+        known = F.col("_filas").isNotNull()
+        rest = {
+            c: F.when(~known, F.col(c)).otherwise(or_zero(F.col(c)) - F.col(f"_{c}")).cast(MONEY)
+            for c in totals
+        }
+        differs = reduce(Column.__or__, [F.col(c) != 0 for c in totals])
+        rows = (
+            rows.join(charged, ["id_consorcio", "mes"], "left")
+            .withColumns(rest)
+            .where(~known | F.coalesce(differs, F.lit(False)))
+        )
+        number = F.when(known, F.concat_ws("|", month, F.lit("ajuste"), "_filas")).otherwise(month)
+    return rows.select(
+        number.alias("id_expensa_consorcio"),
         "id_consorcio",
         month_name(F.month("mes")).alias("periodo"),
         "mes",
-        "total_ordinarios",
-        "total_extraordinarios",
+        *totals,
+    )
+
+
+def charge_reconciliation(expense_lines: DataFrame, charges: DataFrame) -> DataFrame:
+    """Building months whose expense lines and charges do not add up to the same: the total of
+    each (0 where there is none) and the difference."""
+    amount = or_zero(F.col("total_ordinarios")) + or_zero(F.col("total_extraordinarios"))
+    month = ["id_consorcio", "mes"]
+    spent = expense_lines.groupBy(*month).agg(F.sum(or_zero(F.col("importe"))).alias("gastos"))
+    charged = charges.groupBy(*month).agg(F.sum(amount).alias("expensas"))
+    gastos, expensas = or_zero(F.col("gastos")), or_zero(F.col("expensas"))
+    return (
+        spent.join(charged, month, "full")
+        .select(
+            *month,
+            gastos.cast(TOTAL).alias("gastos"),
+            expensas.cast(TOTAL).alias("expensas"),
+            (gastos - expensas).cast(TOTAL).alias("diferencia"),
+        )
+        .where(F.col("diferencia") != 0)
     )
-    return rows if existing is None else new_rows(existing, rows, ["id_consorcio", "mes"])
 
 
 def one_account_per_number(accounts: DataFrame) -> DataFrame:
     """Account by number; a number stored twice must not double its payments."""
     wanted = accounts.where(F.col("cbu").isNotNull()).select("cbu", "id_persona_cuenta", "id_persona")
-    return _one_per_key(wanted, ["cbu"])
+    return keep_latest(wanted, ["cbu"], "id_persona_cuenta", "id_persona")
 
 
 def match_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     """Set the account and state of payments by their account number.
 
-    The left join keeps every payment. An account number, or the absence of
-    one, may stand in any share of the payments.
+    Payments that have an account keep it and meet no row of the join. The
+    left join keeps every payment. An account number, or the absence of one,
+    may stand in any share of the payments.
     """
     known = one_account_per_number(accounts).select(
-        F.col("cbu").alias("cbu_origen"), "id_persona_cuenta"
+        F.col("cbu").alias("_cbu"), F.col("id_persona_cuenta").alias("_cuenta")
     )
-    state = F.when(F.col("id_persona_cuenta").isNotNull(), MATCHED).otherwise(UNMATCHED)
+    own = F.lit(None)
+    if "id_persona_cuenta" in payments.columns:
+        own = F.col("id_persona_cuenta")
     others = [c for c in payments.columns if c not in ("id_persona_cuenta", "estado")]
-    joined = lookup_join(payments.select(*others), known, "cbu_origen", "left")
-    return joined.select(*others, "id_persona_cuenta", state.alias("estado"))
+    asked = payments.select(
+        *others, own.alias("_propia"), F.when(own.isNull(), F.col("cbu_origen")).alias("_cbu")
+    )
+    account = F.coalesce("_propia", "_cuenta")
+    state = F.when(account.isNotNull(), MATCHED).otherwise(UNMATCHED)
+    return lookup_join(asked, known, "_cbu", "left").select(
+        *others, account.alias("id_persona_cuenta"), state.alias("estado")
+    )
 
 
 def import_payments(
@@ -267,26 +401,32 @@ def import_payments(
         F.try_to_date(F.trim("fecha"), date_format).alias("fecha_de_pago"),
         blank_to_null(F.col("cbu_origen")).alias("cbu_origen"),
         parse_amount(F.col("importe")).alias("importe"),
+        F.col("fecha").alias("fecha_texto"),
+        F.col("importe").alias("importe_texto"),
     )
     rules = {
         "sin numero de pago": _present("id_pago"),
         "fecha ilegible": _present("fecha_de_pago"),
         "importe ilegible": _present("importe"),
     }
-    accepted, rejected = _load(typed, rules, ["id_pago"], existing)
+    texts = ["fecha_texto", "importe_texto"]
+    accepted, rejected = _load(typed, rules, ["id_pago"], existing, texts)
     return Split(match_payments(accepted, accounts), rejected)
 
 
 def rematch_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     """All payments, the unmatched ones matched again against the current accounts."""
-    matched = payments.where(F.col("id_persona_cuenta").isNotNull())
-    pending = payments.where(F.col("id_persona_cuenta").isNull())
-    return matched.unionByName(match_payments(pending, accounts).select(*payments.columns))
+    return match_payments(payments, accounts).select(*payments.columns)
 
 
-def import_quotes(raw: DataFrame, sequence: int, date_format: str = "dd/MM/yyyy") -> Split:
-    """Dollar quotes of one load. All are appended: ``sequence`` numbers the
-    loads, and reports read the last one."""
+def import_quotes(
+    raw: DataFrame,
+    sequence: int,
+    existing: DataFrame | None = None,
+    date_format: str = "dd/MM/yyyy",
+) -> Split:
+    """Dollar quotes of one load: ``sequence`` numbers the loads, and reports read the last one.
+    A load repeated under its number adds nothing."""
     typed = _typed(
         raw,
         F.upper(blank_to_null(F.col("moneda"))).alias("moneda"),
@@ -294,15 +434,21 @@ def import_quotes(raw: DataFrame, sequence: int, date_format: str = "dd/MM/yyyy"
         parse_amount(F.col("compra")).alias("compra"),
         parse_amount(F.col("venta")).alias("venta"),
         F.lit(sequence).cast("bigint").alias("secuencia"),
+        F.col("fecha").alias("fecha_texto"),
+        F.col("compra").alias("compra_texto"),
+        F.col("venta").alias("venta_texto"),
     )
     rules = {
         "sin moneda": _present("moneda"),
         "fecha ilegible": _present("fecha"),
         "importe ilegible": _present("venta"),
     }
-    return _split(typed, rules)
+    accepted, rejected = _split(typed, rules)
+    rows = accepted.drop("fecha_texto", "compra_texto", "venta_texto").distinct()
+    return Split(rows if existing is None else new_rows(existing, rows, rows.columns), rejected)
 
 
 def quotes_latest(quotes: DataFrame) -> DataFrame:
-    """The last quote loaded per currency and day."""
-    return keep_latest(quotes, ["moneda", "fecha"], "secuencia")
+    """The last quote loaded per currency and day; of several in one load the highest."""
+    amounts = [c for c in ("venta", "compra") if c in quotes.columns]
+    return keep_latest(quotes, ["moneda", "fecha"], "secuencia", *amounts)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledger_spark.operators.spread import spread
 from ledger_spark.plans.payers import account_units
 from ledger_spark.tables import LedgerTables
 
-# Copies of one (unit, day) row written by one task.
+# Payments of one (unit, day) that are written from one row.
 COPIES_PER_TASK = 10_000
 
 
@@ -41,21 +42,21 @@ def payment_intervals(tables: LedgerTables, copies_per_task: int = COPIES_PER_TA
     """One row per payment with the previous payment date of the unit.
 
     Payments of one day follow each other at 0 days; only the first of the day
-    looks back to an earlier day. A day with more payments than one task should
-    write is cut into pieces that are spread over the cluster first.
+    looks back to an earlier day. Every day is cut into pieces of at most
+    ``copies_per_task`` payments, which are spread over the cluster before they
+    become one row per payment.
     """
     days = payment_days(tables).drop("fecha_siguiente")
     size = F.lit(copies_per_task).cast("bigint")
-    usual = days.where(F.col("pagos") <= size).withColumn("start", F.lit(0).cast("bigint"))
-    heavy = (
-        days.where(F.col("pagos") > size)
-        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pagos") - 1, size)))
-        .repartition("id_uf", "fecha", "start")
+    first = F.lit(0).cast("bigint")
+    pieces = spread(
+        days.withColumn("start", F.explode(F.sequence(first, F.col("pagos") - 1, size))),
+        "id_uf",
+        "fecha",
+        "start",
     )
     last = F.least(F.col("start") + size, F.col("pagos"))
-    rows = usual.unionByName(heavy).withColumn(
-        "nth", F.explode(F.sequence(F.col("start") + 1, last))
-    )
+    rows = pieces.withColumn("nth", F.explode(F.sequence(F.col("start") + 1, last)))
     previous = F.when(F.col("nth") == 1, F.col("fecha_anterior")).otherwise(F.col("fecha"))
     return rows.select(
         "id_uf",

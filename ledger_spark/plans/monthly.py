@@ -58,10 +58,13 @@ def load_suppliers(store: LedgerStore, path) -> None:
     _save(store, "proveedor", imports.import_suppliers(raw, store.read("proveedor")))
 
 
-def load_services(store: LedgerStore, path, year: int, json_lines: bool = False) -> None:
+def load_services(
+    store: LedgerStore, path, year: int, json_lines: bool = False, repeated: str = "keep_last"
+) -> None:
     """Monthly expense records of one year."""
     records = store.staged("services", read_monthly_expenses(store.spark, path, json_lines))
-    _save(store, "gasto", imports.import_services(records, year, store.read("gasto")))
+    result = imports.import_services(records, year, store.read("gasto"), repeated)
+    _save(store, "gasto", result)
 
 
 def load_payments(store: LedgerStore, path) -> None:
@@ -75,7 +78,7 @@ def load_payments(store: LedgerStore, path) -> None:
 
 def load_quotes(store: LedgerStore, path, sequence: int) -> None:
     raw = store.staged("quotes", read_delimited(store.spark, path, schemas.QUOTE_FILE))
-    _save(store, "cotizacion", imports.import_quotes(raw, sequence))
+    _save(store, "cotizacion", imports.import_quotes(raw, sequence, store.read("cotizacion")))
 
 
 def rematch_payments(store: LedgerStore) -> None:
@@ -88,6 +91,6 @@ def rematch_payments(store: LedgerStore) -> None:
 
 
 def generate_charges(store: LedgerStore) -> None:
-    """Charge the months that have expense lines and no charge yet."""
+    """Charge what the expense lines add to the charges made so far."""
     fresh = imports.generate_charges(store.read("gasto"), store.read("expensa_consorcio"))
     store.write("expensa_consorcio", fresh)

@@ -87,7 +87,7 @@ SUPPLIER = _struct(nombre=_STR, rubro=_STR, consorcio=_STR)
 
 CORRUPT = "_corrupt_record"
 
-# Unit roster: '|' separated, in this column order.
+# Fixed values. Unit roster: '|' separated, in this column order.
 ROSTER_FILE = T.StructType(
     [
         T.StructField("CVU/CBU", _STR),
@@ -104,7 +104,8 @@ ROSTER_NAMES = {
     "nroUnidadFuncional": "numero",
 }
 
-# The category keys of a monthly expense record.
+# Category keys of the records seen so far, for tables with a column per
+# category. Records as read may have any others.
 EXPENSE_CATEGORIES = [
     "BANCARIOS",
     "LIMPIEZA",
@@ -116,17 +117,8 @@ EXPENSE_CATEGORIES = [
     "EXTRAORDINARIO-Obras",
 ]
 
-# Superset of every lot seen: a key missing from a record reads as NULL.
-MONTHLY_EXPENSES_FILE = T.StructType(
-    [
-        T.StructField("_id", T.StructType([T.StructField("$oid", _STR)])),
-        T.StructField("Nombre del consorcio", _STR),
-        T.StructField("Mes", _STR),
-    ]
-    + [T.StructField(category, _STR) for category in EXPENSE_CATEGORIES]
-)
-
-MONTHLY_EXPENSES_NAMES = {"Nombre del consorcio": "consorcio", "Mes": "periodo"}
+# The keys of a monthly expense record that are no category.
+MONTHLY_EXPENSES_FIXED = ["_id", "Nombre del consorcio", "Mes"]
 
 # Bank export: amounts and dates arrive as text.
 PAYMENT_FILE = _struct(id_pago=_LONG, fecha=_STR, cbu_origen=_STR, importe=_STR)

@@ -8,23 +8,25 @@ from pyspark.sql import types as T
 
 from ledger_spark.schemas import (
     CORRUPT,
-    MONTHLY_EXPENSES_FILE,
-    MONTHLY_EXPENSES_NAMES,
+    MONTHLY_EXPENSES_FIXED,
     ROSTER_FILE,
     ROSTER_NAMES,
 )
 
+RECORD = "map<string, string>"
+
 
 def read_delimited(
     spark: SparkSession, path, schema: T.StructType, sep: str = "|", **options
 ) -> DataFrame:
     """Delimited text with a header. A row that does not fit the schema keeps
     its text in ``_corrupt_record``, for the import to reject. Every field is
-    parsed whatever the query selects, so that a short row is always noticed."""
+    parsed whatever the query selects, so that a short row is always noticed. A
+    file whose header has other names or another order is refused."""
     return (
         spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
         .options(sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .options(columnPruning=False, **options)
+        .options(columnPruning=False, enforceSchema=False, **options)
         .csv(path)
     )
 
@@ -50,38 +52,55 @@ def read_monthly_expenses(spark: SparkSession, path, json_lines: bool = False) -
     records of one load as they stand in the files: by file, by place of the
     split in it, then by row of the split.
     """
-    records = (
-        spark.read.schema(
-            T.StructType(MONTHLY_EXPENSES_FILE.fields + [T.StructField(CORRUPT, T.StringType())])
+    files = spark.read.text(path, wholetext=not json_lines)
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    if json_lines:
+        lines = files.where(F.trim("value") != "").select(
+            F.struct(
+                file.alias("archivo"),
+                block.alias("bloque"),
+                F.monotonically_increasing_id().alias("fila"),
+            ).alias("posicion"),
+            "value",
+            F.from_json("value", RECORD).alias("campos"),
         )
-        .options(multiLine=not json_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .json(path)
-    )
-    position = F.struct(
-        F.col("_metadata.file_path").alias("archivo"),
-        F.col("_metadata.file_block_start").alias("bloque"),
-        F.monotonically_increasing_id().alias("fila"),
-    )
-    return records.select("*", position.alias("posicion")).transform(plain_expense_names)
+    else:
+        lines = files.select(
+            file.alias("archivo"),
+            "value",
+            F.posexplode_outer(F.from_json("value", f"array<{RECORD}>")).alias("fila", "campos"),
+        ).select(
+            F.struct(
+                "archivo",
+                F.lit(0).cast("bigint").alias("bloque"),
+                F.coalesce("fila", F.lit(0)).cast("bigint").alias("fila"),
+            ).alias("posicion"),
+            "value",
+            "campos",
+        )
+    corrupt = F.when(F.col("campos").isNull(), F.col("value")).alias(CORRUPT)
+    return lines.select("posicion", corrupt, "campos").transform(plain_expense_names)
 
 
 def parse_monthly_expenses(records: DataFrame, column: str = "registro") -> DataFrame:
     """Monthly expense records from JSON objects held as a text column; other
     columns stay."""
     others = [c for c in records.columns if c != column]
-    return (
-        records.select(*others, F.from_json(F.col(column), MONTHLY_EXPENSES_FILE).alias("r"))
-        .select(*others, "r.*")
-        .transform(plain_expense_names)
-    )
+    fields = F.from_json(F.col(column), RECORD).alias("campos")
+    return records.select(*others, fields).transform(plain_expense_names)
 
 
 def plain_expense_names(records: DataFrame) -> DataFrame:
-    return (
-        records.withColumn("oid", F.col("`_id`.`$oid`"))
-        .drop("_id")
-        .withColumnsRenamed(MONTHLY_EXPENSES_NAMES)
-    )
+    """oid, consorcio, periodo, and every other key of the record with its text in the
+    map ``rubros``: a category nobody has seen yet is a line like any other."""
+    fields = F.col("campos")
+    names = {
+        "oid": F.get_json_object(fields["_id"], "$.$oid"),
+        "consorcio": fields["Nombre del consorcio"],
+        "periodo": fields["Mes"],
+        "rubros": F.map_filter(fields, lambda k, _: ~k.isin(*MONTHLY_EXPENSES_FIXED)),
+    }
+    return records.withColumns(names).drop("campos")
 
 
 def json_field(text, field: str, kind: str):

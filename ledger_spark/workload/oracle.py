@@ -236,12 +236,15 @@ _linea AS (
   UNION ALL SELECT id_consorcio, mes, 'SERVICIOS PUBLICOS', 'Luz', 'ordinario', menor FROM _mes
   UNION ALL SELECT id_consorcio, mes, 'EXTRAORDINARIO', 'Obras', 'extraordinario', extraordinario
     FROM _mes
+  UNION ALL SELECT id_consorcio, mes, 'EXTRAORDINARIO', 'Ascensor', 'extraordinario', menor FROM _mes
 )
 SELECT 'aceptado' AS estado, lower(n_name) AS id_consorcio, strftime(mes, '%Y-%m-%d') AS mes,
   categoria, detalle, clase, CAST(importe AS DOUBLE) AS importe, 1 AS filas
 FROM _linea JOIN nation ON n_nationkey = id_consorcio WHERE importe IS NOT NULL
 UNION ALL
 SELECT 'sin consorcio', NULL, NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM _mes
+UNION ALL
+SELECT 'registro reemplazado', NULL, NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM _mes
 """
     ),
     "json_field_extract": """

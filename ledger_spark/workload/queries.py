@@ -8,6 +8,7 @@ decimals and dates.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,6 +171,7 @@ def _monthly_records(spark, sf_dir) -> DataFrame:
         largest["punto_coma"].alias("SERVICIOS PUBLICOS-Agua"),
         smallest["solo_coma"].alias("SERVICIOS PUBLICOS-Luz"),
         extra["coma_punto"].alias("EXTRAORDINARIO-Obras"),
+        smallest["solo_coma"].alias("EXTRAORDINARIO-Ascensor"),  # a category not seen before
     )
     draft = F.struct(
         F.col("nombre").alias("Nombre del consorcio"),
@@ -531,7 +533,7 @@ def quotes_latest(spark, sf_dir):
 def curated_payments(spark, sf_dir):
     """Payments written to the curated layout, and one year read back from it."""
     name = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    run = spark.sparkContext.applicationId
+    run = uuid.uuid4().hex
     store = LedgerStore(spark, f"{shared_folder(spark)}/curated-{run}-{name}")
     rows = views.payments(spark, sf_dir)
     missing = [c for c in ("id_pago", "cbu_origen", "estado")]

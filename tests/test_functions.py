@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledger_spark.functions.amounts import at_least_zero, or_zero, parse_amount, zero_to_null
+from ledger_spark.functions.amounts import at_least_zero, or_zero, parse_amount, parse_percent
 from ledger_spark.functions.categories import category_detail, category_name, expense_class
 from ledger_spark.functions.text import (
     MONTHS,
@@ -34,8 +34,8 @@ def styles(cents: int) -> list[str]:
 
 
 def test_amounts_of_every_style(spark):
-    texts = ["22,648.59", "33.706,04", "127,080,00", "0,00", " 1.5,25 ", "1234567.89"]
-    want = ["22648.59", "33706.04", "127080.00", "0.00", "15.25", "1234567.89"]
+    texts = ["1,234.56", "7.890,12", "345,678,90", "0,00", " 1.5,25 ", "1234567.89"]
+    want = ["1234.56", "7890.12", "345678.90", "0.00", "15.25", "1234567.89"]
     assert values(spark, texts, parse_amount) == [Decimal(w) for w in want]
 
 
@@ -60,6 +60,12 @@ def test_months(spark):
     assert values(spark, MONTHS, lambda c: month_name(month_number(c))) == MONTHS
 
 
+def test_percentages(spark):
+    texts = ["4,5", "10", "3.25 %", "100,00", "7.", "mucho", "5.000,00", "1,234", "-1", "", None]
+    want = [Decimal(x) for x in ("4.5", "10", "3.25", "100", "7")] + [None] * 6
+    assert values(spark, texts, parse_percent) == want
+
+
 def test_normalise_strips_blanks_only(spark):
     assert values(spark, [" Abril ", "\tabril"], normalise) == ["abril", "\tabril"]
 
@@ -67,7 +73,6 @@ def test_normalise_strips_blanks_only(spark):
 def test_defaults_and_clamp(spark):
     amount = lambda e: values(spark, [None, "0", "-1.5", "2"], lambda c: e(c.cast("decimal(18,2)")))
     assert amount(or_zero) == [0, 0, Decimal("-1.5"), 2]
-    assert amount(zero_to_null) == [None, None, Decimal("-1.5"), 2]
     assert amount(at_least_zero) == [0, 0, 0, 2]
 
 

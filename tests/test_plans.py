@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from ledger_spark.workload.queries import QUERIES
 from ledger_spark.operators.spread import lookup_join
 from ledger_spark.operators.upsert import keep_latest, new_rows
 from ledger_spark.plans.charges import charge_rollup, unit_charges, unit_statement
@@ -38,9 +38,9 @@ def settings(spark, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
 

@@ -28,7 +28,7 @@ RECORDS = [
         "Mes": "abril",
         "BANCARIOS": "1,500.25",
         "LIMPIEZA": "2.000,50",
-        "SERVICIOS PUBLICOS-Agua": "127,080,00",
+        "SERVICIOS PUBLICOS-Agua": "345,678,90",
     },
     {
         "Nombre del consorcio": "Rivera ",
@@ -86,7 +86,7 @@ def test_monthly_records(spark, tmp_path, records_path, json_lines):
         path.write_text("\n".join(json.dumps(r) for r in RECORDS))
         records_path = str(path)
     records = files.read_monthly_expenses(spark, records_path, json_lines)
-    ordered = records.orderBy("posicion").select("oid", "consorcio", "periodo", "LIMPIEZA").collect()
+    ordered = records.orderBy("posicion").select("oid", "consorcio", "periodo", F.col("rubros")["LIMPIEZA"]).collect()
     assert [tuple(r) for r in ordered] == [
         ("a1", "Rivera", "abril", "2.000,50"),
         (None, "Rivera ", "mayo ", "10,00"),
@@ -104,7 +104,11 @@ def test_services_keep_the_last_record_and_report_the_rest(spark, records_path):
         ("2025-05-01", "EXTRAORDINARIO", "Obras", "extraordinario", Decimal("70000.00")),
         ("2025-05-01", "LIMPIEZA", None, "ordinario", Decimal("10.00")),
     ]
-    assert rows(rejected, "motivo", "valor") == [("importe ilegible", "roto"), ("sin consorcio", None)]
+    assert rows(rejected, "motivo", "valor") == [
+        ("importe ilegible", "roto"),
+        ("registro reemplazado", None),
+        ("sin consorcio", None),
+    ]
     again = imports.import_services(records, 2025, accepted)
     assert again.accepted.count() == 0
 
