@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledger_spark.llm.components import components
 from ledger_spark.llm.tables import pieces, scratch
-from ledger_spark.operators.spread import lookup_join
+from ledger_spark.operators.spread import lookup_join, spread
 
 MAX_BITS = 4
 # Segments of the ring as (first bit, width); one more than the bits that may differ.
@@ -146,7 +146,8 @@ def links(distinct: DataFrame) -> DataFrame:
     than it has members: large groups of near copies do not become all their pairs.
     """
     index = _index_keys(distinct)
-    probes = lookup_join(_probe_keys(distinct), index.select("key").distinct(), "key", "left_semi")
+    # A fingerprint becomes 64 rows here: deal them out by number first, not by their few bytes.
+    probes = lookup_join(_probe_keys(spread(distinct, "fp")), index.select("key").distinct(), "key", "left_semi")
     members = index.unionByName(probes)
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
