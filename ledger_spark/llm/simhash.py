@@ -147,7 +147,9 @@ def links(distinct: DataFrame) -> DataFrame:
     """
     index = _index_keys(distinct)
     # A fingerprint becomes 64 rows here: deal them out by number first, not by their few bytes.
-    probes = lookup_join(_probe_keys(spread(distinct, "fp")), index.select("key").distinct(), "key", "left_semi")
+    # (By a digest: a second exchange by the column they were made distinct by would be left out.)
+    dealt_out = spread(distinct.withColumn("_at", F.xxhash64("fp")), "_at")
+    probes = lookup_join(_probe_keys(dealt_out), index.select("key").distinct(), "key", "left_semi")
     members = index.unionByName(probes)
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
