@@ -9,7 +9,12 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledger_spark.operators.protect import protected_owners
+from ledger_spark.operators.protect import (
+    PERSONAL_COLUMNS,
+    decrypt_columns,
+    encrypt_columns,
+    protected_owners,
+)
 from ledger_spark.plans import monthly
 from ledger_spark.plans.cash_flow import weekly_cash_flow
 from ledger_spark.plans.charges import undated, unit_statement
@@ -37,10 +42,26 @@ LOADS = {
     "publish": lambda store, a: store.publish(a.table),
 }
 
+
+
+def _key(args: argparse.Namespace) -> str:
+    return Path(args.key_file).read_text().strip()
+
+
+def _delinquent(tables: LedgerTables, a: argparse.Namespace) -> DataFrame:
+    """The report, with digests of the personal columns where an audience is named that may not
+    read them."""
+    report = top_delinquent_owners(
+        tables, a.cutoff, a.building, a.extra, a.periods, a.top or 3, a.dedup
+    )
+    if not a.audience:
+        return report
+    pepper = Path(a.pepper_file).read_text().strip()
+    return protected_owners(report, a.audience, a.clear.split(","), pepper)
+
+
 REPORTS = {
-    "top-delinquent-owners": lambda t, a: top_delinquent_owners(
-        t, a.cutoff, a.building, a.extra, a.periods, a.top or 3, a.dedup
-    ),
+    "top-delinquent-owners": _delinquent,
     "weekly-cash-flow": lambda t, a: weekly_cash_flow(t, a.since, a.until, a.building),
     "collections-month-dept": lambda t, a: collections_month_dept(
         t, a.year, a.departments.split(","), a.building
@@ -51,6 +72,12 @@ REPORTS = {
     "protected-owners": lambda t, a: protected_owners(
         t.people, a.audience, a.clear.split(","), Path(a.pepper_file).read_text().strip()
     ),
+    "encrypted-owners": lambda t, a: encrypt_columns(t.people, PERSONAL_COLUMNS, _key(a)),
+    "decrypted-owners": lambda t, a: decrypt_columns(
+        t.people.sparkSession.read.schema(t.people.schema).parquet(a.file),
+        PERSONAL_COLUMNS,
+        _key(a),
+    ),
     "unit-statement": lambda t, a: unit_statement(
         t.units, t.charges, t.payments, t.accounts, t.unit_people, since=a.since, until=a.until
     ),
@@ -68,7 +95,11 @@ OPTIONS = {
     "load-payments": ["file"],
     "load-quotes": ["file", "sequence"],
     "publish": ["table"],
-    "top-delinquent-owners": ["cutoff", "building", "extra", "periods", "top", "dedup"],
+    "top-delinquent-owners": [
+        "cutoff", "building", "extra", "periods", "top", "dedup", "audience", "clear", "pepper_file"
+    ],
+    "encrypted-owners": ["key_file"],
+    "decrypted-owners": ["file", "key_file"],
     "weekly-cash-flow": ["since", "until", "building"],
     "collections-month-dept": ["year", "departments", "building"],
     "top5-expense-income": ["top"],
@@ -107,8 +138,9 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--top", type=int)
     parser.add_argument("--table", help="table whose cut-off replacement to finish, for publish")
     parser.add_argument("--sequence", type=int, help="load number, for load-quotes")
-    parser.add_argument("--audience", default="", help="who will read protected-owners")
+    parser.add_argument("--audience", default="", help="who will read the people or the report")
     parser.add_argument("--clear", default="", help="audiences that may read personal data")
+    parser.add_argument("--key-file", help="file with the key of the encryption")
     parser.add_argument("--pepper-file", help="file with the secret of the digests")
     for date in ("--cutoff", "--since", "--until"):
         parser.add_argument(date, type=datetime.date.fromisoformat)

@@ -34,3 +34,30 @@ def effective_access(permissions: DataFrame) -> DataFrame:
     granted = F.bool_or(F.col("accion") == "GRANT")
     denied = F.bool_or(F.col("accion") == "DENY")
     return permissions.groupBy("rol", "objeto").agg((granted & ~denied).alias("permitido"))
+
+
+def effective_access_users(
+    permissions: DataFrame, members: DataFrame, objects: DataFrame
+) -> DataFrame:
+    """Per member, object and kind of permission whether access is allowed.
+
+    ``permissions`` has one row (rol, esquema, objeto, permiso, accion) per statement; without an
+    object it holds for every object of the schema. ``members`` has (rol, miembro), ``objects``
+    (esquema, objeto). A member is allowed what any of its roles is granted and none is denied; a
+    denial of one kind (ALTER) leaves the others (EXECUTE) alone. Statements on objects that
+    ``objects`` does not list count as well.
+
+    Statements and members become one row per key before they meet, so what is joined does not grow
+    with repeated statements.
+    """
+    granted = F.bool_or(F.col("accion") == "GRANT").alias("otorgado")
+    denied = F.bool_or(F.col("accion") == "DENY").alias("denegado")
+    stated = permissions.groupBy("rol", "esquema", "objeto", "permiso").agg(granted, denied)
+    of_schema = stated.where(F.col("objeto").isNull()).drop("objeto")
+    of_schema = of_schema.join(objects.select("esquema", "objeto").distinct(), "esquema")
+    on_objects = stated.where(F.col("objeto").isNotNull()).unionByName(of_schema)
+    by_member = members.select("rol", "miembro").distinct().join(on_objects, "rol")
+    allowed = F.bool_or("otorgado") & ~F.bool_or("denegado")
+    return by_member.groupBy("miembro", "esquema", "objeto", "permiso").agg(
+        allowed.alias("permitido")
+    )

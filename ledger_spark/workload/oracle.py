@@ -191,6 +191,11 @@ ORACLE: dict[str, str] = {
     "top_delinquent_owners_listed": _top(3, None, False, ["enero", "febrero"]),
     "top_delinquent_owners_building": _top(5, 7, True, ["marzo", "abril", "mayo"]),
     "top_delinquent_owners_dedup": _top(10, None, True, None, False),
+    "top_delinquent_owners_protected": f"""
+SELECT * REPLACE (sha256('not-a-secret' || dni) AS dni, sha256('not-a-secret' || email) AS email,
+  sha256('not-a-secret' || telefono) AS telefono)
+FROM ({_top(10, None, True, None)})
+""",
     "owner_delinquency": _with_views(
         _delinquency(None, True, None) + "SELECT * FROM _informe"
     ),
@@ -347,6 +352,10 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
     "import_payments": _BANK.format(known="c_acctbal >= 0"),
     "unmatched_payments": _BANK.format(known="c_acctbal >= 0") + "WHERE c_acctbal < 0",
     "rematch_payments": _BANK.format(known="TRUE"),
+    "chain_payments": f"""
+SELECT * REPLACE (CASE WHEN estado = 'asociado' THEN cbu_origen END AS id_persona_cuenta)
+FROM ({_BANK.format(known="c_mktsegment <> 'MACHINERY'")})
+""",
     "idempotent_upsert": f"""{_LOTS}
 SELECT {_LOT_COLUMNS} FROM guardado UNION ALL
 SELECT {_LOT_COLUMNS} FROM nuevo WHERE o_custkey NOT IN (SELECT o_custkey FROM guardado)
@@ -382,6 +391,13 @@ SELECT id_consorcio || '|' || strftime(mes, '%Y-%m') AS id_expensa_consorcio, id
   CAST(total_ordinarios AS DOUBLE) AS total_ordinarios,
   CAST(total_extraordinarios AS DOUBLE) AS total_extraordinarios
 FROM expensa_mes JOIN meses ON nro = month(mes) WHERE mes >= DATE '1996-01-01'
+"""
+    ),
+    "charge_reconciliation": _with_views(
+        """
+SELECT id_consorcio, strftime(mes, '%Y-%m-%d') AS mes, CAST(SUM(importe) AS DOUBLE) AS gastos,
+  CAST(0 AS DOUBLE) AS expensas, CAST(SUM(importe) AS DOUBLE) AS diferencia
+FROM gasto WHERE mes >= DATE '1996-01-01' GROUP BY id_consorcio, mes
 """
     ),
     "unit_charges": _with_views(
@@ -491,6 +507,24 @@ FROM persona
 SELECT user_id AS rol, CAST(json_extract_string(props, '$.k') AS BIGINT) AS objeto,
   bool_or(event_type <> 'error') AND NOT bool_or(event_type = 'error') AS permitido
 FROM events GROUP BY 1, 2
+""",
+    "effective_access_users": """
+WITH evento AS (
+  SELECT user_id AS rol, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, value
+  FROM events
+),
+objeto AS (SELECT DISTINCT k // 10 AS esquema, k AS objeto FROM evento),
+alcance AS (
+  SELECT rol, k // 10 AS esquema, k AS objeto, value, event_type = 'error' AS niega
+  FROM evento WHERE event_type <> 'signup'
+  UNION ALL
+  SELECT rol, esquema, objeto, value, FALSE
+  FROM evento JOIN objeto ON esquema = k // 10 WHERE event_type = 'signup'
+)
+SELECT c_mktsegment || '-' || c_nationkey AS miembro, esquema, objeto,
+  CASE WHEN value < 50 THEN 'EXECUTE' ELSE 'ALTER' END AS permiso,
+  bool_or(NOT niega) AND NOT bool_or(niega) AS permitido
+FROM alcance JOIN customer ON c_custkey = rol GROUP BY 1, 2, 3, 4
 """,
     "missing_members": """
 SELECT DISTINCT o.o_orderpriority AS rol, o.o_custkey AS miembro FROM orders o

@@ -20,13 +20,13 @@ from ledger_spark.functions import categories
 from ledger_spark.functions.text import month_name, month_number, month_start, normalise
 from ledger_spark.operators import membership, protect, quality, reshape, upsert
 from ledger_spark.operators import periods as period_sets
-from ledger_spark.plans import cash_flow, collections, imports, intervals, rankings
+from ledger_spark.plans import cash_flow, collections, imports, intervals, monthly, rankings
 from ledger_spark.plans import charges as charging
 from ledger_spark.plans import delinquency as debts
-from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY
+from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY, ROSTER_NAMES
 from ledger_spark.session import shared_folder
 from ledger_spark.sources import files
-from ledger_spark.sources.store import LedgerStore
+from ledger_spark.sources.store import PAYMENT_MONTH, LedgerStore
 from ledger_spark.workload import views
 from ledger_spark.workload.views import DEPARTMENTS, ledger, table
 
@@ -104,6 +104,13 @@ def listed_charges(spark, sf_dir):
     return period_sets.charges_in_periods(views.charges(spark, sf_dir), " Enero,MARZO ,otro")
 
 
+@query
+def top_delinquent_owners_protected(spark, sf_dir):
+    """The report for an audience that may not read personal data."""
+    report = debts.top_delinquent_owners(ledger(spark, sf_dir), CUTOFF, include_extra=True, n=10)
+    return protect.protected_owners(report, "reportes", ["general"], PEPPER)
+
+
 # ---- cleaning ----------------------------------------------------------
 
 
@@ -489,6 +496,41 @@ def rematch_payments(spark, sf_dir):
     )
 
 
+@query
+def chain_payments(spark, sf_dir):
+    """The payment chain over delivered files, in the order a month has: units, some of the people,
+    the bank export, more people, matched again. Accounts of one segment stay unknown."""
+    folder = f"{shared_folder(spark)}/chain-{uuid.uuid4().hex}"
+    store = LedgerStore(spark, f"{folder}/ledger")
+
+    def delivered(name: str, df: DataFrame) -> str:
+        df.write.csv(f"{folder}/{name}", sep="|", header=True)
+        return f"{folder}/{name}"
+
+    customer = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY")
+
+    def people(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("c_mktsegment").alias("nombre"),
+            F.col("c_name").alias("apellido"),
+            F.col("c_custkey").cast("string").alias("dni"),
+            F.concat(F.lower("c_name"), F.lit("@example.org")).alias("email"),
+            F.lit(None).cast("string").alias("telefono"),
+            F.lpad(F.col("c_custkey").cast("string"), 22, "0").alias("cbu"),
+            F.lit("0").alias("es_inquilino"),
+        )
+
+    names = {plain: header for header, plain in ROSTER_NAMES.items()}
+    roster = delivered("roster", _roster(spark, sf_dir).withColumnsRenamed(names))
+    monthly.load_roster(store, roster)
+    early, late = F.col("c_acctbal") >= 0, F.col("c_acctbal") < 0
+    monthly.load_people(store, delivered("people", people(customer.where(early))), roster)
+    monthly.load_payments(store, delivered("bank", _bank_export(spark, sf_dir)))
+    monthly.load_people(store, delivered("late", people(customer.where(late))), roster)
+    monthly.rematch_payments(store)
+    return store.read("pago").drop(PAYMENT_MONTH)
+
+
 def _lots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Latest order per customer before 1998, and from then on."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
@@ -557,6 +599,14 @@ def generate_charges(spark, sf_dir):
     return imports.generate_charges(lines, imports.generate_charges(first_year))
 
 
+@query
+def charge_reconciliation(spark, sf_dir):
+    """What is still to be charged after the first years were."""
+    lines = views.expense_lines(spark, sf_dir)
+    first_year = lines.where(F.col("mes") < F.lit(datetime.date(1996, 1, 1)))
+    return imports.charge_reconciliation(lines, imports.generate_charges(first_year))
+
+
 @query
 def unit_charges(spark, sf_dir):
     return charging.unit_charges(
@@ -650,6 +700,27 @@ def effective_access(spark, sf_dir):
     )
 
 
+@query
+def effective_access_users(spark, sf_dir):
+    """Events as statements on objects, sign-ups on whole schemas; customers are the roles of users."""
+    key = files.json_field(F.col("props"), "k", "bigint")
+    events = table(spark, sf_dir, "events").withColumn("k", key)
+    schema = F.floor(F.col("k") / 10).cast("bigint").alias("esquema")
+    statements = events.select(
+        F.col("user_id").alias("rol"),
+        schema,
+        F.when(F.col("event_type") != "signup", F.col("k")).alias("objeto"),
+        F.when(F.col("value") < 50, "EXECUTE").otherwise("ALTER").alias("permiso"),
+        F.when(F.col("event_type") == "error", "DENY").otherwise("GRANT").alias("accion"),
+    )
+    user = F.concat_ws("-", "c_mktsegment", F.col("c_nationkey").cast("string"))
+    members = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("rol"), user.alias("miembro")
+    )
+    objects = events.select(schema, F.col("k").alias("objeto"))
+    return membership.effective_access_users(statements, members, objects)
+
+
 @query
 def missing_members(spark, sf_dir):
     pairs = table(spark, sf_dir, "orders").select(

@@ -45,6 +45,42 @@ def test_permission_matrix(spark):
     assert got == {(r, o): r in roles for o, roles in may.items() for r in ROLES}
 
 
+def test_access_of_users_by_kind_and_schema(spark):
+    statements = [
+        ("general", "cargas", "unidades", "EXECUTE", "GRANT"),
+        ("general", "cargas", None, "ALTER", "DENY"),  # leaves EXECUTE alone
+        ("general", "informes", None, "EXECUTE", "GRANT"),
+        ("bancario", "cargas", "unidades", "EXECUTE", "DENY"),
+        ("bancario", "informes", "flujo", "EXECUTE", "GRANT"),
+        ("bancario", "otros", "suelto", "EXECUTE", "GRANT"),  # not a listed object
+    ]
+    permissions = spark.createDataFrame(
+        statements * 2, "rol string, esquema string, objeto string, permiso string, accion string"
+    )
+    members = spark.createDataFrame(
+        [("general", "ana"), ("general", "ana"), ("general", "leo"), ("bancario", "leo"), ("x", "eva")],
+        "rol string, miembro string",
+    )
+    objects = spark.createDataFrame(
+        [("cargas", "unidades"), ("cargas", "pagos"), ("informes", "flujo"), ("informes", "deuda")],
+        "esquema string, objeto string",
+    )
+    got = rows(membership.effective_access_users(permissions, members, objects))
+    assert got == [
+        ("ana", "cargas", "pagos", "ALTER", False),
+        ("ana", "cargas", "unidades", "ALTER", False),
+        ("ana", "cargas", "unidades", "EXECUTE", True),
+        ("ana", "informes", "deuda", "EXECUTE", True),
+        ("ana", "informes", "flujo", "EXECUTE", True),
+        ("leo", "cargas", "pagos", "ALTER", False),
+        ("leo", "cargas", "unidades", "ALTER", False),
+        ("leo", "cargas", "unidades", "EXECUTE", False),
+        ("leo", "informes", "deuda", "EXECUTE", True),
+        ("leo", "informes", "flujo", "EXECUTE", True),
+        ("leo", "otros", "suelto", "EXECUTE", True),
+    ]
+
+
 def test_membership(spark):
     desired = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "rol string, miembro string")
     present = spark.createDataFrame([("b", "y"), ("b", "y")], "rol string, miembro string")

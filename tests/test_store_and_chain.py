@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import json
 from decimal import Decimal
 
@@ -110,6 +111,20 @@ def test_every_report_runs(ledger, tmp_path):
     assert ledger("unit-statement").count() == 3
 
 
+def test_protected_report_and_encryption_steps(ledger, tmp_path):
+    load(ledger)
+    pepper, key = ledger.file("pepper", "p\n"), ledger.file("key", "0123456789abcdef\n")
+    report = ["top-delinquent-owners", "--cutoff", "2025-05-31", "--pepper-file", pepper, "--clear", "general"]
+    hidden = ledger(*report, "--audience", "reportes").collect()
+    assert hashlib.sha256(b"p11").hexdigest() in [r.dni for r in hidden]
+    assert "11" in [r.dni for r in ledger(*report, "--audience", "general").collect()]
+    out = str(tmp_path / "encrypted")
+    ledger("encrypted-owners", "--key-file", key, "--out", out)
+    people = ledger.store.read("persona")
+    assert not {r.dni for r in ledger.store.spark.read.parquet(out).collect()} & {"11", "22"}
+    assert rows(ledger("decrypted-owners", "--file", out, "--key-file", key)) == rows(people)
+
+
 def test_payments_read_only_the_months_asked_for(ledger):
     load(ledger)
     day = datetime.date(2025, 4, 30)
