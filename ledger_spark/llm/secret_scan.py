@@ -8,7 +8,9 @@ the patterns catch are the samples labelled random, all other text is the ordina
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -146,11 +148,14 @@ def train(df: DataFrame, text_column: str = "text") -> np.ndarray:
 def all_spans(text: str, ratio: np.ndarray) -> list[tuple[int, int, int, float]]:
     """Base spans with score 1, and random-looking tokens apart from them."""
     found = [(start, rank, end, 1.0) for start, rank, end, _ in base_spans(text)]
-    taken = [(start, end) for start, _, end, _ in found]
+    begins = [start for start, *_ in found]
+    # The furthest end of the base spans up to each; they stand by start.
+    ends = list(accumulate((end for _, _, end, _ in found), max))
     for m in TOKEN.finditer(text):
         start, end = m.span()
         token = m.group()
-        if end - start < MIN_TOKEN or any(a < end and start < b for a, b in taken):
+        before = bisect_left(begins, end)  # base spans that begin before the token ends
+        if end - start < MIN_TOKEN or (before and ends[before - 1] > start):
             continue
         letters = sum(c.isalpha() for c in token)
         if not 0 < letters < len(token):
