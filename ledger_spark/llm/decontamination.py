@@ -2,7 +2,8 @@
 
 The normalised windows of the benchmark form a hash set. Every document position is looked up by
 the hash of its next three words, and a hit is verified on the words of the whole window. The set
-is broadcast after its rows and bytes were counted; a larger one is joined by shuffle instead.
+is broadcast after its rows and bytes were counted; a larger one is joined by shuffle instead, and
+then a position carries the words of one window, not those of its whole document.
 """
 
 from __future__ import annotations
@@ -56,7 +57,9 @@ def _lookups(all_words: Column, count: int) -> Column:
     return F.transform(all_words, entry)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, n_words, spans array<struct<at, k>> (word
     positions of verified windows) and items array<string>.
 
@@ -68,28 +71,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bounds = grams.agg(
         F.collect_set("key_words"), F.coalesce(F.sum(F.octet_length("gram") + 64), F.lit(0))
     ).first()
-    # One more entry that every document meets once: it carries the number of words.
-    marker = grams.sparkSession.range(1).select(
-        F.lit(None).cast("string").alias("item"),
-        F.lit(0).alias("k"),
-        F.lit("").alias("gram"),
-        F.lit(0).cast("long").alias("key"),
-    )
     entries = grams.select(F.col("item_id").cast("string").alias("item"), "k", "gram", "key")
-    entries = entries.unionByName(marker)
-    if bounds[1] <= MAX_BROADCAST_BYTES:
-        entries = F.broadcast(entries)
     text = F.coalesce("text", F.lit(""))
     split = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), words(text).alias("w"))
     lookups = [_lookups(F.col("w"), count) for count in sorted(bounds[0])]
     start = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("key")))
-    window = F.array_join(F.slice("w", F.col("at") + 1, F.col("k")), " ")
-    found = (
-        split.select("doc_id", "text_hash", "w", F.inline(reduce(F.concat, lookups, start)))
-        .join(entries, "key")
-        .where((F.col("k") == 0) | (window == F.col("gram")))
-        .select("doc_id", "text_hash", F.size("w").alias("n_words"), "at", "k", "item")
+    positions = split.select(
+        "doc_id", "text_hash", "w", F.inline(reduce(F.concat, lookups, start))
+    ).withColumn("n_words", F.size("w"))
+    columns = ["doc_id", "text_hash", "n_words", "at", "k", "item"]
+    # One more entry that every document meets once: it carries the number of words.
+    none = F.lit(None).cast("string")
+    marker = grams.sparkSession.range(1).select(
+        none.alias("item"),
+        F.lit(0).alias("k"),
+        F.lit("").alias("gram"),
+        F.lit(0).cast("long").alias("key"),
     )
+    if bounds[1] <= max_broadcast_bytes:
+        window = F.array_join(F.slice("w", F.col("at") + 1, F.col("k")), " ")
+        found = (
+            positions.join(F.broadcast(entries.unionByName(marker)), "key")
+            .where((F.col("k") == 0) | (window == F.col("gram")))
+            .select(columns)
+        )
+    else:
+        # The entry of every document would be one hot key of the shuffle: it is added afterwards.
+        ahead = F.slice("w", F.col("at") + 1, F.lit(WINDOW))
+        positions = positions.where("key <> 0").withColumn("ahead", ahead).drop("w")
+        window = F.array_join(F.slice("ahead", F.lit(1), F.col("k")), " ")
+        found = positions.join(entries, "key").where(window == F.col("gram")).select(columns)
+        each = [F.size("w").alias("n_words"), F.lit(0).alias("at"), F.lit(0).alias("k")]
+        found = found.unionByName(
+            split.select("doc_id", "text_hash", *each, none.alias("item"))
+        )
     hit = F.col("k") > 0
     gathered = found.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").cast("long").alias("n_words"),

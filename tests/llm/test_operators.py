@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledger_spark.llm import language_id, queries, secret_scan
 from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.components import components
+from ledger_spark.llm.decontamination import contamination
 from ledger_spark.llm.merges import merge_queue, merge_words
 from ledger_spark.llm.sentencepiece_codec import PieceModel
 from ledger_spark.llm.simhash import BLOCK, links
@@ -209,6 +210,17 @@ def test_decontamination(spark, sf):
     assert any(w[-1] for w in want)
 
 
+def test_windows_too_large_to_broadcast(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+
+    def found(**options):
+        rows = contamination(docs, items, **options)
+        return by_row(rows, "n_words", F.array_sort("spans"), F.array_sort("items"))
+
+    assert found(max_broadcast_bytes=0) == found()
+
+
 def test_simhash(spark, sf):
     rows = ROWS + REPEATED
     prints = [brute.fingerprint(r[1]) for r in rows]
