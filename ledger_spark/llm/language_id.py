@@ -7,6 +7,7 @@ the regression is fitted on a sample of at most ``MAX_ROWS_PER_LANGUAGE`` of the
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,9 +66,15 @@ class LanguageModel:
         return self.weights[:, at] @ values
 
     def fit(self, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
-        """Every fifth row is kept for the temperature."""
-        learn = [r for i, r in enumerate(rows) if i % 5]
-        keep = [r for i, r in enumerate(rows) if i % 5 == 0]
+        """Every fifth row of each language is kept for the temperature, never its first one.
+
+        Languages start to count at different places, so many languages of few rows keep some too.
+        """
+        learn, keep, seen = [], [], Counter()
+        for row in rows:
+            label, place = row[0], seen[row[0]]
+            seen[label] += 1
+            (keep if place and (place + label) % 5 == 4 else learn).append(row)
         z = np.zeros_like(self.weights, dtype=np.float64)
         n = np.zeros_like(z)
         for _ in range(EPOCHS):

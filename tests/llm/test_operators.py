@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledger_spark.llm import language_id, queries, secret_scan
 from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.components import components
@@ -345,3 +346,20 @@ def test_empty_vectors_and_conversations(spark):
 def test_language_model_without_rows(spark):
     model = language_id.train(spark.createDataFrame([], SCHEMA))
     assert model.predict("some text") == ("und", 0.0)
+
+
+@pytest.mark.parametrize("languages", [5, 10])
+def test_every_language_is_learned_and_held_out(spark, languages):
+    pick = random.Random(3)
+    letters = [chr(ord("a") + i) for i in range(26)]
+    words = {  # each language has its own letters in its own words
+        f"l{i}": ["".join(pick.choices(letters[2 * i : 2 * i + 8], k=5)) for _ in range(60)]
+        for i in range(languages)
+    }
+    texts = [(lang, " ".join(pick.choices(of, k=40))) for lang, of in words.items() for _ in range(40)]
+    rows = [(i, text, lang, "s", 1) for i, (lang, text) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = language_id.predict(docs, language_id.train(docs)).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == r.lang for r in got)
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows]
