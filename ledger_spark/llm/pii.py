@@ -22,8 +22,18 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # What follows each place where an account number may begin, as long as it may be; the places
+    # take up no text, so that one number cannot hide the next.
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))",
 }
+# Characters of an account number by country; of others every length is taken.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 "
+    "EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 "
+    "KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
+    "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 "
+    "VG24 XK20"
+)
 # A text without this cannot match.
 NEEDS = {"email": "@", "phone": "+"}
 
@@ -43,7 +53,9 @@ OPEN, CLOSE = "\u0001", "\u0002"
 def _proposed(text: Column, kind: str) -> Column:
     """array<struct<start, value>> of the matches, in code points: each match is put between two
     marks, and the lengths between the marks give the places."""
-    marked = F.regexp_replace(text, f"({PATTERNS[kind]})", f"{OPEN}$1{CLOSE}")
+    ahead = kind == "iban"  # the match is repeated before the text, not taken out of it
+    pattern = PATTERNS[kind] if ahead else f"({PATTERNS[kind]})"
+    marked = F.regexp_replace(text, pattern, f"{OPEN}$1{CLOSE}")
     if kind in NEEDS:
         marked = F.when(F.instr(text, NEEDS[kind]) > 0, marked).otherwise(text)
 
@@ -51,8 +63,9 @@ def _proposed(text: Column, kind: str) -> Column:
         value = F.substring_index(part, CLOSE, 1)
         here = F.array(F.struct(so_far["at"].alias("start"), value.alias("value")))
         front = so_far["at"] < 0  # the part before the first match
+        own = F.length(part) - 1 - (F.length(value) if ahead else F.lit(0))
         return F.struct(
-            F.when(front, F.length(part)).otherwise(so_far["at"] + F.length(part) - 1).alias("at"),
+            F.when(front, F.length(part)).otherwise(so_far["at"] + own).alias("at"),
             F.when(front, so_far["found"]).otherwise(F.concat(so_far["found"], here)).alias("found"),
         )
 
@@ -97,13 +110,50 @@ def _confirmed(kind: str, value: Column) -> Column:
         return F.length(digits).between(12, 19) & luhn(digits)
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)
-    if kind == "iban":
-        return F.length(F.replace(value, F.lit(" "), F.lit(""))).between(15, 34) & (
-            mod97(value) == 1
-        )
     return F.lit(True)
 
 
+def _account(value: Column) -> Column:
+    """The account number that the match begins with, or NULL: of all ends at a blank or at the end
+    that pass mod 97 that of the length of the country, else the longest."""
+
+    def bare(number: Column) -> Column:
+        return F.replace(number, F.lit(" "), F.lit(""))
+
+    words = F.split(value, " ")
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+    )
+    valid = F.filter(ends, lambda e: F.length(bare(e)).between(15, 34) & (mod97(e) == 1))
+    fixed = F.filter(
+        valid,
+        lambda e: F.lit(IBAN_LENGTHS).contains(
+            F.concat(F.substring(e, 1, 2), F.length(bare(e)).cast("string"))
+        ),
+    )
+    return F.coalesce(F.get(fixed, F.lit(0)), F.try_element_at(valid, F.lit(-1)))
+
+
+def _accounts(proposed: Column) -> Column:
+    """The account numbers among the matches; what begins inside one is part of it."""
+    found = F.transform(
+        proposed, lambda m: F.struct(m["start"].alias("start"), _account(m["value"]).alias("value"))
+    )
+
+    def add(so_far: Column, m: Column) -> Column:
+        past = m["value"].isNotNull() & (m["start"] >= so_far["end"])
+        return F.struct(
+            F.when(past, m["start"] + F.length(m["value"])).otherwise(so_far["end"]).alias("end"),
+            F.when(past, F.concat(so_far["found"], F.array(m)))
+            .otherwise(so_far["found"])
+            .alias("found"),
+        )
+
+    none = F.array().cast("array<struct<start: int, value: string>>")
+    begin = F.struct(F.lit(0).alias("end"), none.alias("found"))
+    return F.aggregate(found, begin, add, lambda x: x["found"])
+
+
 def _spans(text: Column, kind: str) -> Column:
     """The confirmed spans of one kind with their scores."""
 
@@ -120,7 +170,10 @@ def _spans(text: Column, kind: str) -> Column:
             (F.lit(SCORES[kind]) + bonus).alias("score"),
         )
 
-    confirmed = F.filter(_proposed(text, kind), lambda m: _confirmed(kind, m["value"]))
+    if kind == "iban":
+        confirmed = _accounts(_proposed(text, kind))
+    else:
+        confirmed = F.filter(_proposed(text, kind), lambda m: _confirmed(kind, m["value"]))
     return F.transform(confirmed, scored)
 
 

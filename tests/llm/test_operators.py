@@ -12,6 +12,7 @@ from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.components import components
 from ledger_spark.llm.decontamination import contamination
 from ledger_spark.llm.merges import merge_queue, merge_words
+from ledger_spark.llm.pii import count_of, personal_data
 from ledger_spark.llm.sentencepiece_codec import PieceModel
 from ledger_spark.llm.simhash import BLOCK, links
 from ledger_spark.llm.threshold_search import integer_vector, search, usable
@@ -363,3 +364,29 @@ def test_every_language_is_learned_and_held_out(spark, languages):
     assert len(got) == len(rows) and all(r.lang_pred == r.lang for r in got)
     kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows]
+
+
+def test_account_numbers_before_words(spark):
+    de, be = "DE89 3704 0044 0532 0130 00", "BE68539007547034"
+    no, mt = "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"
+    cases = {  # text: account numbers in it
+        f"é IBAN {de} Please": [de],
+        "DE89370400440532013000 Please pay": ["DE89370400440532013000"],
+        f"{de} BIC COBADEFF": [de],
+        f"{de} BIC COBADEFFXXX 12 A": [de],
+        f"to {de} AND {be} NOW": [de, be],
+        f"{no} {be}, {mt} A {mt}": [no, be, mt, mt],
+        f"{de[:-1]}1 Please": [],
+        f"{be}x {be}": [be],
+        f"AB12 3456 7890 1234 {be} {de}  END": [be, de],
+        f"{de}\n{be} 😀 {no} I": [de, be, no],
+        f"{de}": [de],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in personal_data(docs).collect():
+        spans = [row.text[s.start : s.end] for s in row.pii_spans if s.kind == "iban"]
+        assert spans == cases[row.text]
+    many = " ".join(f"{de} Please {be} PAY" for _ in range(500))
+    one = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    counted = personal_data(one).select(count_of(F.col("pii_spans"), "iban").alias("n"))
+    assert counted.first().n == 1000
