@@ -39,18 +39,18 @@ def _aside(docs: DataFrame) -> dict[str, str]:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the smallest doc_id. Of rows that repeat a
-    doc_id one stays; rows without a doc_id all stay."""
-    groups = near_duplicates(docs)
-    heads = groups.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy("text")
-    kept = (
-        docs.join(heads, "doc_id")
-        .withColumn("_rank", F.row_number().over(one))
-        .where(F.col("_rank") == 1)
-        .select(docs.columns)
+    """One row of each near-duplicate group: that of the smallest doc_id, rows without one last, and of
+    those the smallest digest of the text. Rows that share a doc_id are told apart by the digest."""
+    row = F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", F.unhex(F.md5("text")).alias("digest")
     )
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    named = docs.withColumn("_row", row)
+    groups = near_duplicates(named.select("_row", "text"), id_column="_row")
+    heads = groups.where(F.col("_row").eqNullSafe(F.col("component"))).select("_row").distinct()
+    # Of equal rows one per map task is left before the exchange.
+    one = Window.partitionBy("_row").orderBy("text")
+    single = named.withColumn("_rank", F.row_number().over(one)).where(F.col("_rank") == 1)
+    return single.join(heads, "_row", "left_semi").select(docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

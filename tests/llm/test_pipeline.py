@@ -42,3 +42,14 @@ def test_stages_keep_columns_and_empty_tables(spark, tmp_path):
         assert out.count() == 0
     assert corpus_pipeline.run(spark, sf).count() == 0
     assert language_id.held_out(F.col("doc_id")) is not None
+
+
+def test_one_row_of_each_group_where_ids_repeat_or_are_missing(spark):
+    a, b, c, d, e, f = (prose(80) for _ in range(6))
+    rows = [(1, a), (1, b), (1, b), (2, c), (2, a), (3, a), (None, d), (None, d), (None, c), (None, e)]
+    rows += [(5, f), (4, f), (None, f), (4, f), (6, None), (None, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int")
+    out = corpus_pipeline.near_dedup(spark, docs.repartition(4), "")
+    assert out.columns == ["doc_id", "text", "n"]
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (2, c), (4, f), (6, None), (None, d), (None, e)], key=repr)
