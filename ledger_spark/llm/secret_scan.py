@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and long tokens that look random.
 
 Two first-order Markov models of characters, one of random strings and one of ordinary
-identifiers, are compared by log-likelihood ratio. Both are trained on the corpus: strings that
-the patterns catch are the samples labelled random, all other text is the ordinary one.
+text, are compared by log-likelihood ratio, which decides on every token with a letter. Both are trained
+on the corpus: strings that the patterns catch are the samples labelled random; all other text, prose
+mostly and not labelled identifiers, is the ordinary one.
 """
 
 from __future__ import annotations
@@ -41,8 +42,11 @@ IS_HEX[list(b"0123456789abcdef")] = True
 
 # Weight, in pairs, of the frequencies of single characters.
 BACKOFF = 5.0
-MIN_TOKEN = 20
+# Tokens are scored from the length of the shortest fixed pattern. The ratio must be so large per
+# character and, as short tokens have less to show, so large in all.
+MIN_TOKEN = 12
 MIN_RATIO_PER_CHARACTER = 0.7
+MIN_RATIO = 14.0
 CHUNK_BYTES = 4_000_000
 SPANS = "array<struct<start: int, rank: int, kind: string, end: int, score: double>>"
 
@@ -157,12 +161,12 @@ def all_spans(text: str, ratio: np.ndarray) -> list[tuple[int, int, int, float]]
         before = bisect_left(begins, end)  # base spans that begin before the token ends
         if end - start < MIN_TOKEN or (before and ends[before - 1] > start):
             continue
-        letters = sum(c.isalpha() for c in token)
-        if not 0 < letters < len(token):
+        if not any(c.isalpha() for c in token):  # a number, a date; from 16 digits on a base span
             continue
         code = np.concatenate([[0], CODE[list(token.encode())], [0]])
-        score = float(ratio[code[:-1], code[1:]].sum()) / len(token)
-        if score >= MIN_RATIO_PER_CHARACTER:
+        total = float(ratio[code[:-1], code[1:]].sum())
+        score = total / len(token)
+        if score >= MIN_RATIO_PER_CHARACTER and total >= MIN_RATIO:
             found.append((start, 3, end, 1.0 / (1.0 + float(np.exp(-score)))))
     return sorted(found)
 

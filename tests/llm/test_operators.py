@@ -390,3 +390,22 @@ def test_account_numbers_before_words(spark):
     one = spark.createDataFrame([(1, many)], "doc_id long, text string")
     counted = personal_data(one).select(count_of(F.col("pii_spans"), "iban").alias("n"))
     assert counted.first().n == 1000
+
+
+def test_random_tokens_of_letters_only_and_short_ones(spark):
+    pick = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    labelled = [
+        (i, prose(60) + f" token={''.join(pick.choices(letters + '0123456789', k=30))} ")
+        for i in range(300)
+    ]
+    word = next(v for v in VOCABULARY if v.isascii() and len(v) > 6)
+    rows = [
+        (1, "é KqZxVbWjXgQhTzRkYwPfLcJd end"),
+        (2, "a xQ7Zk9Wv2Jp4GtB8 end"),
+        (3, f"{word * 3} 4006381333931 {prose(50)}"),
+    ]
+    model = secret_scan.train(spark.createDataFrame(labelled, "doc_id long, text string"))
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secret_spans] for r in found.collect()}
+    assert spans == {1: [("random", 2, 26)], 2: [("random", 2, 18)], 3: []}
