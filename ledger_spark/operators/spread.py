@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
@@ -26,11 +27,18 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     as second join key it is exchanged once more, and the hot key can be split.
     A lookup that is small enough is broadcast all the same.
 
-    Keys of different types (int and bigint, int and text) compare equal but
-    digest unequal, so the digest is taken of their text.
+    Whole numbers of different types (int and bigint) compare equal but digest
+    unequal, so the digest is taken of them as bigint. Other keys of different
+    types, of which one value may be written in several ways (7, 7.00, 007), are
+    joined by the key alone.
     """
-    same = rows.schema[key].dataType == lookup.schema[key].dataType
-    digest = F.xxhash64(F.col(key) if same else F.col(key).cast("string"))
+    kinds = [df.schema[key].dataType for df in (rows, lookup)]
+    if kinds[0] == kinds[1]:
+        digest = F.xxhash64(key)
+    elif all(isinstance(kind, IntegralType) for kind in kinds):
+        digest = F.xxhash64(F.col(key).cast("bigint"))
+    else:
+        return rows.join(lookup, key, how)
     return (
         rows.withColumn("_digest", digest)
         .join(lookup.withColumn("_digest", digest), [key, "_digest"], how)

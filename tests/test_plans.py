@@ -174,3 +174,13 @@ def test_a_hot_building_is_split(spark, small_skew_limits):
     charged = unit_charges(units, charges).select("id_uf", "cargo")
     assert "SortMergeJoin(skew=true) [id_consorcio" in final_plan(charged)
     assert rows(charged.groupBy("cargo").count()) == [(2, 200_000)]
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(9,2)", "double", "bigint"])
+def test_lookup_join_matches_keys_that_are_written_otherwise(spark, kind):
+    left = spark.createDataFrame([(7,), (8,), (9,)], "k int")
+    keys = "'007', '8'" if kind == "string" else "7, 8"
+    lookup = spark.sql(f"SELECT CAST(k AS {kind}) AS k, 1 AS v FROM (SELECT explode(array({keys})) AS k)")
+    assert lookup_join(left, lookup, "k").count() == 2
+    assert lookup_join(lookup, left, "k").count() == 2
+    assert lookup_join(left, lookup, "k", "left").where("v is null").count() == 1
