@@ -1,9 +1,10 @@
-"""Removal of repeated strings by bucket refinement over sampled suffixes.
+"""Removal of repeated strings by content hashes of runs around min-hash anchors.
 
 Two suffixes share a bucket if they agree in their first bytes. The start buckets are q-grams of 32
-bytes, refined by the identifiers of buckets at later offsets until suffixes agree in the whole
-string length; identifiers are hashes of bytes, computed once per position as differences of
-running sums, so the identifier of any later offset and depth is at hand.
+bytes; their identifiers are hashes of bytes, computed as differences of running sums. This is not
+the refinement of bucket refinement: buckets are not sorted by the identifiers of buckets at later
+offsets, nor are updates used again by recursion, which needs a row for every suffix in every round.
+Content hashes of ever smaller runs split the buckets instead, as the next paragraph says.
 
 Not every suffix is sent around. Each string of 100 bytes has an anchor, the q-gram of smallest hash
 inside it (the leftmost of equals): equal strings have equal anchors at equal places. So one row
@@ -11,8 +12,9 @@ per anchor, about one in 32 positions, stands for the run of strings it is the a
 buckets of one anchor end there. A bucket is then split into classes of anchors whose whole runs
 agree: all but the first member of a class are repeats as a whole. Only where a bucket has several
 classes, their first members are refined: the run is cut into smaller runs of starts (69, 17, 4, 1),
-whose common bytes are the next bucket identifier, and again whole classes are settled, buckets of
-one class end, and the rest goes on. At the last level a run is one string.
+the hash of whose common bytes, brought back from the documents, is the next identifier, and again
+whole classes are settled, buckets of one class end, and the rest goes on. At the last level a run
+is one string.
 """
 
 from __future__ import annotations
