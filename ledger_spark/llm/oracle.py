@@ -79,8 +79,59 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+# Two rounds, and the last assignment, of the same step: every part meets every entry.
+_NEAREST = """
+n{r} AS (
+    SELECT vec_id, part, p, min(d2) AS d, arg_min(entry, d2 * 256 + entry) AS entry
+    FROM (
+        SELECT a.vec_id, a.part, a.p, b.entry,
+            list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(a.p, b.e)]) AS d2
+        FROM parts a JOIN b{r} b USING (part)
+    ) GROUP BY ALL
+)"""
+_MOVED = """
+b{next} AS (
+    SELECT part, entry, coalesce(m.e, b.e) AS e FROM b{r} b LEFT JOIN (
+        SELECT part, entry, list(c ORDER BY place) AS e FROM (
+            SELECT part, entry, place, CAST(floor(sum(p[place]) / count(*)) AS BIGINT) AS c
+            FROM n{r}, range(1, 5) AS places(place) GROUP BY ALL
+        ) GROUP BY ALL
+    ) m USING (part, entry)
+)"""
+
+CODES = (
+    """
+WITH vectors AS (
+    SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+    SELECT vec_id, part, v[4 * part + 1 : 4 * part + 4] AS p FROM vectors, range(16) AS r(part)
+), b0 AS (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p AS e
+    FROM parts WHERE vec_id IN (SELECT vec_id FROM vectors ORDER BY vec_id LIMIT 64)
+), """
+    + ", ".join(
+        (_NEAREST + ("," + _MOVED if r < 2 else "")).format(r=r, next=r + 1) for r in range(3)
+    )
+    + """, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d) AS error
+    FROM n2 GROUP BY ALL
+), labelled AS (
+    SELECT label, CAST(sum(error) AS BIGINT) AS label_error
+    FROM coded JOIN vectors USING (vec_id) GROUP BY ALL
+)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, label_error, (
+    SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b2
+) AS codebooks_sha256
+FROM coded JOIN vectors USING (vec_id)
+JOIN labelled ON vectors.label IS NOT DISTINCT FROM labelled.label
+"""
+)
+
 ORACLE: dict[str, str] = {
     "op3_chat_rotation": CHAT,
     "op6_topk": TOPK,
     "op8_decontamination": CONTAMINATION,
+    "op12_vector_codes": CODES,
 }

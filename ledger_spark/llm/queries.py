@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from ledger_spark.llm.suffix_dedup import remove_repeats
 from ledger_spark.llm.tables import table
 from ledger_spark.llm.threshold_search import integer_vector, search, usable
 from ledger_spark.llm.token_counts import count_tokens
+from ledger_spark.llm.vector_codes import compress, whole_numbers
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +119,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = (
+        table(spark, sf_dir, "embeddings")
+        .where(usable(F.col("embedding")))
+        .select("vec_id", "label", whole_numbers(F.col("embedding")).alias("v"))
+    )
+    coded, books = compress(vectors)
+    numbers = ",".join(map(str, books.reshape(-1).tolist()))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c.cast("bigint"))), 2, "0"))
+    return coded.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -127,4 +148,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op12_vector_codes": op12_vector_codes,
 }
