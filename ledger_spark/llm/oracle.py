@@ -79,6 +79,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+RANKED = """
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS terms
+    FROM documents WHERE text IS NOT NULL
+), counted AS (
+    SELECT doc_id, doc, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), corpus AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM counted
+), items AS (
+    SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL
+), postings AS (
+    SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM items) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, corpus GROUP BY term
+), scored AS (
+    SELECT item_id, item, doc_id, doc, CAST(sum(w * ((1000000000 * tf)
+        // (1000 * tf + 8 * (100 - 75 + (75 * n * documents) // length)))) AS BIGINT) AS score
+    FROM items JOIN postings USING (term) JOIN weights USING (term) JOIN counted USING (doc), corpus
+    GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 # Two rounds, and the last assignment, of the same step: every part meets every entry.
 _NEAREST = """
 n{r} AS (
@@ -133,5 +166,6 @@ ORACLE: dict[str, str] = {
     "op3_chat_rotation": CHAT,
     "op6_topk": TOPK,
     "op8_decontamination": CONTAMINATION,
+    "op11_lexical_search": RANKED,
     "op12_vector_codes": CODES,
 }

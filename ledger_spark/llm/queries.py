@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledger_spark.llm import language_id, secret_scan
 from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.decontamination import verdicts
+from ledger_spark.llm.lexical_search import search as lexical_search
 from ledger_spark.llm.pii import BASE, count_of, listed, personal_data
 from ledger_spark.llm.sentencepiece_codec import encode_decode
 from ledger_spark.llm.simhash import near_duplicates
@@ -119,6 +120,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = (
         table(spark, sf_dir, "embeddings")
@@ -148,5 +153,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
     "op12_vector_codes": op12_vector_codes,
 }
