@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger_spark.llm import language_id, secret_scan
+from ledger_spark.llm import language_id, recurrent_lm, secret_scan
 from ledger_spark.llm.chat_rotation import rotate
 from ledger_spark.llm.decontamination import verdicts
 from ledger_spark.llm.lexical_search import search as lexical_search
@@ -142,6 +142,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = recurrent_lm.held_out(F.col("doc_id"))
+    model = recurrent_lm.fit(docs.where(~kept).select("text"))
+    return recurrent_lm.score(docs.withColumn("held_out", kept), model)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -155,4 +162,5 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_lexical_search": op11_lexical_search,
     "op12_vector_codes": op12_vector_codes,
+    "op13_recurrent_lm": op13_recurrent_lm,
 }

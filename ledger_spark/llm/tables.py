@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, names: list[str]) -> list[str]:
+    """For each name one that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_"
+    while any(f"{mark}{name}".lower() in taken for name in names):
+        mark += "_"
+    return [f"{mark}{name}" for name in names]
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: later steps start from files
     that every executor sees, not from a long lineage."""
