@@ -427,11 +427,11 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
         number = TaskContext.get().partitionId() << 40
         for batch in pieces(batches, text_at, SLICE_BYTES):
             docs, made = [], []
+            words_found, times_found, ends = [], [], [0]
             for text in batch.column(text_at).cast(pa.binary()).to_pylist():
                 words, numbers = lexicon.read(text)
                 frequent = numbers[numbers >= 0]
                 symbols = np.where(numbers < 0, lexicon.rare, lexicon.symbol[numbers])
-                other = [words[i] for i in np.flatnonzero(numbers < 0).tolist()]
                 least = frequent[lexicon.symbol[frequent] == lexicon.rare]
                 made.append(
                     (
@@ -441,14 +441,21 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
                         int((symbols == lexicon.rare).sum()),
                         float(lexicon.logs[frequent].sum()),
                         float(lexicon.logs[least].sum()),
-                        [{"word": w, "times": n} for w, n in Counter(other).items()],
                     )
                 )
+                other = Counter([words[i] for i in np.flatnonzero(numbers < 0).tolist()])
+                words_found.extend(other)
+                times_found.extend(other.values())
+                ends.append(len(words_found))
                 docs.append(symbols)
                 number += 1
-            columns = [list(c) for c in zip(*made, strict=True)] or [[] for _ in range(7)]
-            columns.insert(6, network.log_probabilities(docs, lexicon.end).tolist() if docs else [])
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds.types, strict=True)]
+            columns = [list(c) for c in zip(*made, strict=True)] or [[] for _ in range(6)]
+            columns.append(network.log_probabilities(docs, lexicon.end).tolist() if docs else [])
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds.types[:-1], strict=True)]
+            pairs = [pa.array(words_found, pa.binary()), pa.array(times_found, pa.int64())]
+            listed = pa.StructArray.from_arrays(pairs, ["word", "times"])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)
+            arrays.append(listed.cast(kinds.types[-1]))
             rest = [c for i, c in enumerate(batch.columns) if i != text_at]
             names = [n for n in batch.schema.names if n != batch.schema.names[text_at]]
             yield pa.RecordBatch.from_arrays(rest + arrays, names + kinds.names)
