@@ -39,8 +39,6 @@ WIDTHS = (17, 4, 1)
 BUFFER = 1 << 18
 PIECE = 1 << 20
 CHUNK_BYTES = 4_000_000
-# Bits of the text hash kept beside a position; they matter where rows share a doc_id.
-TEXT_BITS = 18
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD1342543DE82EF95
@@ -100,15 +98,15 @@ def anchors(data: np.ndarray, lengths: np.ndarray, hashes: RunningHash):
 
 
 def _anchor_rows(rows: DataFrame, all_columns: bool) -> DataFrame:
-    """(h) or (h, f, doc, pack) of every anchor. pack holds, from the top, the start of the run, the
-    anchor's distance from it, the number of starts less one, and the text hash."""
+    """(h) or (h, f, doc, sub, pack) of every anchor. pack holds, from the top, the start of the run,
+    the anchor's distance from it, and the number of starts less one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = RunningHash(PIECE + BUFFER + 2 * LENGTH)
         for batch in pieces(batches, 0, CHUNK_BYTES):
             texts = [t.encode() for t in batch.column(0).to_pylist()]
             docs = batch.column(1).to_numpy(zero_copy_only=False)
-            marks = batch.column(2).to_numpy(zero_copy_only=False)
+            subs = batch.column(2).to_numpy(zero_copy_only=False)
             # Strings to look at: (row, offset in the text, bytes); long texts in pieces that
             # overlap by one byte less than a string.
             parts = [
@@ -121,30 +119,30 @@ def _anchor_rows(rows: DataFrame, all_columns: bool) -> DataFrame:
                 held.append(part)
                 size += len(part[2])
                 if size >= BUFFER:
-                    out.append(packed(held, docs, marks, hashes))
+                    out.append(packed(held, docs, subs, hashes))
                     held, size = [], 0
             if held:
-                out.append(packed(held, docs, marks, hashes))
+                out.append(packed(held, docs, subs, hashes))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                names = ["h", "f", "doc", "pack"]
+                names = ["h", "f", "doc", "sub", "pack"]
                 used = len(names) if all_columns else 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in columns[:used]], names[:used]
                 )
 
-    def packed(held, docs, marks, hashes):
+    def packed(held, docs, subs, hashes):
         data = np.frombuffer(b"".join(p[2] for p in held), dtype=np.uint8)
         lengths = np.array([len(p[2]) for p in held])
         begins = np.cumsum(lengths) - lengths
         part, anchor, low, high, gram, whole = anchors(data, lengths, hashes)
         row = np.array([p[0] for p in held])[part]
         offset = np.array([p[1] for p in held])[part] - begins[part]
-        pack = ((low + offset) << 32) | ((anchor - low) << 25) | ((high - low) << TEXT_BITS)
-        return gram.view(np.int64), whole.view(np.int64), docs[row], pack | marks[row]
+        pack = ((low + offset) << 32) | ((anchor - low) << 8) | (high - low)
+        return gram.view(np.int64), whole.view(np.int64), docs[row], subs[row], pack
 
-    schema = "h long, f long, doc long, pack long" if all_columns else "h long"
-    return rows.select("text", "doc", "mark").mapInArrow(run, schema)
+    schema = "h long, f long, doc long, sub long, pack long" if all_columns else "h long"
+    return rows.select("text", "doc", "sub").mapInArrow(run, schema)
 
 
 def _start(pack: Column) -> Column:
@@ -152,27 +150,23 @@ def _start(pack: Column) -> Column:
 
 
 def _distance(pack: Column) -> Column:
-    return F.shiftright(pack, 25).bitwiseAND(F.lit(127))
+    return F.shiftright(pack, 8).bitwiseAND(F.lit(127))
 
 
 def _more(pack: Column) -> Column:
     """Number of starts less one."""
-    return F.shiftright(pack, TEXT_BITS).bitwiseAND(F.lit(127))
+    return pack.bitwiseAND(F.lit(127))
 
 
-def _mark(pack: Column) -> Column:
-    return pack.bitwiseAND(F.lit((1 << TEXT_BITS) - 1))
-
-
-def _pack(start: Column, distance: Column, more: Column, mark: Column) -> Column:
-    high = F.shiftleft(start.cast("long"), 32) + F.shiftleft(distance.cast("long"), 25)
-    return high + F.shiftleft(more.cast("long"), TEXT_BITS) + mark
+def _pack(start: Column, distance: Column, more: Column) -> Column:
+    high = F.shiftleft(start.cast("long"), 32) + F.shiftleft(distance.cast("long"), 8)
+    return high + more.cast("long")
 
 
 def _settled(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of members (h bucket, f class, doc, pack): those that repeat an earlier one as a whole, and
+    """Of members (h bucket, f class, doc, sub, pack): those that repeat an earlier one as a whole, and
     the first members of classes in buckets of more than one class."""
-    first = members.groupBy("h", "f").agg(F.min(F.struct("doc", "pack")).alias("first"))
+    first = members.groupBy("h", "f").agg(F.min(F.struct("doc", "sub", "pack")).alias("first"))
     first = scratch(first, "classes")
     repeats = members.withColumn("class", F.xxhash64("h", "f"))
     of_class = first.select(
@@ -180,36 +174,34 @@ def _settled(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("h").alias("_h"),
         F.col("f").alias("_f"),
         F.col("first.doc").alias("_doc"),
+        F.col("first.sub").alias("_sub"),
         F.col("first.pack").alias("_pack"),
     )
     repeats = (
         repeats.join(of_class, "class")
-        .where("h = _h AND f = _f AND (doc <> _doc OR pack <> _pack)")
-        .select("doc", "pack")
+        .where("h = _h AND f = _f AND (doc <> _doc OR sub <> _sub OR pack <> _pack)")
+        .select("doc", "sub", "pack")
     )
     several = first.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    open_ = lookup_join(first, several, "h", "left_semi").select("h", "f", "first.doc", "first.pack")
+    open_ = lookup_join(first, several, "h", "left_semi").select("h", "f", "first.*")
     return repeats, open_
 
 
 def _with_bytes(open_: DataFrame, rows: DataFrame) -> DataFrame:
     """The members with the bytes of their runs; a document's members are bounded by its length."""
-    mark = _mark(F.col("pack")).cast("int")
-    grouped = open_.groupBy("doc", mark.alias("mark")).agg(
-        F.collect_list(F.struct("h", "pack")).alias("members")
-    )
-    joined = rows.select("doc", "mark", F.col("text").cast("binary").alias("bytes")).join(
-        grouped, ["doc", "mark"]
+    grouped = open_.groupBy("doc", "sub").agg(F.collect_list(F.struct("h", "pack")).alias("members"))
+    joined = rows.select("doc", "sub", F.col("text").cast("binary").alias("bytes")).join(
+        grouped, ["doc", "sub"]
     )
     one = F.col("member.pack")
     cut = F.substring("bytes", _start(one).cast("int") + 1, (_more(one) + LENGTH).cast("int"))
-    return joined.select("doc", "bytes", F.explode("members").alias("member")).select(
-        F.col("member.h").alias("h"), "doc", one.alias("pack"), cut.alias("bytes")
+    return joined.select("doc", "sub", "bytes", F.explode("members").alias("member")).select(
+        F.col("member.h").alias("h"), "doc", "sub", one.alias("pack"), cut.alias("bytes")
     )
 
 
 def _refined(members: DataFrame, width: int) -> DataFrame:
-    """The runs (h, doc, pack, bytes) cut at multiples of ``width`` of the distance between anchor
+    """The runs (h, doc, sub, pack, bytes) cut at multiples of ``width`` of the distance between anchor
     and start, with new bucket and class identifiers."""
     pack = F.col("pack")
     far, near = _distance(pack), _distance(pack) - _more(pack)
@@ -226,9 +218,8 @@ def _refined(members: DataFrame, width: int) -> DataFrame:
     run = run.select(
         "h",
         "doc",
-        _pack(
-            _start(pack) + F.col("skip"), F.col("far"), F.col("far") - F.col("near"), _mark(pack)
-        ).alias("pack"),
+        "sub",
+        _pack(_start(pack) + F.col("skip"), F.col("far"), F.col("far") - F.col("near")).alias("pack"),
         own.alias("bytes"),
         "cut",
         "far",
@@ -243,13 +234,14 @@ def _refined(members: DataFrame, width: int) -> DataFrame:
         F.xxhash64("h", "cut", common).alias("h"),
         F.xxhash64("far", "near", "bytes", "h").alias("f"),
         "doc",
+        "sub",
         "pack",
         "bytes",
     )
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
-    """(doc, mark, start, end) of byte runs that are covered by strings that also start earlier."""
+    """(doc, sub, start, end) of byte runs that are covered by strings that also start earlier."""
     several = _anchor_rows(rows, False).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     # With a second key both sides come straight out of an exchange, so adaptive execution can split
     # the anchors of a very common q-gram over many tasks.
@@ -266,17 +258,41 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
         found, open_ = _settled(refined.drop("bytes"))
         parts.append(scratch(found, "repeats"))
         if width > 1:
-            members = refined.join(open_, ["h", "f", "doc", "pack"], "left_semi").drop("f")
+            members = refined.join(open_, ["h", "f", "doc", "sub", "pack"], "left_semi").drop("f")
     packs = reduce(DataFrame.unionByName, parts)
     pack = F.col("pack")
     return packs.select(
         "doc",
-        _mark(pack).cast("int").alias("mark"),
+        "sub",
         _start(pack).cast("int").alias("start"),
         (_start(pack) + _more(pack) + LENGTH).cast("int").alias("end"),
     )
 
 
+def _documents(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, doc, sub, text): rows are told apart by doc and sub, which also order them.
+
+    ``sub`` is the hash of the text where the id is missing or stands at different texts, else 0, so
+    that it takes no room where ids are keys.
+    """
+    text, doc = F.coalesce(text_column, F.lit("")), F.col(id_column).cast("long")
+    hashed = df.select(doc.alias("doc"), F.xxhash64(text).alias("hash")).where("doc IS NOT NULL")
+    several = hashed.groupBy("doc").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    several = scratch(several.where("low <> high").select("doc"), "shared-ids")
+    rows = df.select(F.col(id_column).alias("id"), doc.alias("doc"), text.alias("text"))
+    if several.isEmpty():
+        alone = F.col("doc").isNotNull()
+    else:
+        rows = lookup_join(rows, several.withColumn("many", F.lit(True)), "doc", "left")
+        alone = F.col("doc").isNotNull() & F.col("many").isNull()
+    return rows.select(
+        "id",
+        F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"),
+        F.when(alone, F.lit(0)).otherwise(F.xxhash64("text")).alias("sub"),
+        "text",
+    )
+
+
 def remove_repeats(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -285,19 +301,14 @@ def remove_repeats(
     A byte goes if a string of 100 bytes covers it that also starts earlier: in a row of smaller id,
     or in the same row at an earlier start. Spans are the maximal removed runs, in bytes. NULL
     counts as empty; texts below 100 bytes stay whole. Rows without an id come after all others.
-    Rows sharing an id count as one document: a string goes if it starts earlier in any of them, or
-    at the same place in the one of smaller text hash; equal rows have equal results. An empty
-    table gives an empty table; other columns are left out.
+    Rows that share an id, or have none, are documents of their own in the order of a 64-bit hash of
+    their texts; equal rows have equal results. Ids are whole numbers. An empty table gives an empty
+    table; other columns are left out.
     """
-    text = F.coalesce(text_column, F.lit(""))
-    rows = df.select(
-        F.col(id_column).alias("id"),
-        F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-        F.xxhash64(text).bitwiseAND(F.lit((1 << TEXT_BITS) - 1)).cast("int").alias("mark"),
-        text.alias("text"),
-    )
-    runs = repeated_runs(rows).groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("start", "end")).alias("runs")
+    rows = _documents(df, id_column, text_column)
+    # Equal rows find the same runs: as a set they are combined in the map tasks.
+    runs = repeated_runs(rows).groupBy("doc", "sub").agg(
+        F.collect_set(F.struct("start", "end")).alias("runs")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,6 +344,6 @@ def remove_repeats(
             )
 
     kind = df.schema[id_column].dataType.simpleString()
-    joined = rows.join(runs, ["doc", "mark"], "left").select("id", "text", "runs")
+    joined = rows.join(runs, ["doc", "sub"], "left").select("id", "text", "runs")
     schema = f"id {kind}, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
     return joined.mapInArrow(cut, schema).withColumnRenamed("id", id_column)
