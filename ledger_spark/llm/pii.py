@@ -2,12 +2,15 @@
 
 Regular expressions propose spans, validators (parts of an address, Luhn, mod 97, numbers of
 digits) confirm them, and context words nearby raise the score. Patterns are written with
-possessive quantifiers and bounded starts where this cannot change a match, so that a pass is
-linear in the text and needs no deep stack.
+possessive quantifiers and bounded starts where this cannot change a match, so that a pass needs no
+deep stack. Places are running sums of the lengths of the parts between matches, and context is taken
+from these parts, so that the time follows the length of the text, also where it is full of matches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,19 +62,55 @@ def _proposed(text: Column, kind: str) -> Column:
     if kind in NEEDS:
         marked = F.when(F.instr(text, NEEDS[kind]) > 0, marked).otherwise(text)
 
-    def add(so_far: Column, part: Column) -> Column:
-        value = F.substring_index(part, CLOSE, 1)
-        here = F.array(F.struct(so_far["at"].alias("start"), value.alias("value")))
-        front = so_far["at"] < 0  # the part before the first match
-        own = F.length(part) - 1 - (F.length(value) if ahead else F.lit(0))
-        return F.struct(
-            F.when(front, F.length(part)).otherwise(so_far["at"] + own).alias("at"),
-            F.when(front, so_far["found"]).otherwise(F.concat(so_far["found"], here)).alias("found"),
+    def plain(part: Column) -> Column:
+        """What a part holds of the text."""
+        if ahead:
+            return F.substring_index(part, CLOSE, -1)
+        return F.replace(part, F.lit(CLOSE), F.lit(""))
+
+    def end_of(part: Column) -> Column:
+        return F.right(plain(part), F.lit(CONTEXT_CHARACTERS))
+
+    def matches(parts: Column, ends: Column) -> Column:
+        def match(part: Column, i: Column) -> Column:
+            rest = F.substring_index(part, CLOSE, -1)
+            earlier = F.coalesce(end_of(F.get(parts, i - 1)), F.lit(""))
+            before = F.concat(earlier, end_of(F.get(parts, i)))
+            return F.struct(
+                F.get(ends, i).alias("start"),
+                F.substring_index(part, CLOSE, 1).alias("value"),
+                F.right(before, F.lit(CONTEXT_CHARACTERS)).alias("before"),
+                F.left(rest, F.lit(CONTEXT_CHARACTERS)).alias("after"),
+            )
+
+        # The part before the first match is none itself.
+        return F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), match)
+
+    def placed(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda x: F.length(plain(x))), lambda x, y: x + y)
+        return F.when(F.size(parts) > 1, _with(ends, lambda e: matches(parts, e)))
+
+    none = F.array().cast("array<struct<start: int, value: string, before: string, after: string>>")
+    return F.coalesce(_with(F.split(marked, OPEN), placed), none)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each element what all up to it add up to, in rounds of doubled distance: the state of an
+    aggregate is copied at every step, so it must not take a step for each element."""
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+
+    def doubled(so_far: Column, n: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), n)
+        return F.transform(
+            so_far, lambda x, i: F.when(i < back, x).otherwise(add(x, F.get(so_far, i - back)))
         )
 
-    none = F.array().cast("array<struct<start: int, value: string>>")
-    begin = F.struct(F.lit(-1).alias("at"), none.alias("found"))
-    return F.aggregate(F.split(marked, OPEN), begin, add, lambda x: x["found"])
+    return F.aggregate(F.sequence(F.lit(0), rounds), values, doubled)
 
 
 def _digits(value: Column) -> Column:
@@ -135,32 +174,57 @@ def _account(value: Column) -> Column:
 
 
 def _accounts(proposed: Column) -> Column:
-    """The account numbers among the matches; what begins inside one is part of it."""
+    """The account numbers among the matches; what begins inside one is part of it.
+
+    A match that begins past the ends of all before it is taken. One that does not depends on those
+    from the last such match on, which is followed from there.
+    """
     found = F.transform(
-        proposed, lambda m: F.struct(m["start"].alias("start"), _account(m["value"]).alias("value"))
+        proposed,
+        lambda m: F.struct(
+            m["start"].alias("start"),
+            _account(m["value"]).alias("value"),
+            m["before"].alias("before"),
+            m["after"].alias("after"),
+        ),
     )
+    valid = F.filter(found, lambda m: m["value"].isNotNull())
 
-    def add(so_far: Column, m: Column) -> Column:
-        past = m["value"].isNotNull() & (m["start"] >= so_far["end"])
-        return F.struct(
-            F.when(past, m["start"] + F.length(m["value"])).otherwise(so_far["end"]).alias("end"),
-            F.when(past, F.concat(so_far["found"], F.array(m)))
-            .otherwise(so_far["found"])
-            .alias("found"),
-        )
+    def end(m: Column) -> Column:
+        return m["start"] + F.length(m["value"])
+
+    def taken(all_: Column) -> Column:
+        def apart(ends: Column) -> Column:
+            heads = F.transform(
+                all_,
+                lambda m, i: F.when((i == 0) | (m["start"] >= F.get(ends, i - 1)), i).otherwise(0),
+            )
+            return _with(_running(heads, F.greatest), lambda h: followed(all_, h))
+
+        return _with(_running(F.transform(all_, end), F.greatest), apart)
+
+    def followed(all_: Column, heads: Column) -> Column:
+        def first(m: Column, i: Column) -> Column:
+            head = F.get(heads, i)
+            reached = F.aggregate(
+                F.slice(all_, head + 1, i - head),
+                F.lit(0),
+                lambda so_far, x: F.when(x["start"] >= so_far, end(x)).otherwise(so_far),
+            )
+            return m["start"] >= reached
+
+        return F.filter(all_, first)
 
-    none = F.array().cast("array<struct<start: int, value: string>>")
-    begin = F.struct(F.lit(0).alias("end"), none.alias("found"))
-    return F.aggregate(found, begin, add, lambda x: x["found"])
+    return _with(valid, taken)
 
 
 def _spans(text: Column, kind: str) -> Column:
-    """The confirmed spans of one kind with their scores."""
+    """The confirmed spans of one kind with their scores: context is looked for in the characters
+    before a match, in itself, and in those after it as far as the next match of its kind."""
 
     def scored(m: Column) -> Column:
         end = m["start"] + F.length(m["value"])
-        begin = F.greatest(m["start"] - CONTEXT_CHARACTERS, F.lit(0))
-        around = F.substring(text, begin + 1, end - begin + CONTEXT_CHARACTERS)
+        around = F.concat(m["before"], m["value"], m["after"])
         bonus = F.when(F.lower(around).rlike(rf"\b(?:{CONTEXT[kind]})"), 0.1).otherwise(0.0)
         return F.struct(
             m["start"].alias("start"),
