@@ -13,10 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledger_spark.llm.tables import unused
+
 WINDOW = 13
 # Words at the start of a window that make its lookup key.
 KEY_WORDS = 3
 MAX_BROADCAST_BYTES = 64 << 20
+# Positions that are looked up from one row: the words of a row are carried beside each of them.
+POSITIONS = 256
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -48,13 +52,32 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id") -> DataFra
     return grams.withColumns({"key_words": count, "key": F.coalesce(*keys)})
 
 
+def _parts(split: DataFrame) -> DataFrame:
+    """Documents in parts of ``POSITIONS`` words, each with the words of windows that begin in it.
+
+    ``first`` is the place of a part; a document without words has one empty part. So what is carried
+    beside a position has a bound, and a long text takes as long as many short ones.
+    """
+    begins = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(POSITIONS))
+
+    def part(first: Column) -> Column:
+        return F.struct(
+            first.alias("first"), F.slice("w", first + 1, F.lit(POSITIONS + WINDOW - 1)).alias("w")
+        )
+
+    kept = ["doc_id", "text_hash", F.size("w").alias("n_words")]
+    return split.select(*kept, F.inline(F.transform(begins, part)))
+
+
 def _lookups(all_words: Column, count: int) -> Column:
-    """The key of every position."""
+    """The key of every position of a part."""
 
-    def entry(_: Column, at: Column) -> Column:
+    def entry(at: Column) -> Column:
         return F.struct(at.alias("at"), _key(all_words, at, count).alias("key"))
 
-    return F.transform(all_words, entry)
+    last = F.least(F.size(all_words), F.lit(POSITIONS)) - 1
+    some = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), entry)
+    return F.when(last >= 0, some).otherwise(F.slice(some, F.lit(1), F.lit(0)))
 
 
 def contamination(
@@ -76,10 +99,12 @@ def contamination(
     split = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), words(text).alias("w"))
     lookups = [_lookups(F.col("w"), count) for count in sorted(bounds[0])]
     start = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("key")))
-    positions = split.select(
-        "doc_id", "text_hash", "w", F.inline(reduce(F.concat, lookups, start))
-    ).withColumn("n_words", F.size("w"))
-    columns = ["doc_id", "text_hash", "n_words", "at", "k", "item"]
+    start = F.when(F.col("first") == 0, start).otherwise(F.slice(start, F.lit(1), F.lit(0)))
+    positions = _parts(split).select(
+        "doc_id", "text_hash", "n_words", "first", "w", F.inline(reduce(F.concat, lookups, start))
+    )
+    place = (F.col("first") + F.col("at")).alias("at")
+    columns = ["doc_id", "text_hash", "n_words", place, "k", "item"]
     # One more entry that every document meets once: it carries the number of words.
     none = F.lit(None).cast("string")
     marker = grams.sparkSession.range(1).select(
@@ -145,13 +170,14 @@ def verdicts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
+    doc_id, text_hash = unused(docs, ["id", "hash"])
     bad = (
         verdicts(docs, benchmark)
         .where("contaminated")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        .select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
         .distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")
+    same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(text_hash)
     )
     return docs.join(bad, same, "left_anti")
