@@ -35,7 +35,7 @@ NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 # Characters of tokens; every other byte is the boundary 0.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1
-CODE = np.zeros(256, dtype=np.int64)
+CODE = np.zeros(256, dtype=np.uint8)
 CODE[list(ALPHABET.encode())] = np.arange(1, SYMBOLS)
 IS_HEX = np.zeros(256, dtype=bool)
 IS_HEX[list(b"0123456789abcdef")] = True
@@ -47,7 +47,9 @@ BACKOFF = 5.0
 MIN_TOKEN = 12
 MIN_RATIO_PER_CHARACTER = 0.7
 MIN_RATIO = 14.0
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
+# Pairs numbered at a time; counting them takes eight bytes each.
+PAIRS_AT_ONCE = 1 << 18
 SPANS = "array<struct<start: int, rank: int, kind: string, end: int, score: double>>"
 
 
@@ -78,7 +80,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 def _transitions(data: bytes) -> np.ndarray:
     """Counts of neighbouring characters, pairs of two boundaries left out."""
     code = CODE[np.frombuffer(data, dtype=np.uint8)]
-    counts = np.bincount(code[:-1] * SYMBOLS + code[1:], minlength=SYMBOLS * SYMBOLS)
+    counts = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
+    for at in range(0, len(code) - 1, PAIRS_AT_ONCE):
+        part = code[at : at + PAIRS_AT_ONCE + 1]
+        pair = part[:-1].astype(np.uint16) * np.uint16(SYMBOLS) + part[1:]
+        counts += np.bincount(pair, minlength=SYMBOLS * SYMBOLS)
     counts[0] = 0
     return counts
 
@@ -211,23 +217,27 @@ def scan(
 
 
 def redact(text: Column, spans: Column, mark: str = "<SECRET>") -> Column:
-    """The text with every run of overlapping spans replaced by one mark."""
-
-    def add(so_far: Column, span: Column) -> Column:
-        inside = span["start"] < so_far["end"]
-        between = F.substring(text, so_far["end"] + 1, span["start"] - so_far["end"])
-        return F.struct(
-            F.greatest(so_far["end"], span["end"]).alias("end"),
-            F.when(inside, so_far["out"])
-            .otherwise(F.concat(so_far["out"], between, F.lit(mark)))
-            .alias("out"),
-        )
-
-    begin = F.struct(F.lit(0).alias("end"), F.lit("").alias("out"))
-    rest = F.aggregate(
-        spans,
-        begin,
-        add,
-        lambda x: F.concat(x["out"], F.substring(text, x["end"] + 1, F.length(text))),
+    """The text with every run of overlapping spans replaced by one mark; one pass over the text."""
+
+    def cut(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, found in texts:
+            out = []
+            for value, runs in zip(batch.to_pylist(), found.to_pylist(), strict=True):
+                parts, end = [], 0
+                for span in runs if value is not None else ():
+                    if not parts or span["start"] >= end:
+                        parts += [value[end : span["start"]], mark]
+                    end = max(end, span["end"])
+                out.append(None if value is None else "".join([*parts, value[end:]]))
+            yield pa.array(out, pa.string())
+
+    # Texts without a span are not sent to Python.
+    some = F.size(spans) > 0
+    redacted = F.arrow_udf(cut, "string")(
+        F.when(some, text), F.when(some, F.transform(spans, _ends)).otherwise(F.lit(None))
     )
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    return F.coalesce(redacted, text)
+
+
+def _ends(span: Column) -> Column:
+    return F.struct(span["start"].alias("start"), span["end"].alias("end"))
