@@ -144,14 +144,15 @@ def merge_words(
 
 
 class WordCache:
-    """Token ids of the words met so far; starts anew beyond ``limit`` words."""
+    """Token ids of the words met so far; starts anew beyond so many words or characters."""
 
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 400_000,
+        limit: int = 200_000,
+        characters: int = 4_000_000,
     ):
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.characters = encode, limit, characters
         self._clear()
 
     def _clear(self) -> None:
@@ -159,15 +160,18 @@ class WordCache:
         self.flat = np.empty(0, np.int32)
         self.counts = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
+        self.held = 0
 
     def codes(self, words: list[str]) -> np.ndarray:
         """A code for each word; ``counts`` and ``ids`` take codes of the latest call."""
-        if len(self.index) > self.limit:
+        if len(self.index) > self.limit or self.held > self.characters:
             self._clear()
         index, known = self.index, len(self.index)
         codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
         if len(index) > known:
-            flat, counts = self.encode(list(islice(index, known, None)))
+            new = list(islice(index, known, None))
+            self.held += sum(map(len, new))
+            flat, counts = self.encode(new)
             starts = len(self.flat) + np.cumsum(counts) - counts
             self.flat = np.concatenate([self.flat, flat])
             self.counts = np.concatenate([self.counts, counts])

@@ -28,7 +28,7 @@ SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 # Members of a candidate group that one task compares at a time with as many others.
 BLOCK = 2048
 # Pairs compared at a time.
-PAIRS = 1_000_000
+PAIRS = 250_000
 CHUNK_BYTES = 4_000_000
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -169,9 +169,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _whole_groups(batches, ["key", "low", "high"]):
-            for edges in _group_edges(part):
-                if len(edges):
-                    yield pd.DataFrame(edges, columns=["a", "b"])
+            yield pd.DataFrame(_group_edges(part), columns=["a", "b"])
 
     dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return dealt.mapInPandas(compare, "a long, b long").distinct()
@@ -191,8 +189,8 @@ def _whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd
         yield held
 
 
-def _group_edges(frame: pd.DataFrame) -> list[np.ndarray]:
-    """Edges of all groups of the frame; a link joins a whole-key member and any member of the
+def _group_edges(frame: pd.DataFrame) -> np.ndarray:
+    """Edges of all groups of the frame, fewer than its rows; a link joins a whole-key member and any member of the
     group, of different blocks where the group is a pair of blocks."""
     by = frame[["key", "low", "high"]].to_numpy()
     group = np.cumsum(np.append(False, (by[1:] != by[:-1]).any(axis=1)))
@@ -202,7 +200,7 @@ def _group_edges(frame: pd.DataFrame) -> list[np.ndarray]:
     starts = np.cumsum(sizes) - sizes
     left = np.flatnonzero(own)
     partners = sizes[group[left]]
-    edges, done = [], 0
+    kept_a, kept_b, done = left[:0], left[:0], 0
     ends = np.cumsum(partners)
     while done < len(left):
         # As many whole-key members at a time as make about PAIRS pairs.
@@ -219,10 +217,11 @@ def _group_edges(frame: pd.DataFrame) -> list[np.ndarray]:
         passed = chain_holds(differing)
         a, b, differing = a[passed], b[passed], differing[passed]
         near = np.bitwise_count(differing) <= MAX_BITS
-        a, b = a[near], b[near]
+        # Links found so far are thinned together with the new ones.
+        a, b = np.concatenate([kept_a, a[near]]), np.concatenate([kept_b, b[near]])
         kept = forest(a, b, len(fp))
-        edges.append(np.stack([fp[a[kept]], fp[b[kept]]], axis=1).view(np.int64))
-    return edges
+        kept_a, kept_b = a[kept], b[kept]
+    return np.stack([fp[kept_a], fp[kept_b]], axis=1).view(np.int64)
 
 
 def near_duplicates(
