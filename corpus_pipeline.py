@@ -9,14 +9,14 @@ passes through all stages; further columns are carried along.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger_spark.llm import language_id, secret_scan
 from ledger_spark.llm.decontamination import decontaminate
 from ledger_spark.llm.sentencepiece_codec import encode_decode
 from ledger_spark.llm.simhash import near_duplicates
-from ledger_spark.llm.tables import scratch, table
+from ledger_spark.llm.tables import scratch, table, unused
 
 # Below this probability a document is of no language that the model knows.
 MIN_LANGUAGE_SCORE = 0.5
@@ -25,32 +25,35 @@ MIN_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; a missing ``lang`` is filled in."""
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
-    named = language_id.predict(docs.withColumnsRenamed(_aside(docs)), model)
+    aside = _aside(docs)
+    named = language_id.predict(docs.withColumnsRenamed(aside), model)
     kept = named.where(
         (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     )
     kept = kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({new: old for old, new in _aside(docs).items()})
+    return kept.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def _aside(docs: DataFrame) -> dict[str, str]:
-    """Names for columns of ``docs`` that a stage needs for its own."""
-    return {c: f"_own_{c}" for c in ("lang_pred", "score", "secret_spans") if c in docs.columns}
+    """Other names for the columns of ``docs`` whose names, in any case, the stages give to their own."""
+    clash = [c for c in docs.columns if c.lower() in ("lang_pred", "score", "secret_spans")]
+    return dict(zip(clash, unused(docs, clash), strict=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest doc_id, rows without one last, and of
     those the smallest digest of the text. Rows that share a doc_id are told apart by the digest."""
+    key, head = unused(docs, ["row", "head"])
     row = F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", F.unhex(F.md5("text")).alias("digest")
     )
-    named = docs.withColumn("_row", row)
-    groups = near_duplicates(named.select("_row", "text"), id_column="_row")
-    heads = groups.where(F.col("_row").eqNullSafe(F.col("component"))).select("_row").distinct()
-    # Of equal rows one per map task is left before the exchange.
-    one = Window.partitionBy("_row").orderBy("text")
-    single = named.withColumn("_rank", F.row_number().over(one)).where(F.col("_rank") == 1)
-    return single.join(heads, "_row", "left_semi").select(docs.columns)
+    named = docs.withColumn(key, row)
+    groups = near_duplicates(named.select(key, "text"), id_column=key)
+    heads = groups.where(F.col(key).eqNullSafe(F.col("component")))
+    # Equal rows have one key: each map task keeps one of them before the exchange.
+    single = named.dropDuplicates([key])
+    heads = heads.select(F.col(key).alias(head)).distinct()
+    return single.join(heads, F.col(key) == F.col(head), "left_semi").select(docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,13 +63,14 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
-    found = secret_scan.scan(docs.withColumnsRenamed(_aside(docs)), secret_scan.train(docs))
+    aside = _aside(docs)
+    found = secret_scan.scan(docs.withColumnsRenamed(aside), secret_scan.train(docs))
     clean = secret_scan.redact(F.col("text"), F.col("secret_spans"))
     redacted = found.withColumn("text", clean).drop("secret_spans")
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         redacted = redacted.withColumn("n_chars", length)
-    return redacted.withColumnsRenamed({new: old for old, new in _aside(docs).items()})
+    return redacted.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
