@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledger_spark.operators.closure import reachable
+
 
 def in_list(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.where(F.col(column).isin(*values))
@@ -36,6 +38,17 @@ def effective_access(permissions: DataFrame) -> DataFrame:
     return permissions.groupBy("rol", "objeto").agg((granted & ~denied).alias("permitido"))
 
 
+def _statements(permissions: DataFrame, objects: DataFrame) -> DataFrame:
+    """Per role, object and kind of permission whether it is granted and whether it is denied;
+    statements on a schema as those on each of its objects."""
+    granted = F.bool_or(F.col("accion") == "GRANT").alias("otorgado")
+    denied = F.bool_or(F.col("accion") == "DENY").alias("denegado")
+    stated = permissions.groupBy("rol", "esquema", "objeto", "permiso").agg(granted, denied)
+    of_schema = stated.where(F.col("objeto").isNull()).drop("objeto")
+    of_schema = of_schema.join(objects.select("esquema", "objeto").distinct(), "esquema")
+    return stated.where(F.col("objeto").isNotNull()).unionByName(of_schema)
+
+
 def effective_access_users(
     permissions: DataFrame, members: DataFrame, objects: DataFrame
 ) -> DataFrame:
@@ -50,14 +63,33 @@ def effective_access_users(
     Statements and members become one row per key before they meet, so what is joined does not grow
     with repeated statements.
     """
-    granted = F.bool_or(F.col("accion") == "GRANT").alias("otorgado")
-    denied = F.bool_or(F.col("accion") == "DENY").alias("denegado")
-    stated = permissions.groupBy("rol", "esquema", "objeto", "permiso").agg(granted, denied)
-    of_schema = stated.where(F.col("objeto").isNull()).drop("objeto")
-    of_schema = of_schema.join(objects.select("esquema", "objeto").distinct(), "esquema")
-    on_objects = stated.where(F.col("objeto").isNotNull()).unionByName(of_schema)
-    by_member = members.select("rol", "miembro").distinct().join(on_objects, "rol")
+    by_member = members.select("rol", "miembro").distinct().join(
+        _statements(permissions, objects), "rol"
+    )
     allowed = F.bool_or("otorgado") & ~F.bool_or("denegado")
     return by_member.groupBy("miembro", "esquema", "objeto", "permiso").agg(
         allowed.alias("permitido")
     )
+
+
+def effective_access_nested(
+    permissions: DataFrame, members: DataFrame, objects: DataFrame, nested: DataFrame
+) -> DataFrame:
+    """``effective_access_users`` where roles are members of roles.
+
+    ``nested`` has (rol, dentro_de): what the outer role may or may not do holds for the inner one as
+    well, over any number of levels; circles are followed once. ``distancia`` is the number of steps
+    from the member to the nearest role that states anything on the object, 1 for a role of its own.
+    A denial counts from any distance.
+    """
+    edges = nested.select(F.col("rol").alias("nodo"), F.col("dentro_de").alias("destino"))
+    start = members.select(F.col("miembro").alias("origen"), F.col("rol").alias("nodo"))
+    roles = reachable(start, edges).select(
+        F.col("origen").alias("miembro"), F.col("nodo").alias("rol"), "distancia"
+    )
+    allowed = F.bool_or("otorgado") & ~F.bool_or("denegado")
+    return (
+        roles.join(_statements(permissions, objects), "rol")
+        .groupBy("miembro", "esquema", "objeto", "permiso")
+        .agg(allowed.alias("permitido"), F.min("distancia").alias("distancia"))
+    )

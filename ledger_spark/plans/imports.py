@@ -388,6 +388,54 @@ def match_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+AMBIGUOUS = "ambiguo"
+
+
+def match_rounded(
+    payments: DataFrame, accounts: DataFrame, lost_digits: int = 7
+) -> DataFrame:
+    """Set the account of payments whose account number lost its last digits to a spreadsheet.
+
+    A number that is stored as it was delivered matches as always. Else a number whose last
+    ``lost_digits`` digits are zeros matches the accounts that begin like it and are as long: a
+    single one is taken; of several none is, the payment is ambiguous and ``candidatos`` says how
+    many there are. ``candidatos`` is 1 for a match, 0 where nothing fits and NULL for a payment
+    that names no account number.
+
+    Accounts become one row per beginning before they meet the payments, so an ambiguous beginning
+    multiplies nothing, and any share of the payments may have the same number.
+    """
+    exact = match_payments(payments, accounts)
+    zeros = "0" * lost_digits
+    own, number = F.col("id_persona_cuenta"), F.col("cbu_origen")
+
+    def beginning(digits: Column) -> Column:
+        """What is left of a number, with its length."""
+        kept = F.length(digits) - lost_digits
+        return F.concat_ws(":", F.length(digits), F.substring(digits, F.lit(1), kept))
+
+    several = F.countDistinct("id_persona_cuenta").alias("_cuantas")
+    known = (
+        one_account_per_number(accounts)
+        .where(F.length("cbu") > lost_digits)
+        .groupBy(beginning(F.col("cbu")).alias("_inicio"))
+        .agg(several, F.min("id_persona_cuenta").alias("_cuenta"))
+    )
+    cut = own.isNull() & number.endswith(zeros) & (F.length(number) > lost_digits)
+    rows = exact.withColumn("_inicio", F.when(cut, beginning(number)))
+    found = lookup_join(rows, known, "_inicio", "left")
+    account = F.coalesce(own, F.when(F.col("_cuantas") == 1, F.col("_cuenta")))
+    state = F.when(account.isNotNull(), MATCHED).when(F.col("_cuantas") > 1, AMBIGUOUS)
+    count = F.when(own.isNotNull(), 1).otherwise(F.coalesce("_cuantas", F.lit(0)))
+    others = [c for c in exact.columns if c not in ("id_persona_cuenta", "estado")]
+    return found.select(
+        *others,
+        account.alias("id_persona_cuenta"),
+        state.otherwise(UNMATCHED).alias("estado"),
+        F.when(number.isNotNull(), count).cast("bigint").alias("candidatos"),
+    )
+
+
 def import_payments(
     raw: DataFrame,
     accounts: DataFrame,

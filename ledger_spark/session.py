@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,8 +33,20 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir; where that
-    is unset, as in tests, one beside the tables of the warehouse."""
+    is unset, as in tests, one beside the tables of the warehouse. Without the setting a warehouse on
+    the driver's own disk is refused unless the executors are on this machine too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledger-spark-scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = warehouse.startswith(("file:", "/"))
+    if own_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return f"{warehouse}/ledger-spark-scratch"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read again, so that what follows starts from files."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -186,6 +186,39 @@ FROM _semana
 """
 
 
+# Charges and payments of every unit with the sums up to each; no amount is negative here.
+_ALLOCATED = """
+_cargo AS (
+  SELECT id_uf, mes, CAST(CAST(COALESCE(total_ordinarios, 0) + COALESCE(total_extraordinarios, 0)
+    AS DECIMAL(18,2)) * (COALESCE(pct, 0) * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(18,2)) AS importe
+  FROM unidad u JOIN expensa_mes e ON e.id_consorcio = u.id_consorcio WHERE mes IS NOT NULL /* mes */
+),
+_cargo_hasta AS (
+  SELECT *, SUM(importe) OVER (PARTITION BY id_uf ORDER BY mes) AS hasta FROM _cargo WHERE importe > 0
+),
+_pago_hasta AS (
+  SELECT id_uf, fecha AS dia, SUM(importe) AS importe,
+    SUM(SUM(importe)) OVER (PARTITION BY id_uf ORDER BY fecha) AS hasta
+  FROM pago JOIN unidad_pagadora USING (id_persona) WHERE TRUE /* dia */ GROUP BY id_uf, fecha
+)
+"""
+
+_CONVERTED = """
+_cotizacion AS (
+  SELECT event_type AS moneda, DATE '1995-06-01' + CAST(((day(ts) - 1) * 24 + hour(ts)) * 3 AS INTEGER) AS fecha,
+    value + 1 AS venta, event_id
+  FROM events WHERE event_type IN ('purchase', 'view')
+),
+_dia AS (
+  SELECT moneda, fecha AS desde, arg_max(venta, event_id) AS venta FROM _cotizacion GROUP BY ALL
+),
+_fecha AS (
+  SELECT f.fecha, m.moneda, d.desde, d.venta
+  FROM (SELECT DISTINCT fecha FROM pago) f CROSS JOIN (VALUES ('purchase'), ('view')) m(moneda)
+  ASOF LEFT JOIN _dia d ON d.moneda = m.moneda AND f.fecha >= d.desde
+)
+"""
+
 ORACLE: dict[str, str] = {
     "top_delinquent_owners": _top(10, None, True, None),
     "top_delinquent_owners_listed": _top(3, None, False, ["enero", "febrero"]),
@@ -351,6 +384,27 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """,
     "import_payments": _BANK.format(known="c_acctbal >= 0"),
     "unmatched_payments": _BANK.format(known="c_acctbal >= 0") + "WHERE c_acctbal < 0",
+    "rounded_payments": """
+WITH cuenta AS (
+  SELECT c_custkey AS id, lpad(CAST(c_custkey // 3 AS VARCHAR), 14, '0')
+    || CASE WHEN c_acctbal < 0 THEN '9' ELSE CAST(c_custkey % 3 AS VARCHAR) END || '123456'
+    || CASE WHEN c_acctbal < 0 THEN CAST(c_custkey % 3 AS VARCHAR) ELSE '7' END AS cbu
+  FROM customer
+),
+entregado AS (
+  SELECT o_orderkey AS id_pago, o_orderstatus = 'P' AS entero,
+    CASE WHEN o_orderstatus = 'P' THEN cbu ELSE left(cbu, 15) || '0000000' END AS cbu_origen
+  FROM orders JOIN cuenta ON id = o_custkey
+),
+hallado AS (
+  SELECT id_pago, cbu_origen, count(*) AS candidatos, min(id) AS id
+  FROM entregado JOIN cuenta ON CASE WHEN entero THEN cbu = cbu_origen ELSE left(cbu, 15) = left(cbu_origen, 15) END
+  GROUP BY ALL
+)
+SELECT id_pago, cbu_origen, CASE WHEN candidatos = 1 THEN id END AS id_persona_cuenta,
+  CASE WHEN candidatos = 1 THEN 'asociado' ELSE 'ambiguo' END AS estado, candidatos
+FROM hallado
+""",
     "rematch_payments": _BANK.format(known="TRUE"),
     "chain_payments": f"""
 SELECT * REPLACE (CASE WHEN estado = 'asociado' THEN cbu_origen END AS id_persona_cuenta)
@@ -407,6 +461,98 @@ SELECT id_uf, u.id_consorcio, strftime(mes, '%Y-%m-%d') AS mes,
     AS DECIMAL(18,2)) * (COALESCE(pct, 0) * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(18,2))
     AS DOUBLE) AS cargo
 FROM unidad u JOIN expensa_mes e ON e.id_consorcio = u.id_consorcio
+"""
+    ),
+    "unit_charges_exact": _with_views(
+        """
+_peso AS (
+  SELECT id_uf, id_consorcio, CAST(greatest(COALESCE(pct, 0), 0) * 100 AS HUGEINT) AS peso FROM unidad
+),
+_parte AS (
+  SELECT id_uf, u.id_consorcio, mes,
+    CAST(abs(COALESCE(total_ordinarios, 0) + COALESCE(total_extraordinarios, 0)) * 100 AS HUGEINT) AS total,
+    sign(COALESCE(total_ordinarios, 0) + COALESCE(total_extraordinarios, 0)) AS signo,
+    CASE WHEN SUM(peso) OVER _edificio > 0 THEN peso ELSE 1 END AS parte,
+    CASE WHEN SUM(peso) OVER _edificio > 0 THEN SUM(peso) OVER _edificio ELSE COUNT(*) OVER _edificio END AS partes
+  FROM _peso u JOIN expensa_mes e ON e.id_consorcio = u.id_consorcio
+  WINDOW _edificio AS (PARTITION BY u.id_consorcio, mes)
+),
+_cuota AS (
+  SELECT *, total * parte // partes AS cuota, total * parte % partes AS resto FROM _parte
+),
+_lugar AS (
+  SELECT *, total - SUM(cuota) OVER (PARTITION BY id_consorcio, mes) AS sobrante,
+    row_number() OVER (PARTITION BY id_consorcio, mes
+      ORDER BY resto DESC, parte, md5(CAST(id_uf AS VARCHAR)), id_uf) AS lugar
+  FROM _cuota
+)
+SELECT id_uf, id_consorcio, strftime(mes, '%Y-%m-%d') AS mes,
+  CAST(CAST(signo * (cuota + CASE WHEN lugar <= sobrante THEN 1 ELSE 0 END) AS DECIMAL(18,0))
+    * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE) AS cargo
+FROM _lugar
+"""
+    ),
+    "payment_allocation": _with_views(
+        _ALLOCATED
+        + """
+SELECT c.id_uf, strftime(c.mes, '%Y-%m-%d') AS mes, strftime(p.dia, '%Y-%m-%d') AS fecha,
+  CAST(least(c.hasta, p.hasta) - greatest(c.hasta - c.importe, p.hasta - p.importe) AS DOUBLE) AS importe
+FROM _cargo_hasta c JOIN _pago_hasta p ON c.id_uf = p.id_uf
+  AND c.hasta > p.hasta - p.importe AND p.hasta > c.hasta - c.importe
+"""
+    ),
+    "debt_by_age": _with_views(
+        _ALLOCATED.replace("/* mes */", "AND mes <= DATE '1996-12-31'").replace(
+            "/* dia */", "AND fecha <= DATE '1996-12-31'"
+        )
+        + """,
+_abierto AS (
+  SELECT id_uf, date_diff('day', mes, DATE '1996-12-31') AS dias,
+    least(importe, hasta - COALESCE((SELECT SUM(importe) FROM _pago_hasta p WHERE p.id_uf = c.id_uf), 0)) AS deuda
+  FROM _cargo_hasta c
+)
+SELECT id_consorcio, CASE WHEN dias <= 30 THEN '0-30' WHEN dias <= 60 THEN '31-60'
+    WHEN dias <= 90 THEN '61-90' ELSE 'mas de 90' END AS antiguedad,
+  COUNT(DISTINCT id_uf) AS unidades, CAST(SUM(deuda) AS DOUBLE) AS deuda
+FROM _abierto JOIN unidad USING (id_uf) WHERE deuda > 0 GROUP BY 1, 2
+"""
+    ),
+    "unpaid_spells": _with_views(
+        """
+_mes AS (
+  SELECT DISTINCT id_uf, id_consorcio, mes FROM unidad JOIN expensa_mes USING (id_consorcio)
+  WHERE mes <= DATE '1996-12-31'
+),
+_sin AS (
+  SELECT *, row_number() OVER (PARTITION BY id_uf ORDER BY mes) AS n,
+    max(mes) OVER (PARTITION BY id_consorcio) AS ultimo,
+    EXISTS (SELECT 1 FROM pago JOIN unidad_pagadora USING (id_persona) WHERE fecha <= DATE '1996-12-31'
+      AND unidad_pagadora.id_uf = _mes.id_uf AND date_trunc('month', fecha) = mes) AS pago
+  FROM _mes
+),
+_racha AS (
+  SELECT *, n - row_number() OVER (PARTITION BY id_uf ORDER BY mes) AS racha FROM _sin WHERE NOT pago
+)
+SELECT id_uf, strftime(min(mes), '%Y-%m-%d') AS desde, strftime(max(mes), '%Y-%m-%d') AS hasta,
+  COUNT(*) AS meses, max(mes) = max(ultimo) AS abierto
+FROM _racha GROUP BY id_uf, racha
+"""
+    ),
+    "payments_in_currency": _with_views(
+        _CONVERTED
+        + """
+SELECT id_persona AS id_persona_cuenta, strftime(f.fecha, '%Y-%m-%d') AS fecha_de_pago, f.moneda,
+  CAST(importe AS DOUBLE) AS importe, strftime(desde, '%Y-%m-%d') AS vigente_desde, venta,
+  CAST(importe AS DOUBLE) / venta AS importe_en_moneda
+FROM _fecha f JOIN pago USING (fecha)
+"""
+    ),
+    "payments_without_quote": _with_views(
+        _CONVERTED
+        + """
+SELECT moneda, strftime(f.fecha, '%Y-%m-%d') AS fecha_de_pago, COUNT(*) AS pagos,
+  CAST(SUM(importe) AS DOUBLE) AS importe
+FROM _fecha f JOIN pago USING (fecha) WHERE desde IS NULL GROUP BY 1, 2
 """
     ),
     "unit_statement": _with_views(
@@ -525,6 +671,35 @@ SELECT c_mktsegment || '-' || c_nationkey AS miembro, esquema, objeto,
   CASE WHEN value < 50 THEN 'EXECUTE' ELSE 'ALTER' END AS permiso,
   bool_or(NOT niega) AND NOT bool_or(niega) AS permitido
 FROM alcance JOIN customer ON c_custkey = rol GROUP BY 1, 2, 3, 4
+""",
+    "effective_access_nested": """
+WITH RECURSIVE evento AS (
+  SELECT user_id AS rol, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, value
+  FROM events
+),
+objeto AS (SELECT DISTINCT k // 10 AS esquema, k AS objeto FROM evento),
+alcance AS (
+  SELECT rol, k // 10 AS esquema, k AS objeto, value, event_type = 'error' AS niega
+  FROM evento WHERE event_type <> 'signup'
+  UNION ALL
+  SELECT rol, esquema, objeto, value, FALSE
+  FROM evento JOIN objeto ON esquema = k // 10 WHERE event_type = 'signup'
+),
+dentro AS (
+  SELECT c_custkey AS rol, c_custkey // 4 AS fuera FROM customer
+  UNION
+  SELECT c_custkey // 4, c_custkey FROM customer WHERE c_acctbal < -900
+),
+camino AS (
+  SELECT c_custkey AS miembro, c_custkey AS rol, 1 AS distancia FROM customer
+  UNION
+  SELECT miembro, fuera, distancia + 1 FROM camino JOIN dentro USING (rol) WHERE distancia < 24
+),
+papel AS (SELECT miembro, rol, min(distancia) AS distancia FROM camino GROUP BY ALL)
+SELECT 'u' || miembro AS miembro, esquema, objeto,
+  CASE WHEN value < 50 THEN 'EXECUTE' ELSE 'ALTER' END AS permiso,
+  bool_or(NOT niega) AND NOT bool_or(niega) AS permitido, CAST(min(distancia) AS BIGINT) AS distancia
+FROM alcance JOIN papel USING (rol) GROUP BY 1, 2, 3, 4
 """,
     "missing_members": """
 SELECT DISTINCT o.o_orderpriority AS rol, o.o_custkey AS miembro FROM orders o

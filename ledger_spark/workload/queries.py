@@ -20,7 +20,8 @@ from ledger_spark.functions import categories
 from ledger_spark.functions.text import month_name, month_number, month_start, normalise
 from ledger_spark.operators import membership, protect, quality, reshape, upsert
 from ledger_spark.operators import periods as period_sets
-from ledger_spark.plans import cash_flow, collections, imports, intervals, monthly, rankings
+from ledger_spark.plans import allocation, apportion, cash_flow, collections, currency, imports
+from ledger_spark.plans import intervals, monthly, rankings
 from ledger_spark.plans import charges as charging
 from ledger_spark.plans import delinquency as debts
 from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY, ROSTER_NAMES
@@ -488,6 +489,35 @@ def unmatched_payments(spark, sf_dir):
     return _imported_payments(spark, sf_dir).where(F.col("estado") == imports.UNMATCHED)
 
 
+@query
+def rounded_payments(spark, sf_dir):
+    """The bank export after a spreadsheet wrote zeros over the last seven digits of the account
+    numbers. An account number is a third of the customer's key and what tells the three apart, which
+    is lost for customers in debt only."""
+    customer = table(spark, sf_dir, "customer")
+    group = F.lpad(F.floor(F.col("c_custkey") / 3).cast("string"), 14, "0")
+    last = (F.col("c_custkey") % 3).cast("string")
+    in_debt = F.col("c_acctbal") < 0
+    cbu = F.concat(
+        group, F.when(in_debt, "9").otherwise(last), F.lit("123456"), F.when(in_debt, last).otherwise("7")
+    )
+    accounts = customer.select(
+        F.col("c_custkey").alias("id_persona_cuenta"),
+        F.col("c_custkey").alias("id_persona"),
+        cbu.alias("cbu"),
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id_pago"), F.col("o_custkey").alias("id_persona"), "o_orderstatus"
+    )
+    delivered = F.when(F.col("o_orderstatus") == "P", F.col("cbu")).otherwise(
+        F.concat(F.substring("cbu", 1, 15), F.lit("0000000"))
+    )
+    payments = orders.join(accounts.select("id_persona", "cbu"), "id_persona").select(
+        "id_pago", delivered.alias("cbu_origen")
+    )
+    return imports.match_rounded(payments, accounts)
+
+
 @query
 def rematch_payments(spark, sf_dir):
     """The same payments once every account is registered."""
@@ -626,6 +656,57 @@ def unit_statement(spark, sf_dir):
     )
 
 
+@query
+def unit_charges_exact(spark, sf_dir):
+    return apportion.unit_charges_exact(
+        views.units(spark, sf_dir), charging.charge_rollup(views.expense_lines(spark, sf_dir))
+    )
+
+
+@query
+def payment_allocation(spark, sf_dir):
+    tables = ledger(spark, sf_dir)
+    return allocation.payment_allocation(tables, charging.charge_rollup(tables.expense_lines))
+
+
+@query
+def debt_by_age(spark, sf_dir):
+    tables = ledger(spark, sf_dir)
+    charges = charging.charge_rollup(tables.expense_lines)
+    return allocation.debt_by_age(tables, charges, CUTOFF)
+
+
+@query
+def unpaid_spells(spark, sf_dir):
+    tables = ledger(spark, sf_dir)
+    return intervals.unpaid_spells(tables, charging.charge_rollup(tables.expense_lines), CUTOFF)
+
+
+def _converted(spark, sf_dir) -> DataFrame:
+    """Every payment in two currencies at the quote of its day, or the last one before it. Events are
+    the quotes: an event type is a currency, an hour of the month one of 720 days three apart."""
+    hours = (F.dayofmonth("ts") - 1) * 24 + F.hour("ts")
+    quotes = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("moneda"),
+        F.date_add(F.lit(datetime.date(1995, 6, 1)), hours * 3).alias("fecha"),
+        (F.col("value") + 1).alias("venta"),
+        F.col("event_id").alias("secuencia"),
+    )
+    return currency.payments_in_currency(
+        views.payments(spark, sf_dir), quotes, ["purchase", "view"]
+    )
+
+
+@query
+def payments_in_currency(spark, sf_dir):
+    return _converted(spark, sf_dir)
+
+
+@query
+def payments_without_quote(spark, sf_dir):
+    return currency.without_quote(_converted(spark, sf_dir))
+
+
 @query
 def weekly_cash_flow(spark, sf_dir):
     return cash_flow.weekly_cash_flow(ledger(spark, sf_dir))
@@ -721,6 +802,34 @@ def effective_access_users(spark, sf_dir):
     return membership.effective_access_users(statements, members, objects)
 
 
+@query
+def effective_access_nested(spark, sf_dir):
+    """The same statements, where each role is a member of the one of a quarter of its number, and the
+    outer one of that of a customer in debt: circles."""
+    key = files.json_field(F.col("props"), "k", "bigint")
+    events = table(spark, sf_dir, "events").withColumn("k", key)
+    schema = F.floor(F.col("k") / 10).cast("bigint").alias("esquema")
+    statements = events.select(
+        F.col("user_id").alias("rol"),
+        schema,
+        F.when(F.col("event_type") != "signup", F.col("k")).alias("objeto"),
+        F.when(F.col("value") < 50, "EXECUTE").otherwise("ALTER").alias("permiso"),
+        F.when(F.col("event_type") == "error", "DENY").otherwise("GRANT").alias("accion"),
+    )
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("rol"),
+        F.floor(F.col("c_custkey") / 4).cast("bigint").alias("dentro_de"),
+        "c_acctbal",
+    )
+    back = customer.where("c_acctbal < -900").select(
+        F.col("dentro_de").alias("rol"), F.col("rol").alias("dentro_de")
+    )
+    nested = customer.select("rol", "dentro_de").union(back)
+    members = customer.select("rol", F.concat(F.lit("u"), F.col("rol").cast("string")).alias("miembro"))
+    objects = events.select(schema, F.col("k").alias("objeto"))
+    return membership.effective_access_nested(statements, members, objects, nested)
+
+
 @query
 def missing_members(spark, sf_dir):
     pairs = table(spark, sf_dir, "orders").select(
