@@ -39,11 +39,9 @@ LOADS = {
     "load-quotes": lambda store, a: monthly.load_quotes(store, a.file, a.sequence),
     "rematch-payments": lambda store, a: monthly.rematch_payments(store),
     "generate-charges": lambda store, a: monthly.generate_charges(store),
-    "publish": lambda store, a: store.publish(a.table),
 }
 
 
-
 def _key(args: argparse.Namespace) -> str:
     return Path(args.key_file).read_text().strip()
 
@@ -94,7 +92,6 @@ OPTIONS = {
     "load-services": ["file", "year", "json_lines", "repeated"],
     "load-payments": ["file"],
     "load-quotes": ["file", "sequence"],
-    "publish": ["table"],
     "top-delinquent-owners": [
         "cutoff", "building", "extra", "periods", "top", "dedup", "audience", "clear", "pepper_file"
     ],
@@ -136,7 +133,6 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--extra", action="store_true", help="include extraordinary expenses")
     parser.add_argument("--dedup", action="store_true")
     parser.add_argument("--top", type=int)
-    parser.add_argument("--table", help="table whose cut-off replacement to finish, for publish")
     parser.add_argument("--sequence", type=int, help="load number, for load-quotes")
     parser.add_argument("--audience", default="", help="who will read the people or the report")
     parser.add_argument("--clear", default="", help="audiences that may read personal data")

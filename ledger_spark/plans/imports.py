@@ -42,21 +42,24 @@ def _one_per_key(df: DataFrame, key: str) -> Split:
     """One row per key, chosen by the other columns so that a rerun chooses alike; rows of the
     same key and other content are rejected. Identical copies are one row.
 
-    The chosen row is a maximum, combined in the map tasks, and the rows of a key that occurs
-    very often are split over tasks when they are compared with it.
+    The greatest and the least content of a key are one aggregate, combined in the map tasks. Only
+    where they differ are rows compared with what was chosen, and the rows of a key that occurs very
+    often are then split over tasks.
     """
     others = [c for c in df.columns if c != key]
-    rows = df.distinct()
     if not others:
+        rows = df.distinct()
         return Split(rows, rows.withColumn("motivo", F.lit("")).where(F.lit(False)))
     content = F.struct(*others)
-    chosen = rows.groupBy(key).agg(F.max(content).alias("_elegida"))
+    found = df.groupBy(key).agg(F.max(content).alias("_elegida"), F.min(content).alias("_menor"))
+    several = found.where(~F.col("_elegida").eqNullSafe(F.col("_menor"))).drop("_menor")
     repeated = (
-        lookup_join(rows, chosen, key)
+        lookup_join(df, several, key)
         .where(~content.eqNullSafe(F.col("_elegida")))
         .select(*df.columns, F.lit("clave repetida").alias("motivo"))
+        .distinct()
     )
-    return Split(chosen.select(key, "_elegida.*").select(*df.columns), repeated)
+    return Split(found.select(key, "_elegida.*").select(*df.columns), repeated)
 
 
 def _changed(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -176,3 +176,47 @@ def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_folder(spark)
     assert folder == named.rstrip("/") if named else "ledger-spark" in folder
+
+
+def test_rejects_of_a_repeated_load_are_there_once(ledger):
+    load(ledger)
+    before = rows(ledger.store.rejected("pago"), "id_pago", "motivo", "carga")
+    assert [r[:2] for r in before] == [(4, "fecha ilegible")]
+    ledger("load-payments", "--file", ledger.file("again.csv", PAYMENTS))
+    assert rows(ledger.store.rejected("pago"), "id_pago", "motivo", "carga") == before
+
+
+def test_a_load_that_is_cut_off_is_invisible(ledger):
+    store, roster = ledger.store, ledger.file("roster.csv", ROSTER)
+    people = store.spark.createDataFrame([("p", "1")], "id_persona string, dni string")
+    people = people.selectExpr("*", *[f"null {c}" for c in ("nombre", "apellido", "email", "telefono", "es_inquilino")])
+    with pytest.raises(ZeroDivisionError), store.load("people") as _:
+        store.write("persona", people)
+        assert store.read("persona").count() == 1  # its own rows are seen inside
+        raise ZeroDivisionError
+    assert store.read("persona").count() == 0
+    with pytest.raises(RuntimeError), store.load("a"), store.load("b"):
+        pass
+    with store.load("people") as _:
+        store.write("persona", people)
+    reader = store.tables()
+    store.write("persona", people.withColumn("dni", people.id_persona), mode="overwrite")
+    assert rows(reader.people, "dni") == [("1",)]  # goes on with the version it began with
+    assert rows(store.read("persona"), "dni") == [("p",)]
+    ledger("load-roster", "--file", roster)
+    assert sizes(store)[:3] == [2, 3, 1]
+
+
+def test_matching_again_moves_pending_payments_only(ledger):
+    load(ledger)
+    store = ledger.store
+    version = store._latest()
+    ledger("rematch-payments")
+    assert store._latest() == version  # nothing found, nothing written
+    ledger("load-people", "--file", ledger.file("l.csv", LATE_PEOPLE), "--roster", ledger.file("r.csv", ROSTER))
+    ledger("rematch-payments")
+    old, new = version[1], store._latest()[1]
+    assert new["pago"][:-1] == old["pago"] and new["pago_pendiente"] != old["pago_pendiente"]
+    added = store._parquet("pago", new["pago"][-1:])
+    assert rows(added, "id_pago") == [(2,)]
+    assert rows(store._parquet("pago_pendiente", new["pago_pendiente"]), "id_pago") == [(3,)]
