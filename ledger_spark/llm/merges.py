@@ -149,8 +149,8 @@ class WordCache:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 100_000,
-        characters: int = 2_000_000,
+        limit: int = 150_000,
+        characters: int = 3_000_000,
     ):
         self.encode, self.limit, self.characters = encode, limit, characters
         self._clear()

@@ -50,6 +50,7 @@ MIN_RATIO = 14.0
 CHUNK_BYTES = 1_000_000
 # Pairs numbered at a time; counting them takes eight bytes each.
 PAIRS_AT_ONCE = 1 << 18
+MARK = "<SECRET>"
 SPANS = "array<struct<start: int, rank: int, kind: string, end: int, score: double>>"
 
 
@@ -178,12 +179,18 @@ def all_spans(text: str, ratio: np.ndarray) -> list[tuple[int, int, int, float]]
 
 
 def scan(
-    df: DataFrame, ratio: np.ndarray, text_column: str = "text", into: str = "secret_spans"
+    df: DataFrame,
+    ratio: np.ndarray,
+    text_column: str = "text",
+    into: str = "secret_spans",
+    clean: str | None = None,
+    mark: str = MARK,
 ) -> DataFrame:
     """``df`` with its spans of secrets, in order: start and end in code points, end exclusive.
 
-    NULL and empty texts have none. A column named ``into`` is replaced; all rows and other columns
-    stay. No shuffle.
+    NULL and empty texts have none. Columns named ``into`` and ``clean`` are replaced; all rows and
+    other columns stay. Where ``clean`` names a column it holds the text with every run of overlapping
+    spans replaced by the mark, NULL where there is no span. No shuffle.
     """
     model = share(df.sparkSession, ratio)
     kind = pa.list_(
@@ -204,40 +211,45 @@ def scan(
         def compute(texts: list[str | None]) -> list[pa.Array]:
             plain = [t or "" for t in texts]
             spans: list[list] = [[] for _ in plain]
+            redacted: list[str | None] = [None] * len(plain)
             for i in suspects(plain)[1]:
+                found = all_spans(plain[i], ratios)
                 spans[i] = [
                     {"start": a, "rank": r, "kind": KINDS[r], "end": b, "score": s}
-                    for a, r, b, s in all_spans(plain[i], ratios)
+                    for a, r, b, s in found
                 ]
-            return [pa.array(spans, kind)]
+                if clean and found:
+                    redacted[i] = without(plain[i], [(a, b) for a, _, b, _ in found], mark)
+            return [pa.array(spans, kind), *([pa.array(redacted, pa.string())] if clean else [])]
 
         return compute
 
-    return from_text(df, text_column, f"{into} {SPANS}", start, CHUNK_BYTES)
+    added = f"{into} {SPANS}" + (f", {clean} string" if clean else "")
+    return from_text(df, text_column, added, start, CHUNK_BYTES)
 
 
-def redact(text: Column, spans: Column, mark: str = "<SECRET>") -> Column:
-    """The text with every run of overlapping spans replaced by one mark; one pass over the text."""
+def without(text: str, spans: list[tuple[int, int]], mark: str = MARK) -> str:
+    """The text with every run of overlapping spans, which stand in order, replaced by one mark; one
+    pass over the text."""
+    parts, end = [], 0
+    for start, stop in spans:
+        if not parts or start >= end:
+            parts += [text[end:start], mark]
+        end = max(end, stop)
+    return "".join([*parts, text[end:]])
 
-    def cut(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch, found in texts:
-            out = []
-            for value, runs in zip(batch.to_pylist(), found.to_pylist(), strict=True):
-                parts, end = [], 0
-                for span in runs if value is not None else ():
-                    if not parts or span["start"] >= end:
-                        parts += [value[end : span["start"]], mark]
-                    end = max(end, span["end"])
-                out.append(None if value is None else "".join([*parts, value[end:]]))
+
+def redact(text: Column, spans: Column, mark: str = MARK) -> Column:
+    """``without`` as a column; ``scan`` gives the same in the pass that finds the spans."""
+
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in batches:
+            out = [
+                None if t is None else without(t, [(s["start"], s["end"]) for s in runs or ()], mark)
+                for t, runs in zip(texts.to_pylist(), found.to_pylist(), strict=True)
+            ]
             yield pa.array(out, pa.string())
 
     # Texts without a span are not sent to Python.
     some = F.size(spans) > 0
-    redacted = F.arrow_udf(cut, "string")(
-        F.when(some, text), F.when(some, F.transform(spans, _ends)).otherwise(F.lit(None))
-    )
-    return F.coalesce(redacted, text)
-
-
-def _ends(span: Column) -> Column:
-    return F.struct(span["start"].alias("start"), span["end"].alias("end"))
+    return F.coalesce(F.arrow_udf(cut, "string")(F.when(some, text), F.when(some, spans)), text)

@@ -18,7 +18,7 @@ from ledger_spark.llm.merges import PairTable, WordCache, merge_words
 from ledger_spark.llm.tables import pieces, share, shared
 
 SPACE = "▁"
-CHUNK_BYTES = 500_000
+CHUNK_BYTES = 1_000_000
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -114,7 +114,7 @@ def encode_decode(
     df: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row (id, ids array<int>, decoded string) for each row of ``df``; other columns are left
-    out. No shuffle: each task works through its rows in slices of about half a megabyte.
+    out. No shuffle: each task works through its rows in slices of about a megabyte.
 
     NULL counts as the empty text, which has no ids and decodes to the empty text. Repeated rows
     and NULL ids are kept as they are; an empty table gives an empty table.
