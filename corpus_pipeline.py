@@ -64,9 +64,10 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
     aside = _aside(docs)
-    found = secret_scan.scan(docs.withColumnsRenamed(aside), secret_scan.train(docs))
-    clean = secret_scan.redact(F.col("text"), F.col("secret_spans"))
-    redacted = found.withColumn("text", clean).drop("secret_spans")
+    [clean] = unused(docs, ["clean"])
+    kept = docs.withColumnsRenamed(aside)
+    found = secret_scan.scan(kept, secret_scan.train(docs), clean=clean)
+    redacted = found.withColumn("text", F.coalesce(clean, "text")).drop("secret_spans", clean)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         redacted = redacted.withColumn("n_chars", length)
