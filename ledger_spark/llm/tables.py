@@ -15,6 +15,17 @@ from pyspark.sql.types import StructType
 
 from ledger_spark.session import shared_folder
 
+# Rows that Spark hands to Python at once, where the session leaves it open: by default they are ten
+# thousand, which is too much room for long texts on either side.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_AT_ONCE = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand over texts in small batches; what it sets itself is kept."""
+    if spark.conf.get(ARROW_ROWS, None) is None:
+        spark.conf.set(ARROW_ROWS, ROWS_AT_ONCE)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +44,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: later steps start from files
     that every executor sees, not from a long lineage."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -40,6 +52,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
 
 def share(spark: SparkSession, model) -> Broadcast:
     """A model of bounded size for all tasks, pickled with its classes; see ``shared``."""
+    small_batches(spark)
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
 
@@ -59,6 +72,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterat
             size += length
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def from_text(
@@ -77,6 +91,7 @@ def from_text(
     rows = df.drop(*new.fieldNames())
     kinds = to_arrow_schema(new)
     at = rows.columns.index(text_column)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
