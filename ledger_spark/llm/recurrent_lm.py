@@ -344,6 +344,23 @@ class Network:
             self.flat -= RATE * slope / np.sqrt(self.squares)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about ``SLICE_BYTES`` of text, small batches put together: the more
+    documents lie side by side, the fewer steps they take."""
+    held, size = [], 0
+
+    def together() -> list[pa.RecordBatch]:
+        return pa.Table.from_batches(held).combine_chunks().to_batches() if held else []
+
+    for batch in pieces(batches, column, SLICE_BYTES):
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= SLICE_BYTES:
+            yield from together()
+            held, size = [], 0
+    yield from together()
+
+
 class LanguageModel:
     """What is learned: the lexicon, the network, and the counts of all other words as a table."""
 
@@ -362,7 +379,7 @@ def _one_round(texts: DataFrame, lexicon: Lexicon, network: Network) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, rare, end, own = shared(start_of_task)
         tokens = 0
-        for batch in pieces(batches, 0, SLICE_BYTES):
+        for batch in _slices(batches, 0):
             words = (words_of(t) for t in batch.column(0).cast(pa.binary()).to_pylist())
             docs = [np.fromiter(map(place.get, w, repeat(rare)), np.int64, len(w)) for w in words]
             if docs:
@@ -425,7 +442,7 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, network = shared(state)
         number = TaskContext.get().partitionId() << 40
-        for batch in pieces(batches, text_at, SLICE_BYTES):
+        for batch in _slices(batches, text_at):
             docs, made = [], []
             words_found, times_found, ends = [], [], [0]
             for text in batch.column(text_at).cast(pa.binary()).to_pylist():
