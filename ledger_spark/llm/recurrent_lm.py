@@ -218,66 +218,91 @@ class Network:
             at += size
         return out
 
-    def advance(self, w: dict, stream: Stream, window: tuple[int, int], state: np.ndarray):
-        """The states after each step of a window, and what backpropagation needs of the way."""
+    def advance(
+        self, w: dict, stream: Stream, window: tuple[int, int], state: np.ndarray, way: bool = True
+    ):
+        """The states after each step of a window, and what backpropagation needs of the way if asked.
+
+        Tokens lie along the last axis here and below, so that every gate is one block of memory.
+        """
         start, stop = window
-        first = stream.offsets[start]
+        first, h = stream.offsets[start], HIDDEN
         at = slice(first, stream.offsets[stop])
-        entry = w["embedding"][stream.input[at]] @ w["entry"] + w["entry_bias"]
-        carry, h = stream.carry[at], HIDDEN
-        shape = (len(entry), HIDDEN)
-        before, after = np.empty(shape, np.float32), np.empty(shape, np.float32)
-        gates = np.empty((len(entry), 2 * HIDDEN), np.float32)
-        fresh, inner = np.empty(shape, np.float32), np.empty(shape, np.float32)
+        symbols = np.ascontiguousarray((w["embedding"] @ w["entry"] + w["entry_bias"]).T)
+        turned = np.ascontiguousarray(w["state"].T)
+        # A gate is half of one more than the hyperbolic tangent of half its sum.
+        symbols[: 2 * h] *= 0.5
+        turned[: 2 * h] *= 0.5
+        entry = symbols[:, stream.input[at]]
+        carry, size = stream.carry[at, 0], entry.shape[1]
+        after = np.empty((h, size), np.float32)
+        before, fresh, inner = (np.empty_like(after) for _ in range(3))
+        gates = np.empty((2 * h, size), np.float32)
+        state = state.T
         for t in range(start, stop):
-            a, b = stream.offsets[t] - first, stream.offsets[t + 1] - first
-            old = np.multiply(state[: b - a], carry[a:b], out=before[a:b])
-            pushed = old @ w["state"]
-            gate = np.multiply(entry[a:b, : 2 * h] + pushed[:, : 2 * h], 0.5, out=gates[a:b])
+            now = slice(stream.offsets[t] - first, stream.offsets[t + 1] - first)
+            old = state[:, : now.stop - now.start] * carry[now]
+            pushed = turned @ old
+            gate = entry[: 2 * h, now] + pushed[: 2 * h]
             np.tanh(gate, out=gate)
             gate += 1.0
             gate *= 0.5
-            inner[a:b] = pushed[:, 2 * h :]
-            new = np.tanh(entry[a:b, 2 * h :] + gate[:, :h] * pushed[:, 2 * h :], out=fresh[a:b])
-            state = np.add(new, gate[:, h:] * (old - new), out=after[a:b])
+            new = gate[:h] * pushed[2 * h :]
+            new += entry[2 * h :, now]
+            np.tanh(new, out=new)
+            state = old - new
+            state *= gate[h:]
+            state += new
+            after[:, now] = state
+            if way:
+                before[:, now], gates[:, now] = old, gate
+                inner[:, now], fresh[:, now] = pushed[2 * h :], new
         return after, (before, gates, fresh, inner)
 
     def output(self, w: dict, states: np.ndarray, target: np.ndarray, slopes: dict | None = None):
         """Natural log probability of each target, and the slopes by state where they are asked."""
         kind, place = target // CLASS_SIZE, target % CLASS_SIZE
-        rows = np.arange(len(target))
-        scores = states @ w["classes"]
-        scores += w["classes_bias"]
-        np.clip(scores, -MOST_SCORE, MOST_SCORE, out=scores)
-        powers = np.exp(scores)
-        sums = powers.sum(axis=1)
-        logs = scores[rows, kind] - np.log(sums)
+        tokens = np.arange(len(target))
+        logs, powers, sums = self._softmax(w["classes"], w["classes_bias"], states, kind, tokens)
         if slopes is not None:
-            powers /= sums[:, None]
-            powers[rows, kind] -= 1.0
-            slopes["classes"] += states.T @ powers
-            slopes["classes_bias"] += powers.sum(axis=0)
-            back = powers @ w["classes"].T
-        order = np.argsort(kind, kind="stable")
+            powers /= sums
+            powers[kind, tokens] -= 1.0
+            slopes["classes"] += states @ powers.T
+            slopes["classes_bias"] += powers.sum(axis=1)
+            back = w["classes"] @ powers
+        order = np.argsort(kind.astype(np.uint16), kind="stable")
         found, starts = np.unique(kind[order], return_index=True)
+        held, place = states[:, order], place[order]
+        inside, ways = np.empty_like(logs), np.empty_like(held)
         for k, a, b in zip(found, starts, np.append(starts[1:], len(order)), strict=True):
-            at = order[a:b]
-            held, wanted = states[at], place[at]
-            scores = held @ w["words"][k]
-            scores += w["words_bias"][k]
-            np.clip(scores, -MOST_SCORE, MOST_SCORE, out=scores)
-            powers = np.exp(scores)
-            sums = powers.sum(axis=1)
-            mine = rows[: b - a]
-            logs[at] += scores[mine, wanted] - np.log(sums)
+            mine, wanted = tokens[: b - a], place[a:b]
+            own = held[:, a:b]
+            inside[a:b], powers, sums = self._softmax(
+                w["words"][k], w["words_bias"][k], own, wanted, mine
+            )
             if slopes is not None:
-                powers /= sums[:, None]
-                powers[mine, wanted] -= 1.0
-                slopes["words"][k] += held.T @ powers
-                slopes["words_bias"][k] += powers.sum(axis=0)
-                back[at] += powers @ w["words"][k].T
+                powers /= sums
+                powers[wanted, mine] -= 1.0
+                slopes["words"][k] += own @ powers.T
+                slopes["words_bias"][k] += powers.sum(axis=1)
+                ways[:, a:b] = w["words"][k] @ powers
+        logs[order] += inside
+        if slopes is not None:
+            back[:, order] += ways
         return (logs, back) if slopes is not None else (logs, None)
 
+    @staticmethod
+    def _softmax(weights, bias, states, wanted, tokens) -> tuple[np.ndarray, ...]:
+        """Log probability of the wanted ones, the powers of all scores, and their sums."""
+        scores = weights.T @ states
+        scores += bias[:, None]
+        np.minimum(scores, MOST_SCORE, out=scores)
+        np.maximum(scores, -MOST_SCORE, out=scores)
+        logs = scores[wanted, tokens]
+        powers = np.exp(scores, out=scores)
+        sums = powers.sum(axis=0)
+        return logs - np.log(sums), powers, sums
+
     def log_probabilities(self, docs: list[np.ndarray], end: int) -> np.ndarray:
         """log10 of the probability of each document of symbols."""
         stream, w = Stream(docs, LANES, end), self.parts(self.flat)
@@ -285,10 +310,10 @@ class Network:
         state = np.zeros((len(docs), HIDDEN), np.float32)
         for window in stream.windows():
             at = slice(stream.offsets[window[0]], stream.offsets[window[1]])
-            states, _ = self.advance(w, stream, window, state)
+            states, _ = self.advance(w, stream, window, state, way=False)
             logs, _ = self.output(w, states, stream.target[at])
             total += np.bincount(stream.doc[at], logs, len(docs))
-            state = states[stream.last(window) :]
+            state = states[:, stream.last(window) :].T
         return total / LOG10
 
     def slopes(self, stream: Stream, window: tuple[int, int], state: np.ndarray):
@@ -300,8 +325,8 @@ class Network:
         slopes = self.parts(slope_of)
         states, (before, gates, fresh, inner) = self.advance(w, stream, window, state)
         logs, back = self.output(w, states, stream.target[at], slopes)
-        h, carry = HIDDEN, stream.carry[at]
-        reset, keep = gates[:, :h], gates[:, h:]
+        h, carry = HIDDEN, stream.carry[at, 0]
+        reset, keep = gates[:h], gates[h:]
         through = (1 - keep) * (1 - fresh * fresh)
         # The slope of a state times these is that of what the state before pushed into each gate.
         ways = np.stack(
@@ -309,29 +334,28 @@ class Network:
                 through * inner * reset * (1 - reset),
                 (before - fresh) * keep * (1 - keep),
                 through * reset,
-            ],
-            axis=1,
+            ]
         )
-        pushed = np.empty((len(states), 3 * h), np.float32)
-        split, turned = pushed.reshape(-1, 3, h), np.ascontiguousarray(w["state"].T)
-        later = np.zeros((0, h), np.float32)
+        split = np.empty_like(ways)
+        pushed = split.reshape(3 * h, -1)
+        later = np.zeros((h, 0), np.float32)
         for t in range(stop - 1, start - 1, -1):
-            a, b = stream.offsets[t] - first, stream.offsets[t + 1] - first
-            d = back[a:b]
-            d[: len(later)] += later
-            np.multiply(d[:, None, :], ways[a:b], out=split[a:b])
-            later = pushed[a:b] @ turned
-            later += d * keep[a:b]
-            later *= carry[a:b]
+            now = slice(stream.offsets[t] - first, stream.offsets[t + 1] - first)
+            d = back[:, now]
+            d[:, : later.shape[1]] += later
+            np.multiply(d, ways[:, :, now], out=split[:, :, now])
+            later = w["state"] @ pushed[:, now]
+            later += d * keep[:, now]
+            later *= carry[now]
         into = pushed.copy()
-        into[:, 2 * h :] = back * through
-        slopes["state"] += before.T @ pushed
-        slopes["entry_bias"] += into.sum(axis=0)
-        slopes["entry"] += w["embedding"][stream.input[at]].T @ into
+        into[2 * h :] = back * through
+        slopes["state"] += before @ pushed.T
+        slopes["entry_bias"] += into.sum(axis=1)
+        slopes["entry"] += (into @ w["embedding"][stream.input[at]]).T
         order = np.argsort(stream.input[at], kind="stable")
         found, starts = np.unique(stream.input[at][order], return_index=True)
-        slopes["embedding"][found] += np.add.reduceat((into @ w["entry"].T)[order], starts)
-        return float(logs.sum()), states[stream.last(window) :], slope_of
+        slopes["embedding"][found] += np.add.reduceat((into.T @ w["entry"].T)[order], starts)
+        return float(logs.sum()), states[:, stream.last(window) :].T, slope_of
 
     def learn(self, docs: list[np.ndarray], end: int) -> None:
         """One pass over documents of symbols, a step after every window."""
