@@ -143,6 +143,14 @@ roster AS (
 """
 
 
+def _hmac(key: str) -> str:
+    """HMAC-SHA-256 of the bytes ``cbu`` under a key of at most a block, as the standard writes it."""
+    inner, outer = (
+        bytes(b ^ mask for b in key.encode().ljust(64, b"\0")).hex() for mask in (0x36, 0x5C)
+    )
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || cbu)))"
+
+
 def _roster(body: str) -> str:
     return f"WITH {VIEWS.strip()},\n{_ROSTER.strip()}\n{body.strip()}"
 
@@ -649,6 +657,23 @@ FROM persona
 """
     ),
     "encrypted_owners": _with_views("SELECT * FROM persona"),
+    "payments_across_keys": f"""
+WITH cuenta AS (
+  SELECT c_custkey AS id, encode(lpad(CAST(c_custkey AS VARCHAR), 22, '0')) AS cbu,
+    c_mktsegment <> 'HOUSEHOLD' AS pasa
+  FROM customer
+),
+resumen AS (SELECT id, pasa, {_hmac("clave-vieja")} AS vieja, {_hmac("clave-nueva")} AS nueva FROM cuenta),
+pagado AS (
+  SELECT o_custkey AS id, CAST(l_shipdate AS DATE) > DATE '1996-12-31' AS tarde,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS importe
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT CASE WHEN tarde OR pasa THEN 2 ELSE 1 END AS clave,
+  CASE WHEN tarde OR pasa THEN nueva ELSE vieja END AS cbu,
+  count(*) AS pagos, CAST(sum(importe) AS DOUBLE) AS total
+FROM pagado JOIN resumen USING (id) GROUP BY 1, 2
+""",
     "effective_access": """
 SELECT user_id AS rol, CAST(json_extract_string(props, '$.k') AS BIGINT) AS objeto,
   bool_or(event_type <> 'error') AND NOT bool_or(event_type = 'error') AS permitido

@@ -38,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 CUTOFF = datetime.date(1996, 12, 31)
 PEPPER = "not-a-secret"
 AES_KEY = "0123456789abcdef"
+DIGEST_KEYS = {1: "clave-vieja", 2: "clave-nueva"}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -769,6 +770,38 @@ def encrypted_owners(spark, sf_dir):
     return protect.decrypt_columns(hidden, protect.PERSONAL_COLUMNS, AES_KEY)
 
 
+@query
+def payments_across_keys(spark, sf_dir):
+    """What each payer paid, by digest of the account: the key was changed at the cut-off, and tenants'
+    accounts were not carried over to the new one."""
+    accounts = views.accounts(spark, sf_dir).select("id_persona_cuenta", "id_persona", "cbu")
+    payments = protected_payments(views.payments(spark, sf_dir), accounts)
+    owners = views.people(spark, sf_dir).where("es_inquilino = 0").select("id_persona")
+    bridge = protect.key_bridge(
+        accounts.join(owners, "id_persona", "left_semi"), "cbu", DIGEST_KEYS, 1, 2
+    )
+    # Summed by digest before the change of keys, so that it meets no row of a payment.
+    sums = payments.groupBy(protect.KEY_NUMBER, "cbu").agg(
+        F.count("*").alias("pagos"), F.sum("importe").alias("total")
+    )
+    one = protect.under_new_key(sums, "cbu", bridge)
+    return one.groupBy(protect.KEY_NUMBER, "cbu").agg(
+        F.sum("pagos").alias("pagos"), F.sum("total").alias("total")
+    )
+
+
+def protected_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Payments with digests of their accounts, up to the cut-off under the first key, then the second."""
+    early = F.col("fecha_de_pago") <= F.lit(CUTOFF)
+    lots = [
+        protect.keyed_columns(accounts.select("id_persona_cuenta", "cbu"), ["cbu"], DIGEST_KEYS, number)
+        .join(payments.where(when), "id_persona_cuenta")
+        .select(protect.KEY_NUMBER, "cbu", "importe")
+        for number, when in ((1, early), (2, ~early))
+    ]
+    return lots[0].union(lots[1])
+
+
 @query
 def effective_access(spark, sf_dir):
     """Events as permission statements of a user on an object; errors deny."""
