@@ -259,6 +259,31 @@ FROM expensa WHERE periodo IN ('enero', 'marzo')
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   l_extendedprice AS coma_punto, l_extendedprice AS punto_coma,
   l_extendedprice AS coma_coma, l_extendedprice AS solo_coma FROM lineitem
+""",
+    "amounts_by_vote": """
+WITH linea AS (
+  SELECT *, l_suppkey % 3 = 0 AS coma,
+    l_linenumber % 3 = 0 OR l_suppkey % 3 = 2 AS corto, CAST(l_extendedprice AS DECIMAL(18,2)) AS precio
+  FROM lineitem
+),
+escrito AS (
+  SELECT *, CASE WHEN corto THEN format('{:,}', CAST(floor(precio) AS BIGINT))
+    ELSE format('{:,}', CAST(floor(precio) AS BIGINT)) || '.'
+      || lpad(CAST(CAST((precio - floor(precio)) * 100 AS BIGINT) AS VARCHAR), 2, '0') END AS ingles
+  FROM linea
+),
+voto AS (
+  SELECT l_suppkey, count(*) FILTER (WHERE NOT corto AND NOT coma) AS votos_coma,
+    count(*) FILTER (WHERE NOT corto AND coma) AS votos_punto
+  FROM linea GROUP BY 1
+)
+SELECT CAST(l_suppkey AS BIGINT) AS archivo, CASE WHEN coma THEN ingles ELSE translate(ingles, ',.', '.,') END AS texto,
+  l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  CASE WHEN NOT corto THEN CAST(precio AS DOUBLE)
+    WHEN precio < 1000 OR votos_coma + votos_punto > 0 THEN CAST(floor(precio) AS DOUBLE) END AS importe,
+  CASE WHEN corto AND precio >= 1000 AND votos_coma + votos_punto = 0 THEN 'importe ambiguo' END AS motivo,
+  votos_coma, votos_punto
+FROM escrito JOIN voto USING (l_suppkey)
 """,
     "month_normalise": _with_views(
         """

@@ -19,6 +19,7 @@ from ledger_spark.functions.amounts import parse_amount
 from ledger_spark.functions import categories
 from ledger_spark.functions.text import month_name, month_number, month_start, normalise
 from ledger_spark.operators import membership, protect, quality, reshape, upsert
+from ledger_spark.operators.amount_votes import amounts_by_vote as read_by_vote
 from ledger_spark.operators import periods as period_sets
 from ledger_spark.plans import allocation, apportion, cash_flow, collections, currency, imports
 from ledger_spark.plans import intervals, monthly, rankings
@@ -142,6 +143,24 @@ def expense_amount_parse(spark, sf_dir):
     )
 
 
+@query
+def amounts_by_vote(spark, sf_dir):
+    """Payments as files of their suppliers: every third line without decimals; a third of the files
+    with commas between thousands, a third with points, and a third of them never with decimals."""
+    price = F.col("l_extendedprice").cast(MONEY)
+    style = F.col("l_suppkey") % 3
+    short = (F.col("l_linenumber") % 3 == 0) | (style == 2)
+    english = F.when(short, F.format_number(F.floor(price), 0)).otherwise(F.format_number(price, 2))
+    turned = F.translate(english, ",.", ".,")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("archivo"),
+        F.when(style == 0, english).otherwise(turned).alias("texto"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    return read_by_vote(lines, "texto", ["archivo"])
+
+
 @query
 def month_normalise(spark, sf_dir):
     """Padded and capitalised month names of every order, back to the month."""
