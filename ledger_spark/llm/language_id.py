@@ -142,8 +142,8 @@ def _sample(rows: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang") -> LanguageModel:
     """The model of the rows that have a language; no other column is looked at.
 
-    The driver gets one number per bucket and the grams of the bounded sample. Without labelled
-    rows the model knows no language and predicts ``und``.
+    The driver gets one number per bucket and the whole texts of the sample, whose rows are bounded and
+    whose bytes are not. Without labelled rows the model knows no language and predicts ``und``.
     """
     rows = labelled.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
