@@ -159,6 +159,7 @@ class Stream:
         self.input = np.empty(total, dtype=np.int64)
         self.doc = np.empty(total, dtype=np.int64)
         self.carry = np.ones((total, 1), dtype=np.float32)
+        self.begins = np.zeros(len(steps), dtype=bool)
         for place, (size, lane) in enumerate(lengths):
             at = self.offsets[:size] + place
             tokens = np.concatenate([docs[d] for d in held[lane]])
@@ -166,7 +167,9 @@ class Stream:
             self.target[at] = tokens
             self.input[at] = np.append(end, tokens[:-1])
             self.doc[at] = np.repeat(held[lane], [len(docs[d]) for d in held[lane]])
-            self.carry[at[np.append(0, ends[:-1])]] = 0.0
+            begins = np.append(0, ends[:-1])
+            self.carry[at[begins]] = 0.0
+            self.begins[begins] = True
 
     def last(self, window: tuple[int, int]) -> int:
         """Where the last step of a window begins among the tokens of the window."""
@@ -227,43 +230,49 @@ class Network:
         """
         start, stop = window
         first, h = stream.offsets[start], HIDDEN
-        at = slice(first, stream.offsets[stop])
         symbols = np.ascontiguousarray((w["embedding"] @ w["entry"] + w["entry_bias"]).T)
         turned = np.ascontiguousarray(w["state"].T)
         # A gate is half of one more than the hyperbolic tangent of half its sum.
         symbols[: 2 * h] *= 0.5
         turned[: 2 * h] *= 0.5
-        entry = symbols[:, stream.input[at]]
-        carry, size = stream.carry[at, 0], entry.shape[1]
-        after = np.empty((h, size), np.float32)
-        before, fresh, inner = (np.empty_like(after) for _ in range(3))
-        gates = np.empty((2 * h, size), np.float32)
+        after, before, pushes, gates, fresh = ([] for _ in range(5))
         state = state.T
         for t in range(start, stop):
-            now = slice(stream.offsets[t] - first, stream.offsets[t + 1] - first)
-            old = state[:, : now.stop - now.start] * carry[now]
-            pushed = turned @ old
-            gate = entry[: 2 * h, now] + pushed[: 2 * h]
+            now = slice(stream.offsets[t], stream.offsets[t + 1])
+            old = state if state.shape[1] == stream.active[t] else state[:, : stream.active[t]]
+            if stream.begins[t]:
+                old = old * stream.carry[now, 0]
+            entry, pushed = symbols.take(stream.input[now], axis=1), turned @ old
+            gate, new = entry[: 2 * h], entry[2 * h :]
+            gate += pushed[: 2 * h]
             np.tanh(gate, out=gate)
             gate += 1.0
             gate *= 0.5
-            new = gate[:h] * pushed[2 * h :]
-            new += entry[2 * h :, now]
+            new += gate[:h] * pushed[2 * h :]
             np.tanh(new, out=new)
             state = old - new
             state *= gate[h:]
             state += new
-            after[:, now] = state
+            after.append(state)
             if way:
-                before[:, now], gates[:, now] = old, gate
-                inner[:, now], fresh[:, now] = pushed[2 * h :], new
-        return after, (before, gates, fresh, inner)
+                before.append(old)
+                pushes.append(pushed[2 * h :])
+                gates.append(gate)
+                fresh.append(new)
+        kept = (before, gates, fresh, pushes) if way else ()
+        return np.concatenate(after, axis=1), [np.concatenate(x, axis=1) for x in kept]
 
     def output(self, w: dict, states: np.ndarray, target: np.ndarray, slopes: dict | None = None):
         """Natural log probability of each target, and the slopes by state where they are asked."""
         kind, place = target // CLASS_SIZE, target % CLASS_SIZE
         tokens = np.arange(len(target))
-        logs, powers, sums = self._softmax(w["classes"], w["classes_bias"], states, kind, tokens)
+        # No state is beyond one, so weights and bias bound the scores.
+        below = np.abs(w["classes"]).sum(axis=0) + np.abs(w["classes_bias"]) < MOST_SCORE
+        inner = np.abs(w["words"]).sum(axis=1) + np.abs(w["words_bias"]) < MOST_SCORE
+        below, inner = below.all(), inner.all(axis=1)
+        logs, powers, sums = self._softmax(
+            w["classes"], w["classes_bias"], states, kind, tokens, below
+        )
         if slopes is not None:
             powers /= sums
             powers[kind, tokens] -= 1.0
@@ -272,13 +281,13 @@ class Network:
             back = w["classes"] @ powers
         order = np.argsort(kind.astype(np.uint16), kind="stable")
         found, starts = np.unique(kind[order], return_index=True)
-        held, place = states[:, order], place[order]
+        held, place = states.take(order, axis=1), place[order]
         inside, ways = np.empty_like(logs), np.empty_like(held)
         for k, a, b in zip(found, starts, np.append(starts[1:], len(order)), strict=True):
             mine, wanted = tokens[: b - a], place[a:b]
             own = held[:, a:b]
             inside[a:b], powers, sums = self._softmax(
-                w["words"][k], w["words_bias"][k], own, wanted, mine
+                w["words"][k], w["words_bias"][k], own, wanted, mine, inner[k]
             )
             if slopes is not None:
                 powers /= sums
@@ -288,16 +297,20 @@ class Network:
                 ways[:, a:b] = w["words"][k] @ powers
         logs[order] += inside
         if slopes is not None:
-            back[:, order] += ways
+            rank = np.empty_like(order)
+            rank[order] = tokens
+            back += ways.take(rank, axis=1)
         return (logs, back) if slopes is not None else (logs, None)
 
     @staticmethod
-    def _softmax(weights, bias, states, wanted, tokens) -> tuple[np.ndarray, ...]:
-        """Log probability of the wanted ones, the powers of all scores, and their sums."""
+    def _softmax(weights, bias, states, wanted, tokens, below) -> tuple[np.ndarray, ...]:
+        """Log probability of the wanted ones, the powers of all scores, and their sums; ``below``
+        says that no score can be beyond what it is held within."""
         scores = weights.T @ states
         scores += bias[:, None]
-        np.minimum(scores, MOST_SCORE, out=scores)
-        np.maximum(scores, -MOST_SCORE, out=scores)
+        if not below:
+            np.minimum(scores, MOST_SCORE, out=scores)
+            np.maximum(scores, -MOST_SCORE, out=scores)
         logs = scores[wanted, tokens]
         powers = np.exp(scores, out=scores)
         sums = powers.sum(axis=0)
@@ -329,24 +342,23 @@ class Network:
         reset, keep = gates[:h], gates[h:]
         through = (1 - keep) * (1 - fresh * fresh)
         # The slope of a state times these is that of what the state before pushed into each gate.
-        ways = np.stack(
-            [
-                through * inner * reset * (1 - reset),
-                (before - fresh) * keep * (1 - keep),
-                through * reset,
-            ]
-        )
-        split = np.empty_like(ways)
-        pushed = split.reshape(3 * h, -1)
+        ways = np.empty((3, h, len(carry)), np.float32)
+        np.multiply(through * inner, reset * (1 - reset), out=ways[0])
+        np.multiply(before - fresh, keep * (1 - keep), out=ways[1])
+        np.multiply(through, reset, out=ways[2])
+        pushes = []
         later = np.zeros((h, 0), np.float32)
         for t in range(stop - 1, start - 1, -1):
             now = slice(stream.offsets[t] - first, stream.offsets[t + 1] - first)
             d = back[:, now]
             d[:, : later.shape[1]] += later
-            np.multiply(d, ways[:, :, now], out=split[:, :, now])
-            later = w["state"] @ pushed[:, now]
+            split = (ways[:, :, now] * d).reshape(3 * h, -1)
+            pushes.append(split)
+            later = w["state"] @ split
             later += d * keep[:, now]
-            later *= carry[now]
+            if stream.begins[t]:
+                later *= carry[now]
+        pushed = np.concatenate(pushes[::-1], axis=1)
         into = pushed.copy()
         into[2 * h :] = back * through
         slopes["state"] += before @ pushed.T
