@@ -45,11 +45,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/ledger-spark-scratch"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again, so that what follows starts from files."""
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written to the shared folder and read again, so that what follows starts from files,
+    and the path of the files."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    return staged_at(df, name)[0]
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -227,7 +227,56 @@ _fecha AS (
 )
 """
 
+_RESPELLED = """
+_cliente AS (
+  SELECT c_custkey, CAST(c_custkey * 7919 + 10000000 AS VARCHAR) AS documento,
+    translate(c_name, '#0123456789', ' abcdefghij') AS apellido, c_mktsegment AS nombre,
+    lower(c_name) || '@example.org' AS email
+  FROM customer
+),
+_caso AS (
+  SELECT c_custkey, -1 AS caso, 0 AS n FROM customer
+  UNION SELECT o_custkey, o_orderkey % 3, o_orderkey % 7 FROM orders WHERE o_orderstatus = 'P'
+),
+_alta AS (
+  SELECT DISTINCT CASE caso WHEN 0 THEN documento || n WHEN 1 THEN '9' || documento[2:]
+      WHEN 2 THEN 'M' || reverse(documento) ELSE documento END AS id,
+    lower(CASE WHEN caso = 1 THEN nombre[2:] ELSE nombre END || ' ' || apellido
+      || CASE WHEN caso = 2 AND n > 3 THEN 'k' ELSE '' END) AS nombre,
+    CASE WHEN caso IN (-1, 2) THEN email END AS email
+  FROM _cliente JOIN _caso USING (c_custkey)
+),
+_cabeza AS (SELECT email, nombre, min(id) AS id FROM _alta WHERE email IS NOT NULL GROUP BY ALL),
+_enlace AS (
+  SELECT a.id AS x, b.id AS y, TRUE AS doc, FALSE AS con FROM _alta a JOIN _alta b ON a.id < b.id
+    AND abs(length(a.id) - length(b.id)) <= 1 AND levenshtein(a.id, b.id) = 1
+    AND levenshtein(a.nombre, b.nombre) <= 2
+  UNION ALL
+  SELECT c.id, p.id, FALSE, TRUE FROM _cabeza c JOIN _alta p USING (email, nombre) WHERE p.id <> c.id
+  UNION ALL
+  SELECT a.id, b.id, FALSE, TRUE FROM _cabeza a JOIN _cabeza b USING (email)
+  WHERE a.id <> b.id AND levenshtein(a.nombre, b.nombre) = 1
+),
+_par AS (
+  SELECT least(x, y) AS id_a, greatest(x, y) AS id_b, bool_or(doc) AS por_documento,
+    bool_or(con) AS por_contacto
+  FROM _enlace GROUP BY ALL
+)
+"""
+
 ORACLE: dict[str, str] = {
+    "similar_people": f"WITH {_RESPELLED} SELECT * FROM _par",
+    "people_groups": f"""
+WITH RECURSIVE {_RESPELLED},
+_vecino AS (SELECT id_a AS a, id_b AS b FROM _par UNION SELECT id_b, id_a FROM _par),
+_alcance AS (
+  SELECT a AS nodo, b AS otro FROM _vecino
+  UNION SELECT nodo, b FROM _alcance JOIN _vecino ON a = otro
+)
+SELECT nodo AS id_persona, min(least(nodo, otro)) AS grupo,
+  (SELECT count(*) FROM _vecino WHERE a = nodo) AS enlaces
+FROM _alcance GROUP BY nodo
+""",
     "top_delinquent_owners": _top(10, None, True, None),
     "top_delinquent_owners_listed": _top(3, None, False, ["enero", "febrero"]),
     "top_delinquent_owners_building": _top(5, 7, True, ["marzo", "abril", "mayo"]),

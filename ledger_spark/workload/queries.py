@@ -22,7 +22,7 @@ from ledger_spark.operators import membership, protect, quality, reshape, upsert
 from ledger_spark.operators.amount_votes import amounts_by_vote as read_by_vote
 from ledger_spark.operators import periods as period_sets
 from ledger_spark.plans import allocation, apportion, cash_flow, collections, currency, imports
-from ledger_spark.plans import intervals, monthly, rankings
+from ledger_spark.plans import intervals, monthly, rankings, respelled
 from ledger_spark.plans import charges as charging
 from ledger_spark.plans import delinquency as debts
 from ledger_spark.schemas import EXPENSE_CATEGORIES, MONEY, ROSTER_NAMES
@@ -442,6 +442,51 @@ def import_people(spark, sf_dir):
     return accepted.unionByName(lost, allowMissingColumns=True)
 
 
+def _registered(spark, sf_dir) -> DataFrame:
+    """Every customer as registered, and once more for each of their pending orders: every third time
+    with another digit, another letter or another document under the same e-mail."""
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey"),
+        (F.col("c_custkey") * 7919 + 10_000_000).alias("documento"),
+        F.translate("c_name", "#0123456789", " abcdefghij").alias("apellido"),
+        F.col("c_mktsegment").alias("nombre"),
+        F.concat(F.lower("c_name"), F.lit("@example.org")).alias("email"),
+    )
+    first = customer.select(F.lit(-1).alias("caso"), F.lit(0).alias("n"), "*")
+    again = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(
+        (F.col("o_orderkey") % 3).cast("int").alias("caso"),
+        (F.col("o_orderkey") % 7).cast("int").alias("n"),
+        F.col("o_custkey").alias("c_custkey"),
+    )
+    everyone = first.union(again.join(customer, "c_custkey").select("caso", "n", *customer.columns))
+    caso, n, document = F.col("caso"), F.col("n"), F.col("documento").cast("string")
+    dni = (
+        F.when(caso == 0, F.concat(document, n.cast("string")))
+        .when(caso == 1, F.concat(F.lit("9"), F.substring(document, 2, 20)))
+        .when(caso == 2, F.concat(F.lit("M"), F.reverse(document)))
+        .otherwise(document)
+    )
+    return everyone.select(
+        dni.alias("id_persona"),
+        dni.alias("dni"),
+        F.when(caso == 1, F.initcap(F.substring("nombre", 2, 20))).otherwise(F.col("nombre")).alias("nombre"),
+        F.when((caso == 2) & (n > 3), F.concat("apellido", F.lit("k"))).otherwise(F.col("apellido")).alias("apellido"),
+        F.when((caso == -1) | (caso == 2), F.col("email")).alias("email"),
+    ).distinct()
+
+
+@query
+def similar_people(spark, sf_dir):
+    """People who may be registered twice under another spelling."""
+    return respelled.similar_people(_registered(spark, sf_dir))
+
+
+@query
+def people_groups(spark, sf_dir):
+    """The same people in groups."""
+    return respelled.people_groups(_registered(spark, sf_dir))
+
+
 @query
 def import_unit_people(spark, sf_dir):
     """Links for the known accounts, and the roster rows of unknown ones."""
