@@ -33,7 +33,7 @@ LOADS = {
     "load-people": lambda store, a: monthly.load_people(store, a.file, a.roster),
     "load-suppliers": lambda store, a: monthly.load_suppliers(store, a.file),
     "load-services": lambda store, a: monthly.load_services(
-        store, a.file, a.year, a.json_lines, a.repeated
+        store, a.file, a.year, a.json_lines, a.repeated, a.large
     ),
     "load-payments": lambda store, a: monthly.load_payments(store, a.file),
     "load-quotes": lambda store, a: monthly.load_quotes(store, a.file, a.sequence),
@@ -89,7 +89,7 @@ OPTIONS = {
     "load-units": ["file"],
     "load-people": ["file", "roster"],
     "load-suppliers": ["file"],
-    "load-services": ["file", "year", "json_lines", "repeated"],
+    "load-services": ["file", "year", "json_lines", "repeated", "large"],
     "load-payments": ["file"],
     "load-quotes": ["file", "sequence"],
     "top-delinquent-owners": [
@@ -124,6 +124,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--file", help="file, folder or glob to load")
     parser.add_argument("--roster", help="unit roster, for load-people")
     parser.add_argument("--json-lines", action="store_true")
+    parser.add_argument("--large", action="store_true", help="read an array by many tasks")
     parser.add_argument("--repeated", choices=["keep_last", "reject"], default="keep_last")
     parser.add_argument("--out", help="folder to write the report to; shown when absent")
     parser.add_argument("--year", type=int)

@@ -65,10 +65,15 @@ def load_suppliers(store: LedgerStore, path) -> None:
 
 
 def load_services(
-    store: LedgerStore, path, year: int, json_lines: bool = False, repeated: str = "keep_last"
+    store: LedgerStore,
+    path,
+    year: int,
+    json_lines: bool = False,
+    repeated: str = "keep_last",
+    large: bool = False,
 ) -> None:
     """Monthly expense records of one year."""
-    records = read_monthly_expenses(store.spark, path, json_lines)
+    records = read_monthly_expenses(store.spark, path, json_lines, large)
     with store.load(f"services-{year}", records) as [raw]:
         result = imports.import_services(raw, year, store.read("gasto"), repeated)
         _save(store, "gasto", result)

@@ -12,6 +12,7 @@ from ledger_spark.schemas import (
     ROSTER_FILE,
     ROSTER_NAMES,
 )
+from ledger_spark.sources.json_array import read_json_array
 
 RECORD = "map<string, string>"
 
@@ -43,15 +44,24 @@ def parse_roster_lines(lines: DataFrame, column: str = "linea") -> DataFrame:
     return lines.select(row.alias("r")).select("r.*").withColumnsRenamed(ROSTER_NAMES)
 
 
-def read_monthly_expenses(spark: SparkSession, path, json_lines: bool = False) -> DataFrame:
+def read_monthly_expenses(
+    spark: SparkSession, path, json_lines: bool = False, large: bool = False
+) -> DataFrame:
     """Monthly expense records with their source position.
 
     ``path`` may name many files; they are read in parallel. A pretty-printed
-    array cannot be split, so one such file is one task: large lots should be
-    delivered as many files or with ``json_lines``. ``posicion`` orders the
+    array is one task; with ``large`` it is cut at its objects by many tasks, and
+    an object that cannot be read is rejected alone. ``posicion`` orders the
     records of one load as they stand in the files: by file, by place of the
     split in it, then by row of the split.
     """
+    if large:
+        objects = read_json_array(spark, path).select(
+            F.struct("archivo", F.lit(0).cast("bigint").alias("bloque"), "fila").alias("posicion"),
+            F.col("texto").alias("value"),
+            F.from_json("texto", RECORD).alias("campos"),
+        )
+        return _readable(objects)
     files = spark.read.text(path, wholetext=not json_lines)
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     if json_lines:
@@ -78,6 +88,10 @@ def read_monthly_expenses(spark: SparkSession, path, json_lines: bool = False) -
             "value",
             "campos",
         )
+    return _readable(lines)
+
+
+def _readable(lines: DataFrame) -> DataFrame:
     corrupt = F.when(F.col("campos").isNull(), F.col("value")).alias(CORRUPT)
     return lines.select("posicion", corrupt, "campos").transform(plain_expense_names)
 

@@ -369,6 +369,11 @@ SELECT 'registro reemplazado', NULL, NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM
     ),
     "json_field_extract": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+""",
+    "objects_of_arrays": """
+SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  '}{"' || event_type || '\\"},' AS nota
+FROM events
 """,
     "expense_unpivot": f"""
 SELECT CAST(c_nationkey AS BIGINT) AS id_consorcio,

@@ -241,6 +241,28 @@ def json_field_extract(spark, sf_dir):
     )
 
 
+@query
+def objects_of_arrays(spark, sf_dir):
+    """Events delivered as pretty-printed arrays of a thousand objects, nested and with braces and
+    quotes in strings, several arrays to a file; read again by the blocks of the files."""
+    folder = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
+    record = F.struct(
+        "event_id",
+        "user_id",
+        F.from_json("props", "k bigint").alias("props"),
+        F.concat(F.lit('}{"'), "event_type", F.lit('\\"},')).alias("nota"),
+    )
+    written = table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / 1000).alias("lote"), F.to_json(record, {"pretty": "true"}).alias("objeto")
+    )
+    arrays = written.groupBy("lote").agg(F.array_join(F.collect_list("objeto"), ",\n").alias("objetos"))
+    arrays.select(F.concat(F.lit("[ "), "objetos", F.lit(" ]"))).write.text(folder)
+    found = files.read_json_array(spark, folder)
+    kind = "event_id bigint, user_id bigint, props struct<k: bigint>, nota string"
+    read = found.select(F.from_json("texto", kind).alias("o"))
+    return read.select("o.event_id", "o.user_id", F.col("o.props.k").alias("k"), "o.nota")
+
+
 def _wide_expenses(spark, sf_dir) -> DataFrame:
     """One record per building and month, one text amount per order priority."""
     orders = table(spark, sf_dir, "orders").join(
