@@ -15,10 +15,10 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,6 @@ RATE, FIRST_SQUARES = 0.1, 1e-5
 # Scores are held within this, so that their powers are finite.
 MOST_SCORE = 60.0
 SLICE_BYTES = 8_000_000
-WORDS_AT_ONCE = 200_000
 
 # The end of a text; no word is empty.
 END = b""
@@ -53,6 +52,15 @@ def words_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
+def words_in(texts: pa.Array) -> pa.ListArray:
+    """The same words of every text of an array, all at once."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    # A blank at the end gives the empty word there, which an empty text gives by itself.
+    ended = pc.if_else(pc.equal(bare, ""), "", pc.binary_join_element_wise(bare, " ", ""))
+    words = pc.ascii_split_whitespace(ended)
+    return words.cast(pa.list_(pa.binary()))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept out of training; one without an id is."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(True))
@@ -62,19 +70,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts of a one-column table, counted in the tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def rows() -> pa.RecordBatch:
-            arrays = [pa.array(list(counts), pa.binary()), pa.array(counts.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, ["word", "n"])
-
-        for batch in pieces(batches, 0, SLICE_BYTES):
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                counts.update(words_of(text))
-            if len(counts) > WORDS_AT_ONCE:
-                yield rows()
-                counts.clear()
-        yield rows()
+        for batch in _slices(batches, 0):
+            found = words_in(batch.column(0)).flatten().value_counts()
+            arrays = [found.field("values"), found.field("counts")]
+            yield pa.RecordBatch.from_arrays(arrays, ["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -99,6 +98,23 @@ def frequent(counts: DataFrame, most: int = HEAD) -> tuple[list[tuple[bytes, int
     return sorted(found, key=lambda x: (-x[1], x[0])), held
 
 
+class Symbols:
+    """Numbers of some words, all other words being one."""
+
+    def __init__(self, words: list[bytes], numbers: np.ndarray, other: int):
+        self.words = pa.array(words, pa.binary())
+        self.numbers = np.append(numbers, other).astype(np.int64)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """The numbers of an array of words."""
+        return self.numbers[pc.fill_null(pc.index_in(words, self.words), -1).to_numpy()]
+
+    def documents(self, texts: pa.Array) -> list[np.ndarray]:
+        words = words_in(texts)
+        numbers = self.of(words.flatten())
+        return np.split(numbers, np.cumsum(words.value_lengths().to_numpy())[:-1])
+
+
 class Lexicon:
     """Numbers of the frequent words, their counts, and the symbols of the network.
 
@@ -114,25 +130,20 @@ class Lexicon:
         self.frequencies = np.array([n for _, n in symbols], dtype=np.int64)
         place = {word: i for i, (word, _) in enumerate(symbols)}
         self.rare, self.end = place.pop(None), place[END]
-        self.place = place
+        self.named = Symbols(list(place), np.array(list(place.values())), self.rare)
         # What rare words share: their counts, and one for each of them and for one not seen.
         known = sum(n > 0 for _, n in named)
         self.rare_total = rest + (distinct - known) + 1
         words = head if ends[0][1] else [*head, *ends]
-        self.number = {word: i for i, (word, _) in enumerate(words)}
-        self.logs = np.log10(np.array([n for _, n in words], dtype=np.float64) + 1)
-        self.known = np.array([n for _, n in words]) > 0
-        self.symbol = np.array([place.get(word, self.rare) for word, _ in words], dtype=np.int64)
-
-    def read(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
-        """The words of a text and their numbers, -1 where a word is not frequent."""
-        words = words_of(text)
-        return words, np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        self.number = Symbols([word for word, _ in words], np.arange(len(words)), -1)
+        # The last place is that of a word which is not frequent.
+        self.logs = np.append(np.log10(np.array([n for _, n in words], dtype=np.float64) + 1), 0.0)
+        self.known = np.array([n > 0 for _, n in words] + [False])
+        self.symbol = np.array([place.get(word, self.rare) for word, _ in words] + [self.rare])
 
     def symbols(self, text: bytes | None) -> np.ndarray:
         """The words of a text as symbols."""
-        words = words_of(text)
-        return np.fromiter(map(self.place.get, words, repeat(self.rare)), np.int64, len(words))
+        return self.named.documents(pa.array([text], pa.binary()))[0]
 
 
 class Stream:
@@ -410,15 +421,14 @@ def _one_round(texts: DataFrame, lexicon: Lexicon, network: Network) -> None:
     Each task counts by its tokens; one whose weights are not finite does not count. The driver gets
     one row per weight.
     """
-    start_of_task = share(texts.sparkSession, (lexicon.place, lexicon.rare, lexicon.end, network))
+    start_of_task = share(texts.sparkSession, (lexicon.named, lexicon.end, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, rare, end, own = shared(start_of_task)
+        named, end, own = shared(start_of_task)
         tokens = 0
         for batch in _slices(batches, 0):
-            words = (words_of(t) for t in batch.column(0).cast(pa.binary()).to_pylist())
-            docs = [np.fromiter(map(place.get, w, repeat(rare)), np.int64, len(w)) for w in words]
-            if docs:
+            if batch.num_rows:
+                docs = named.documents(batch.column(0))
                 own.learn(docs, end)
                 tokens += sum(map(len, docs))
         if tokens and np.isfinite(own.flat).all() and np.isfinite(own.squares).all():
@@ -479,33 +489,33 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
         lexicon, network = shared(state)
         number = TaskContext.get().partitionId() << 40
         for batch in _slices(batches, text_at):
-            docs, made = [], []
-            words_found, times_found, ends = [], [], [0]
-            for text in batch.column(text_at).cast(pa.binary()).to_pylist():
-                words, numbers = lexicon.read(text)
-                frequent = numbers[numbers >= 0]
-                symbols = np.where(numbers < 0, lexicon.rare, lexicon.symbol[numbers])
-                least = frequent[lexicon.symbol[frequent] == lexicon.rare]
-                made.append(
-                    (
-                        number,
-                        len(words),
-                        int(lexicon.known[frequent].sum()),
-                        int((symbols == lexicon.rare).sum()),
-                        float(lexicon.logs[frequent].sum()),
-                        float(lexicon.logs[least].sum()),
-                    )
-                )
-                other = Counter([words[i] for i in np.flatnonzero(numbers < 0).tolist()])
-                words_found.extend(other)
-                times_found.extend(other.values())
-                ends.append(len(words_found))
-                docs.append(symbols)
-                number += 1
-            columns = [list(c) for c in zip(*made, strict=True)] or [[] for _ in range(6)]
-            columns.append(network.log_probabilities(docs, lexicon.end).tolist() if docs else [])
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds.types[:-1], strict=True)]
-            pairs = [pa.array(words_found, pa.binary()), pa.array(times_found, pa.int64())]
+            words = words_in(batch.column(text_at))
+            lengths = words.value_lengths().to_numpy()
+            words, size = words.flatten(), len(lengths)
+            numbers = lexicon.number.of(words)
+            symbols = lexicon.symbol[numbers]
+            doc, is_rare = np.repeat(np.arange(size), lengths), symbols == lexicon.rare
+            by_doc = lambda x: np.bincount(doc, x, size)
+            found_logs = lexicon.logs[numbers]
+            other = numbers < 0
+            more = Counter(
+                zip(doc[other].tolist(), words.filter(pa.array(other)).to_pylist(), strict=True)
+            )
+            ends = np.append(0, np.cumsum(np.bincount([d for d, _ in more], minlength=size)))
+            docs = np.split(symbols, np.cumsum(lengths)[:-1]) if size else []
+            columns = [
+                np.arange(number, number + size),
+                lengths,
+                by_doc(lexicon.known[numbers]),
+                by_doc(is_rare),
+                by_doc(found_logs),
+                by_doc(np.where(is_rare, found_logs, 0.0)),
+                network.log_probabilities(docs, lexicon.end) if docs else np.zeros(0),
+            ]
+            number += size
+            kind_of = zip(columns, kinds.types[:-1], strict=True)
+            arrays = [pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in kind_of]
+            pairs = [pa.array([w for _, w in more], pa.binary()), pa.array(more.values(), pa.int64())]
             listed = pa.StructArray.from_arrays(pairs, ["word", "times"])
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)
             arrays.append(listed.cast(kinds.types[-1]))
