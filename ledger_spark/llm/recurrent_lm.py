@@ -13,7 +13,6 @@ bounded size.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ STEPS_PER_OCTAVE = 16
 # Size of the network, and words in a class.
 EMBEDDED, HIDDEN, CLASS_SIZE = 16, 16, 32
 # Steps of a window, documents side by side, rounds of averaging, least tokens of a task.
-WINDOW, LANES, TRAINING_LANES, ROUNDS, TOKENS_PER_TASK = 32, 256, 128, 4, 250_000
+WINDOW, LANES, TRAINING_LANES, ROUNDS, TOKENS_PER_TASK = 32, 512, 128, 4, 250_000
 FEW_LANES = 16
 RATE, FIRST_SQUARES = 0.1, 1e-5
 # Scores are held within this, so that their powers are finite.
@@ -498,10 +497,12 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
             by_doc = lambda x: np.bincount(doc, x, size)
             found_logs = lexicon.logs[numbers]
             other = numbers < 0
-            more = Counter(
-                zip(doc[other].tolist(), words.filter(pa.array(other)).to_pylist(), strict=True)
+            listed = words.filter(pa.array(other)).dictionary_encode()
+            distinct = max(1, len(listed.dictionary))
+            pairs, times = np.unique(
+                doc[other] * distinct + listed.indices.to_numpy(), return_counts=True
             )
-            ends = np.append(0, np.cumsum(np.bincount([d for d, _ in more], minlength=size)))
+            ends = np.append(0, np.cumsum(np.bincount(pairs // distinct, minlength=size)))
             docs = np.split(symbols, np.cumsum(lengths)[:-1]) if size else []
             columns = [
                 np.arange(number, number + size),
@@ -515,7 +516,7 @@ def score(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> D
             number += size
             kind_of = zip(columns, kinds.types[:-1], strict=True)
             arrays = [pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in kind_of]
-            pairs = [pa.array([w for _, w in more], pa.binary()), pa.array(more.values(), pa.int64())]
+            pairs = [listed.dictionary.take(pa.array(pairs % distinct)), pa.array(times, pa.int64())]
             listed = pa.StructArray.from_arrays(pairs, ["word", "times"])
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)
             arrays.append(listed.cast(kinds.types[-1]))
