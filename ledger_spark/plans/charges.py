@@ -43,6 +43,27 @@ def _by_month(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     return rows.where(F.col("mes").isNotNull()).groupBy(key).agg(F.map_from_entries(entries).alias(alias))
 
 
+def _with_totals(
+    units: DataFrame, paid: DataFrame, by_building: DataFrame, partitions: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """Units with ``pagos`` of their id and ``totales`` of their building, as maps: those whose id
+    occurs once, a row each, and the rows of all others, each id in one partition.
+
+    Units are counted and meet their payments where they were dealt out by id. The totals, which make
+    a row large, come last, so they are not shuffled with units of the first kind.
+    """
+    dealt = spread(
+        units.select("id_uf", "id_consorcio", "porcentaje_de_prorrateo"), "id_uf", partitions=partitions
+    )
+    rows = dealt.withColumn("_filas", F.count(F.lit(1)).over(Window.partitionBy("id_uf")))
+
+    def complete(some: DataFrame) -> DataFrame:
+        return lookup_join(some.drop("_filas").join(paid, "id_uf", "left"), by_building, "id_consorcio", "left")
+
+    repeated = spread(complete(rows.where("_filas > 1")), "id_uf", partitions=partitions)
+    return complete(rows.where("_filas = 1")), repeated
+
+
 def undated(charges: DataFrame, payments: DataFrame) -> DataFrame:
     """Charges without a month and payments without a day: their number and sum. They are in no
     monthly result."""

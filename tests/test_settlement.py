@@ -14,6 +14,7 @@ from test_plans import plan_of, settings
 from ledger_spark.operators.as_of import as_of
 from ledger_spark.operators.closure import reachable
 from ledger_spark.operators.membership import effective_access_nested
+from ledger_spark.plans import allocation
 from ledger_spark.plans.allocation import debt_by_age, payment_allocation
 from ledger_spark.plans.apportion import unit_charges_exact
 from ledger_spark.plans.currency import payments_in_currency, without_quote
@@ -383,3 +384,45 @@ def test_local_warehouse_is_refused_on_a_cluster(folder):
     else:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_folder(Cluster)
+
+
+def one_unit(spark, rows):
+    """Twelve months of 100.00 a month at a full share, 150.00 paid and 20.00 paid in the next month."""
+    months = [datetime.date(2024, m, 1) for m in range(1, 13)]
+    charged = [("b", m, Decimal("100.00"), None) for m in months]
+    payments = [("p", months[0], Decimal("150.00")), ("p", months[1], Decimal("20.00"))]
+    owners = [(rows[0][0], "p")]
+    return ledger_of(spark, rows, owners, payments), charges_of(spark, charged)
+
+
+def test_only_what_can_be_settled_becomes_rows(spark):
+    units = [("u", "b", Decimal("100.00")), ("v", "b", Decimal("100.00"))]
+    tables, charges = one_unit(spark, units)
+    once, _ = allocation._movements(tables, charges, True, None, None, settling=True)
+    short = allocation._settled_ahead(once)
+    assert [(r["id_uf"], len(r["movimientos"])) for r in short.collect()] == [("u", 4)]
+    got = payment_allocation(tables, charges).select("id_uf", "mes", "fecha", "importe")
+    jan, feb = datetime.date(2024, 1, 1), datetime.date(2024, 2, 1)
+    want = [("u", jan, jan, 100), ("u", feb, jan, 50), ("u", feb, feb, 20)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_debt_of_ages_is_summed_within_the_row(spark):
+    tables, charges = one_unit(spark, [("u", "b", Decimal("100.00"))])
+    with settings(spark, adaptive__enabled="false"):
+        plan = plan_of(debt_by_age(tables, charges, datetime.date(2024, 12, 31)))
+    above = plan[: plan.index("Generate inline")]
+    assert "Window" not in above and "Sort" not in above
+
+
+def test_rows_of_one_unit_share_one_line(spark):
+    twice = [("u", "b", Decimal("50.00")), ("u", "b", Decimal("50.00"))]
+    tables, charges = one_unit(spark, twice)
+    got = payment_allocation(tables, charges).select("id_uf", "mes", "fecha", "importe")
+    # Both rows are charged and credited, on one line.
+    months = [datetime.date(2024, m, 1) for m in (1, 2, 3, 4)]
+    want = [("u", m, months[0], 100) for m in months[:3]] + [("u", months[3], months[1], 40)]
+    assert sorted(map(tuple, got.collect())) == want
+    cutoff = datetime.date(2024, 12, 30)
+    found = rows(debt_by_age(tables, charges, cutoff), "id_consorcio", "antiguedad", "unidades", "deuda")
+    assert found == [("b", "0-30", 1, 100), ("b", "31-60", 1, 100), ("b", "61-90", 1, 100), ("b", "mas de 90", 1, 560)]
