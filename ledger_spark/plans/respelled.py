@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledger_spark.operators.linkage import groups, one_edit_apart, plain_name
+from ledger_spark.operators.spread import lookup_join
 
 # Names of neighbouring documents may differ by so many edits.
 NAME_EDITS = 2
@@ -49,6 +50,9 @@ def similar_people(people: DataFrame) -> DataFrame:
         heads.select(digest, F.col("email").alias("_e"), F.col("nombre").alias("_n"), "cabeza"), "_d"
     )
     members = members.where("email = _e AND nombre = _n AND id_persona <> cabeza")
+    # Only an e-mail of several names links any; the others need no keys.
+    several = heads.groupBy("email").agg(F.count(F.lit(1)).alias("_nombres")).where("_nombres > 1")
+    heads = lookup_join(heads, several.select("email"), "email")
     respelled = (
         one_edit_apart(heads, "nombre", ["email"])
         .join(heads.select("email", F.col("nombre").alias("a"), F.col("cabeza").alias("_a")), ["email", "a"])

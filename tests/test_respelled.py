@@ -132,3 +132,19 @@ def test_texts_meet_by_key_and_never_all_with_all(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("t"))
     plan = one_edit_apart(df, "t")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_only_emails_of_several_names_give_keys(spark, monkeypatch):
+    looked_up = []
+
+    def recorded(values, text, within=()):
+        if text == "nombre":
+            looked_up.extend(r["email"] for r in values.select("email").distinct().collect())
+        return one_edit_apart(values, text, within)
+
+    monkeypatch.setattr("ledger_spark.plans.respelled.one_edit_apart", recorded)
+    people = [(str(i), str(i) * 8, "ana", f"perez{i}", f"{i}@x") for i in range(1, 6)]
+    people += [("91", "777777", "eva", "diaz", "e@x"), ("92", "888888", "eva", "dias", "E@x ")]
+    df = spark.createDataFrame(people, "id_persona string, dni string, nombre string, apellido string, email string")
+    assert [(r["id_a"], r["id_b"]) for r in similar_people(df).collect()] == [("91", "92")]
+    assert looked_up == ["e@x"]
