@@ -334,6 +334,47 @@ def test_denials_are_inherited(spark):
     assert rows(alone, "objeto", "permitido", "distancia") == [("pay", True, 1), ("six", True, 1)]
 
 
+def test_nested_roles_are_followed_by_doubled_steps_and_met_by_bits(spark):
+    """Chains and a circle longer than a few doublings, more objects than a word has bits, NULLs and
+    members of several roles, against a plain search."""
+    schema = "rol string, esquema string, objeto string, permiso string, accion string"
+    inner = [(f"r{i}", f"r{i + 1}") for i in range(21)] + [("r21", "r3"), ("r5", "r9"), ("r2", "r2"), (None, "r1"), ("r4", None)]
+    stated = [(f"r{i}", f"s{j % 3}", f"o{j}", "ALTER" if j % 2 else None, "DENY" if i == j else "GRANT") for i in (0, 7, 13, 21) for j in range(0, 90, 1 + i)]
+    stated += [("r9", "s1", None, "ALTER", "GRANT"), ("r9", None, "loose", "ALTER", "GRANT"), (None, "s1", "o1", "ALTER", "DENY")]
+    belongs = [("r0", "ann"), ("r6", "ann"), ("r13", "bob"), ("r13", "bob"), ("away", "eve"), (None, "nil"), ("r1", None)]
+    things = [(f"s{j % 3}", f"o{j}") for j in range(0, 90, 10)]
+    seen = {}
+    for role, who in belongs:
+        if role is None or who is None:
+            continue
+        now, steps = {role}, 1
+        while now:
+            for r in now:
+                seen.setdefault((who, r), []).append(steps)
+            steps += 1
+            now = {b for a, b in inner if a in now and b} - {r for w, r in seen if w == who and min(seen[w, r]) < steps - 25}
+            if steps > 30:
+                break
+    want = {}
+    for (who, r), steps in seen.items():
+        for role, e, o, p, action in stated:
+            for schema_, thing in [(e, o)] if o is not None else [t for t in things if t[0] == e]:
+                if role == r:
+                    want.setdefault((who, schema_, thing, p), []).append((min(steps), action))
+    key = lambda t: [(v is not None, v) for v in t]
+    want = sorted([(*k, all(a == "GRANT" for _, a in v), min(d for d, _ in v)) for k, v in want.items()], key=key)
+    got = effective_access_nested(
+        spark.createDataFrame(stated, schema),
+        spark.createDataFrame(belongs, "rol string, miembro string"),
+        spark.createDataFrame(things, "esquema string, objeto string"),
+        spark.createDataFrame(inner, "rol string, dentro_de string"),
+    )
+    # What is shuffled past the members are words, not objects.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan.partition("Generate inline(_celdas")[2]
+    assert rows(got) == want
+
+
 def test_account_numbers_cut_by_a_spreadsheet(spark):
     accounts = [
         ("whole", "1111111111111111111111"),
