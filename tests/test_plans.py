@@ -2,6 +2,7 @@
 
 import contextlib
 import datetime
+import decimal
 import re
 
 import pytest
@@ -76,6 +77,47 @@ def test_statement_months_are_not_shuffled(spark, tmp_path):
     assert below and "Exchange" not in above
 
 
+def test_statement_months_are_not_sorted_and_running_sums_not_broadcast(spark):
+    day, money = datetime.date, decimal.Decimal
+    units = [(1, 7, money("10.00")), (2, 7, None), (3, None, money("5.00")), (4, 8, money("33.33")), (5, 7, money("10.00")), (6, 7, money("1.00")), (6, 8, money("2.00")), (None, 7, money("1.00"))]
+    charges = [(7, 2, "100.05", None), (7, 4, "-33.33", "1.11"), (8, 4, "9.99", None), (None, 4, "5.00", None), (7, None, "8.00", None)]
+    charges = [(b, m and day(2025, m, 1), money(o), e and money(e)) for b, m, o, e in charges]
+    paid = [(1, 1, "3.00"), (1, 3, "4.50"), (1, 4, "-1.00"), (1, 6, None), (3, 5, "2.00"), (6, 4, "7.00"), (9, 4, "7.00")]
+    paid = [(p, day(2025, m, 15), x and money(x)) for p, m, x in paid]
+    accounts = [(p, p) for p in (1, 3, 6, 9)]
+    df = unit_statement(
+        spark.createDataFrame(units, "id_uf long, id_consorcio int, porcentaje_de_prorrateo decimal(5,2)"),
+        spark.createDataFrame(charges, "id_consorcio long, mes date, total_ordinarios decimal(18,2), total_extraordinarios decimal(18,2)"),
+        spark.createDataFrame(paid, "id_persona_cuenta long, fecha_de_pago date, importe decimal(18,2)"),
+        spark.createDataFrame(accounts, "id_persona_cuenta long, id_persona long"),
+        spark.createDataFrame([(p, p) for p, _ in accounts], "id_uf long, id_persona long"),
+    )
+    above, _, below = plan_of(df).partition("Generate explode")
+    assert below and "Window" not in above and "Sort" not in above
+    assert "SortMergeJoin [_clave" in below.partition("Exchange")[0]
+    want = []
+    for ids, shares in (({1}, {7: "10.00"}), ({2}, {7: "0.00"}), ({3}, {}), ({4}, {8: "33.33"}), ({5}, {7: "10.00"}), ({None}, {7: "1.00"})):
+        (unit,) = ids
+        by_month = {}
+        for b, m, o, e in charges:
+            if m and b in shares:
+                share = (o + (e or 0)) * money(shares[b]) / 100
+                by_month[m] = [share.quantize(money("0.01"), decimal.ROUND_HALF_UP), money(0)]
+        for p, d, x in paid:
+            if p == unit:
+                by_month.setdefault(d.replace(day=1), [money(0), money(0)])[1] += x or 0
+        balance = money(0)
+        for m, (charge, payment) in sorted(by_month.items()):
+            want.append((unit, m, balance, charge, payment, balance + charge - payment))
+            balance += charge - payment
+    got = rows(df)
+    assert [r for r in got if r[0] != 6] == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    # Two units of one id: the rows of both, with the payments of the id in each.
+    assert sorted((r[1].month, r[3], r[4]) for r in got if r[0] == 6) == [
+        (2, money("1.00"), 0), (4, money("-0.32"), 7), (4, money("0.20"), 7)
+    ]
+
+
 def test_stored_rows_are_only_scanned_past_a_small_load(spark, tmp_path):
     spark.range(1000).write.parquet(str(tmp_path / "stored"))
     stored = spark.read.parquet(str(tmp_path / "stored"))
