@@ -42,19 +42,19 @@ def _one_per_key(df: DataFrame, key: str) -> Split:
     """One row per key, chosen by the other columns so that a rerun chooses alike; rows of the
     same key and other content are rejected. Identical copies are one row.
 
-    The greatest and the least content of a key are one aggregate, combined in the map tasks. Only
-    where they differ are rows compared with what was chosen, and the rows of a key that occurs very
-    often are then split over tasks.
+    Rejects are looked for among the keys that occur more than once only, which a count of the keys
+    tells; the rows of a key that occurs very often are split over tasks.
     """
     others = [c for c in df.columns if c != key]
     if not others:
         rows = df.distinct()
         return Split(rows, rows.withColumn("motivo", F.lit("")).where(F.lit(False)))
     content = F.struct(*others)
-    found = df.groupBy(key).agg(F.max(content).alias("_elegida"), F.min(content).alias("_menor"))
-    several = found.where(~F.col("_elegida").eqNullSafe(F.col("_menor"))).drop("_menor")
+    found = df.groupBy(key).agg(F.max(content).alias("_elegida"))
+    several = df.groupBy(key).agg(F.count(F.lit(1)).alias("_filas")).where("_filas > 1")
+    copies = lookup_join(df, several, key).drop("_filas")
     repeated = (
-        lookup_join(df, several, key)
+        lookup_join(copies, copies.groupBy(key).agg(F.max(content).alias("_elegida")), key)
         .where(~content.eqNullSafe(F.col("_elegida")))
         .select(*df.columns, F.lit("clave repetida").alias("motivo"))
         .distinct()

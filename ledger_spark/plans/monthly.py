@@ -100,7 +100,7 @@ def rematch_payments(store: LedgerStore) -> None:
         known = F.col("id_persona_cuenta").isNotNull()
         if not matched.where(known).isEmpty():
             store.write(PENDING, matched.where(~known), mode="overwrite")
-            store.write("pago", matched.where(known))
+            store.write("pago", matched.where(known), staged=True)
 
 
 def generate_charges(store: LedgerStore) -> None:

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,14 @@ LAYOUTS = {
 }
 
 
+def _hashed(column: T.StructField) -> list[Column]:
+    """What of a column goes into a row's hash, which passes over NULLs and takes no maps."""
+    value = F.col(column.name)
+    if isinstance(column.dataType, (T.MapType, T.ArrayType, T.StructType)):
+        value = F.to_json(F.struct(value))
+    return [value.isNull(), value]
+
+
 class LedgerStore:
     """Tables below one root folder on the cluster's shared storage; one load at a time."""
 
@@ -126,20 +134,24 @@ class LedgerStore:
         rows = df.select(*columns, *extra).hint("rebalance", *layout.partition)
         return rows.sortWithinPartitions(*layout.partition, *layout.sort)
 
-    def write(self, name: str, df: DataFrame, mode: str = "append") -> None:
+    def write(
+        self, name: str, df: DataFrame, mode: str = "append", staged: bool = False
+    ) -> None:
         """Add rows to (or, with ``overwrite``, replace) a table; outside a load, a load by itself.
 
         The rows may be computed from the table: they go into a folder of their own. Payments
-        without an account go to ``PENDING``.
+        without an account go to ``PENDING``; ``staged`` rows come from files already and need not
+        be written down before they are told apart.
         """
         if self._load is None:
             with self.load(f"{name}-{uuid.uuid4().hex}"):
-                self.write(name, df, mode)
+                self.write(name, df, mode, staged)
         elif name == "pago":
-            rows, account = self.staged(name, df), F.col("id_persona_cuenta")
+            rows, account = df if staged else self._rows_in_files(name, df), F.col("id_persona_cuenta")
             self._write(name, rows.where(account.isNotNull()), mode)
             self._write(PENDING, rows.where(account.isNull()), mode)
-            discard(self.spark, rows.staged_at)
+            if not staged:
+                discard(self.spark, rows.staged_at)
         else:
             self._write(name, df, mode)
 
@@ -160,13 +172,18 @@ class LedgerStore:
     def staged(self, name: str, df: DataFrame) -> DataFrame:
         """The rows written next to the tables once and read back. ``staged_at`` names the folder,
         ``digest`` tells their number and their content in any order."""
-        path, seen = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}", Observation()
-        each = F.xxhash64(F.to_json(F.struct(*df.columns))).cast("decimal(38,0)")
+        seen = Observation()
+        each = F.xxhash64(*[x for f in df.schema for x in _hashed(f)]).cast("decimal(38,0)")
         sums = [F.count(F.lit(1)).alias("filas"), F.sum(each).alias("suma")]
-        df.observe(seen, *sums).write.parquet(path)
+        rows = self._rows_in_files(name, df.observe(seen, *sums))
+        rows.digest = f"{seen.get['filas']}-{int(seen.get['suma'] or 0) % (1 << 64):016x}"
+        return rows
+
+    def _rows_in_files(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
         rows = self.spark.read.schema(df.schema).parquet(path)
         rows.staged_at = path
-        rows.digest = f"{seen.get['filas']}-{int(seen.get['suma'] or 0) % (1 << 64):016x}"
         return rows
 
     def write_rejected(self, name: str, df: DataFrame) -> None:

@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 
 from ledger_spark.__main__ import run
+from ledger_spark.plans import imports, monthly
 from ledger_spark.session import shared_folder
 from ledger_spark.sources.store import LedgerStore
 
@@ -220,3 +221,35 @@ def test_matching_again_moves_pending_payments_only(ledger):
     added = store._parquet("pago", new["pago"][-1:])
     assert rows(added, "id_pago") == [(2,)]
     assert rows(store._parquet("pago_pendiente", new["pago_pendiente"]), "id_pago") == [(3,)]
+
+
+def test_rows_are_told_apart_without_text_and_rematched_ones_written_down_once(spark, tmp_path, monkeypatch):
+    store = LedgerStore(spark, str(tmp_path))
+    schema = "a string, b string, m map<string, int>"
+    lots = [[(None, "x", None), ("y", "z", {"k": 1})], [("y", "z", {"k": 1}), (None, "x", None)], [("x", None, None), ("y", "z", {"k": 1})], [(None, "x", None), ("y", "z", {"k": 2})]]
+    first, turned, moved, other = [store.staged("lot", spark.createDataFrame(lot, schema)).digest for lot in lots]
+    assert first == turned and len({first, moved, other}) == 3
+    plain = store.staged("lot", spark.createDataFrame([(1, "x")], "n int, t string"))
+    assert plain.digest.startswith("1-")
+    day = datetime.date(2025, 4, 1)
+    pago = [(i, None, Decimal(i), day, cbu, "no asociado") for i, cbu in enumerate(["1", "2", "1"])]
+    store.write("pago", spark.createDataFrame(
+        [(str(i), who, x, d, c, e) for i, who, x, d, c, e in pago],
+        "id_pago string, id_persona_cuenta string, importe decimal(18,2), fecha_de_pago date, cbu_origen string, estado string",
+    ))
+    store.write("persona_cuenta", spark.createDataFrame([("1", "p", "1")], "id_persona_cuenta string, id_persona string, cbu string"))
+    written, real = [], LedgerStore._rows_in_files
+    monkeypatch.setattr(LedgerStore, "_rows_in_files", lambda self, name, df: written.append(name) or real(self, name, df))
+    monthly.rematch_payments(store)
+    assert written == ["rematch"]
+    got = store.read("pago").select("id_pago", "id_persona_cuenta", "estado").collect()
+    assert sorted(map(tuple, got), key=str) == [(0, "1", "asociado"), (1, None, "no asociado"), (2, "1", "asociado")]
+
+
+def test_rejects_are_looked_for_among_repeated_keys(spark):
+    rows_ = [("a", 1), ("a", 1), ("b", 1), ("b", 2), ("b", 2), ("c", None), ("c", 3)]
+    split = imports._one_per_key(spark.createDataFrame(rows_, "k string, v int"), "k")
+    assert sorted(map(tuple, split.accepted.collect())) == [("a", 1), ("b", 2), ("c", 3)]
+    assert sorted((r.k, r.v) for r in split.rejected.collect()) == [("b", 1), ("c", None)]
+    plan = split.rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(" not in plan and "_filas" in plan
