@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledger_spark.llm.tables import pieces, scratch
+from ledger_spark.llm.tables import pieces, scratch, scratch_at
 from ledger_spark.operators.spread import lookup_join
+from ledger_spark.session import discard
 
 LENGTH = 100
 GRAM = 32
@@ -163,11 +164,12 @@ def _pack(start: Column, distance: Column, more: Column) -> Column:
     return high + more.cast("long")
 
 
-def _settled(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _settled(members: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     """Of members (h bucket, f class, doc, sub, pack): those that repeat an earlier one as a whole, and
-    the first members of classes in buckets of more than one class."""
+    the first members of classes in buckets of more than one class. Both read the files of the classes,
+    whose path comes last."""
     first = members.groupBy("h", "f").agg(F.min(F.struct("doc", "sub", "pack")).alias("first"))
-    first = scratch(first, "classes")
+    first, path = scratch_at(first, "classes")
     repeats = members.withColumn("class", F.xxhash64("h", "f"))
     of_class = first.select(
         F.xxhash64("h", "f").alias("class"),
@@ -184,7 +186,7 @@ def _settled(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     several = first.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     open_ = lookup_join(first, several, "h", "left_semi").select("h", "f", "first.*")
-    return repeats, open_
+    return repeats, open_, path
 
 
 def _with_bytes(open_: DataFrame, rows: DataFrame) -> DataFrame:
@@ -249,16 +251,24 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     several = several.where("n > 1").select("h", parity).hint("shuffle_hash")
     anchored = _anchor_rows(rows, True).select("*", parity)
     members = anchored.join(several, ["h", "parity"], "left_semi").drop("parity")
-    members = scratch(members, "anchors")
-    found, open_ = _settled(members)
+    members, anchors_path = scratch_at(members, "anchors")
+    found, open_, classes = _settled(members)
     parts = [scratch(found, "repeats")]
+    discard(rows.sparkSession, anchors_path)
     members = _with_bytes(open_, rows)
+    # A level's files go as soon as the next one's are written.
+    read = [classes]
     for width in WIDTHS:
-        refined = scratch(_refined(members, width), "runs")
-        found, open_ = _settled(refined.drop("bytes"))
+        refined, runs = scratch_at(_refined(members, width), "runs")
+        for path in read:
+            discard(rows.sparkSession, path)
+        found, open_, classes = _settled(refined.drop("bytes"))
         parts.append(scratch(found, "repeats"))
+        read = [runs, classes]
         if width > 1:
             members = refined.join(open_, ["h", "f", "doc", "sub", "pack"], "left_semi").drop("f")
+    for path in read:
+        discard(rows.sparkSession, path)
     packs = reduce(DataFrame.unionByName, parts)
     pack = F.col("pack")
     return packs.select(

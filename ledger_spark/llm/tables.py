@@ -19,6 +19,9 @@ from ledger_spark.session import shared_folder
 # thousand, which is too much room for long texts on either side.
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROWS_AT_ONCE = 1024
+# Without it the shuffle files of a write that has ended lie on the disks until the driver happens to
+# collect its garbage, so that those of several writes add up.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -40,14 +43,28 @@ def unused(df: DataFrame, names: list[str]) -> list[str]:
     return [f"{mark}{name}" for name in names]
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: later steps start from files
-    that every executor sees, not from a long lineage."""
+def scratch_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written to the shared folder and read again, and the path of the files, for
+    ``discard``. Shuffle files of the write go with its end."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read again: later steps start from files
+    that every executor sees, not from a long lineage."""
+    return scratch_at(df, name)[0]
 
 
 def share(spark: SparkSession, model) -> Broadcast:
